@@ -1,7 +1,9 @@
 """All registered queries; importing a module registers its queries."""
 
 from ledgerspark.plans import (  # noqa: F401
+    aggregates,
     relational,
+    windows,
 )
 from ledgerspark.plans.registry import ORACLE, QUERIES
 
