@@ -2,6 +2,7 @@
 
 from ledgerspark.plans import (  # noqa: F401
     aggregates,
+    apportion,
     relational,
     windows,
 )
