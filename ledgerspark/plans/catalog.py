@@ -3,7 +3,10 @@
 from ledgerspark.plans import (  # noqa: F401
     aggregates,
     apportion,
+    changelog,
+    ledger,
     relational,
+    sync,
     windows,
 )
 from ledgerspark.plans.registry import ORACLE, QUERIES
