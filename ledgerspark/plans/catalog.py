@@ -4,8 +4,12 @@ from ledgerspark.plans import (  # noqa: F401
     aggregates,
     apportion,
     changelog,
+    documents,
+    files,
     ledger,
     relational,
+    scalars,
+    streaming,
     sync,
     windows,
 )
