@@ -52,22 +52,22 @@ def split_keep_delimiter(text: Column, pattern: str) -> Column:
     return F.transform(F.split(cut, CUT, -1), lambda p: F.replace(p, F.lit(ESCAPED), F.lit(MARK)))
 
 
-def extract_clauses(text: Column, pattern: str = CLAUSE, date_pattern: str = CLAUSE_DATE) -> Column:
-    """All clauses of a text as ``{offset, date, amount}``; ``pattern``'s first group is the amount."""
-    whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    amounts = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    parts = split_keep_delimiter(text, pattern)
-
-    def end(i: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0), lambda n, p: n + F.length(p))
-
-    return F.transform(
-        whole,
-        lambda clause, i: F.struct(
-            (end(i) - F.length(clause)).alias("offset"),
-            F.regexp_extract(clause, date_pattern, 1).alias("date"),
-            F.get(amounts, i).alias("amount"),
-        ),
+def extract_clauses(
+    df: DataFrame, text: str, *keep: str, pattern: str = CLAUSE, date_pattern: str = CLAUSE_DATE
+) -> DataFrame:
+    """All clauses of a text, one row each: offset, date and amount, the first group of ``pattern``.
+
+    Every part but the last ends with its clause, so offsets follow from the parts' lengths.
+    """
+    parts = df.select(*keep, split_keep_delimiter(F.col(text), pattern).alias("_parts"))
+    placed = parts.select(*keep, "_parts", F.posexplode(F.slice("_parts", F.lit(1), F.size("_parts") - 1)).alias("_i", "_part"))
+    before = F.aggregate(F.slice("_parts", F.lit(1), F.col("_i")), F.lit(0), lambda n, p: n + F.length(p))
+    clause = F.regexp_extract("_part", f"({pattern})$", 1)
+    return placed.select(
+        *keep,
+        (before + F.length("_part") - F.length(clause)).alias("offset"),
+        F.regexp_extract(clause, date_pattern, 1).alias("date"),
+        F.regexp_extract(clause, pattern, 1).alias("amount"),
     )
 
 

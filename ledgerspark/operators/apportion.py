@@ -199,28 +199,21 @@ def whole_years(start: Column, end: Column) -> Column:
     return F.year(end) - F.year(start) - F.when(not_reached, 1).otherwise(0)
 
 
-def month_spans(start: Column, end: Column) -> Column:
-    """Array of ``{k, from, to}``: month k runs from start + k months to the next one or to ``end``.
+def month_spans(df: DataFrame, start: str, end: str) -> DataFrame:
+    """One row per month: month k runs from start + k months to the next one or to ``end``.
 
     Months are counted from the start date, so a 31st stays the last day of shorter months only.
+    Adds k, from_day, to_day; the dates are computed after the explode, inside generated code.
     """
-    count = F.ceil(F.months_between(end, start)).cast("int") + 1
-    spans = F.transform(
-        F.sequence(F.lit(0), F.greatest(count, F.lit(0))),
-        lambda k: F.struct(
-            k.alias("k"), F.add_months(start, k).alias("from"), F.least(F.add_months(start, k + 1), end).alias("to")
-        ),
+    months = F.ceil(F.months_between(end, start)).cast("int")
+    rows = df.withColumn("k", F.explode(F.sequence(F.lit(0), F.greatest(months, F.lit(0)))))
+    spans = rows.withColumns(
+        {
+            "from_day": F.add_months(start, F.col("k")),
+            "to_day": F.least(F.add_months(start, F.col("k") + 1), F.col(end)),
+        }
     )
-    return F.filter(spans, lambda s: s["from"] < end)
-
-
-def split_by_days(amount: Column, start: Column, length: Column, span: Column) -> Column:
-    """Part of ``amount`` that falls on a span, rounded so that all spans add up to it."""
-
-    def upto(day: Column) -> Column:
-        return round_half_up(F.lit(1.0) * F.datediff(day, start) / length * amount)
-
-    return upto(span["to"]) - upto(span["from"])
+    return spans.filter(F.col("from_day") < F.col(end))
 
 
 def strategy_expand_months(
@@ -230,20 +223,23 @@ def strategy_expand_months(
     """Costs of the ``monthly`` subjects become one row per month; others keep one row to ``until``.
 
     The term is 3 years when the contract runs no longer, the contract's own end up to 5 years,
-    else 5 years. Everything is computed inside the row, without a shuffle.
+    else 5 years. A month's part is the rounded amount up to its end less that up to its start, so
+    the parts add up. Everything is computed inside the row, without a shuffle.
     """
     s, e = F.col(start), F.col(contract_end)
     years = whole_years(s, F.date_sub(F.add_months(e, 12), 1))
     end = F.when(years <= 3, F.add_months(s, 36)).when(years <= 5, e).otherwise(F.add_months(s, 60))
-    is_monthly = F.col(subject).isin(*monthly)
-    spans = F.when(is_monthly, month_spans(s, end)).otherwise(
-        F.array(F.struct(F.lit(0).alias("k"), s.alias("from"), F.col(until).alias("to")))
-    )
     total = F.coalesce(F.col(amount), F.lit(0))
-    part = F.when(is_monthly, split_by_days(total, s, F.datediff(end, s), F.col("_span"))).otherwise(total)
-    return df.withColumn("_span", F.explode(spans)).select(
-        "*", F.col("_span.from").alias("from_day"), F.col("_span.to").alias("to_day"), part.cast("bigint").alias("part")
-    ).drop("_span")
+
+    def upto(day: str) -> Column:
+        return round_half_up(F.lit(1.0) * F.datediff(day, start) / F.datediff("_end", start) * total)
+
+    spread = month_spans(df.filter(F.col(subject).isin(*monthly)).withColumn("_end", end), start, "_end")
+    spread = spread.withColumn("part", (upto("to_day") - upto("from_day")).cast("bigint"))
+    kept = df.filter(~F.coalesce(F.col(subject).isin(*monthly), F.lit(False))).select(
+        "*", s.alias("from_day"), F.col(until).alias("to_day"), total.cast("bigint").alias("part")
+    )
+    return spread.select(*df.columns, "from_day", "to_day", "part").unionAll(kept)
 
 
 def cumulative_round_split(

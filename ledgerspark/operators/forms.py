@@ -18,9 +18,10 @@ MEMBER, NUMBER, PERIOD, TABLE, DEPARTMENT = 5, 8, 14, 18, 22
 
 
 def json_text(text: Column) -> Column:
-    """A text as a JSON string."""
+    """A text as a JSON string; the JSON writer is used only where something must be escaped."""
     quoted = F.to_json(F.array(text))
-    return F.substr(quoted, F.lit(2), F.length(quoted) - 2)
+    escaped = F.substr(quoted, F.lit(2), F.length(quoted) - 2)
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def _list(items: Column) -> Column:
@@ -83,7 +84,7 @@ def _required(value: Column, kind: Column) -> Column:
 def form_answer_to_value(answers: Column) -> Column:
     """JSON array of typed answers to one JSON object keyed by title. An unknown type, or a type
     that needs a value and has none, is an error; a null document stays null."""
-    parsed = F.from_json(answers, f"array<{ANSWER}>")
+    parsed = parse_answers(answers)
 
     def value(a: Column) -> Column:
         rows = F.transform(a["tableValues"], lambda row: _object(_pairs(row, _cell_value)))
@@ -133,13 +134,18 @@ def form_mix_definition(answers: DataFrame, form: DataFrame) -> DataFrame:
     return answers.join(top.unionAll(sub), "queId", "left")
 
 
+def parse_answers(answers: Column) -> Column:
+    """JSON array of answers as an array column."""
+    return F.from_json(answers, f"array<{ANSWER}>")
+
+
 def answer_get_by_title(answers: Column, title: str, kind: str = "string") -> Column:
     """First value of the first answer with this title that is not the entry's own number (id 0).
 
+    ``answers``: as ``parse_answers`` gives them, so that several titles share one parse.
     ``kind``: string, long or timestamp. No such answer is an error.
     """
-    parsed = F.from_json(answers, f"array<{ANSWER}>")
-    named = F.filter(parsed, lambda a: (a["queTitle"] == title) & ~F.coalesce(a["queId"] == 0, F.lit(False)))
+    named = F.filter(answers, lambda a: (a["queTitle"] == title) & ~F.coalesce(a["queId"] == 0, F.lit(False)))
     first = F.get(F.get(named, F.lit(0))["values"], F.lit(0))["value"]
     typed = {
         "string": first,

@@ -286,7 +286,5 @@ def date_series_months(spark, sf):
     bounds = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last")
     )
-    spans = bounds.select("o_custkey", F.explode(ap.month_spans(F.col("first"), F.col("last"))).alias("s"))
-    return spans.select(
-        "o_custkey", "s.k", F.col("s.from").cast("string").alias("from_day"), F.col("s.to").cast("string").alias("to_day")
-    )
+    spans = ap.month_spans(bounds, "first", "last")
+    return spans.select("o_custkey", "k", *[F.col(c).cast("string").alias(c) for c in ("from_day", "to_day")])

@@ -9,7 +9,7 @@ from ledgerspark.functions import html as h
 from ledgerspark.operators import forms, greedy
 from ledgerspark.operators.links import link_frontier
 from ledgerspark.plans.registry import query
-from ledgerspark.session import cents, table
+from ledgerspark.session import cents, stored, table
 from ledgerspark.sources.files import local_rows_to_table
 
 
@@ -170,7 +170,7 @@ def answer_get_by_title(spark, sf):
             ],
         )
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", named.alias("a"))
+    orders = table(spark, sf, "orders").select("o_orderkey", forms.parse_answers(named).alias("a"))
     return orders.select(
         "o_orderkey",
         forms.answer_get_by_title(F.col("a"), "status").alias("status"),
@@ -223,11 +223,11 @@ def text_sql(fragment: str) -> str:
 
 @query(
     "html_title_and_selectors",
-    rf"""SELECT page_id, {text_sql("regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)")} AS title,
-          {text_sql("regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1)")} AS h1,
+    rf"""SELECT page_id, {text_sql(r"regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)")} AS title,
+          {text_sql(r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1)")} AS h1,
           CAST(len(regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>', 1)) AS INTEGER) AS items,
           array_to_string(list_transform(regexp_extract_all(html, '(?is)<li(?:\s[^>]*)?>(.*?)</li\s*>', 1), lambda x: {text_sql('x')}), '|') AS item_texts,
-          {text_sql("regexp_extract(html, '(?is)<div class=.ad.>(.*?)</div\s*>', 1)")} AS ad
+          {text_sql(r"regexp_extract(html, '(?is)<div class=.ad.>(.*?)</div\s*>', 1)")} AS ad
         FROM pages""",
 )
 def html_title_and_selectors(spark, sf):
@@ -272,7 +272,8 @@ def supply_links(spark, sf):
 def link_frontier_query(spark, sf):
     supplier = table(spark, sf, "supplier").filter("s_suppkey = 0")
     seeds = supplier.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("node"))
-    return link_frontier(supply_links(spark, sf), seeds).select("node")
+    # every round reads the links, so they are computed once
+    return link_frontier(stored(supply_links(spark, sf), "links"), seeds).select("node")
 
 
 @query(

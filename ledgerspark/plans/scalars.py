@@ -131,8 +131,8 @@ def text_extract_clauses(spark, sf):
     first = clause("o_orderdate", F.concat(F.col("o_orderkey").cast("string"), F.lit(".00")))
     second = clause(F.expr("o_orderdate + interval 1 year"), F.concat(F.col("o_custkey").cast("string"), F.lit(".50")))
     text = F.concat(F.lit("priority"), "o_orderpriority", first, F.lit("\npart"), second)
-    found = table(spark, sf, "orders").select("o_orderkey", F.inline(sc.extract_clauses(text)))
-    return found.withColumn("offset", F.col("offset").cast("bigint"))
+    texts = table(spark, sf, "orders").select("o_orderkey", text.alias("text"))
+    return sc.extract_clauses(texts, "text", "o_orderkey").withColumn("offset", F.col("offset").cast("bigint"))
 
 
 @query(
