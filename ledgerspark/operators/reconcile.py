@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.session import stored
 from ledgerspark.sources.files import scan_csv
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -96,13 +97,14 @@ def match_bills(payments: DataFrame, bills: DataFrame) -> DataFrame:
 
     Both sides are summed per order before the full join, so no order is hot in it. Accounts are
     selected by a semi join on their distinct list rather than by a window, which would bring
-    all rows of a busy account together; a bill without a ledger row has a null account.
+    all rows of a busy account together; a bill without a ledger row has a null account. The
+    joined totals are read twice, so they are written to the shared folder once.
     """
     ledger = payments.groupBy("order_no", "order_no2").agg(
         F.sum("amount").alias("amount"), F.max("account").alias("account"), F.max("time").alias("local_time")
     )
     paid = bills.groupBy("pay_order").agg(F.sum("pay_amount").alias("pay_amount"), F.max("pay_time").alias("time"))
-    both = ledger.join(paid, F.col("order_no") == F.col("pay_order"), "full")
+    both = stored(ledger.join(paid, F.col("order_no") == F.col("pay_order"), "full"), "matched")
     covered = both.filter(F.col("pay_order").isNotNull()).select(F.col("account").alias("_account")).distinct()
     return both.join(covered, F.col("account").eqNullSafe(F.col("_account")), "left_semi")
 

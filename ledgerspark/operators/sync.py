@@ -7,19 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INT_MAX = 2147483647
-
-
-def _one_per_key(df: DataFrame, key: str, columns: Sequence[str], name: str) -> DataFrame:
-    """One row per key with ``columns`` as a struct; a repeated key is an error.
+from ledgerspark.operators.keys import one_per_key
 
-    The grouping partitions by key as the join after it needs, so it costs no extra shuffle.
-    """
-    grouped = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*columns)).alias(name))
-    unique = F.when(F.col("_n") == 1, F.col(name)).otherwise(
-        F.raise_error(F.concat(F.lit(f"key is not unique in {name}: "), F.col(key).cast("string")))
-    )
-    return grouped.select(F.col(key).alias(f"{name}_key"), unique.alias(name))
+INT_MAX = 2147483647
 
 
 def compare_by_key(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -28,15 +18,16 @@ def compare_by_key(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     columns = [c for c in source.columns if c != key]
     missing = [c for c in columns if c not in target.columns]
     wide = target.select("*", *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in missing])
-    s, t = _one_per_key(source, key, columns, "source"), _one_per_key(wide, key, columns, "target")
+    s, t = one_per_key(source, [key], columns, "source"), one_per_key(wide, [key], columns, "target")
+    source_key, target_key = F.col(f"source_{key}"), F.col(f"target_{key}")
     change = (
-        F.when(F.col("target_key").isNull(), "insert")
-        .when(F.col("source_key").isNull(), "delete")
+        F.when(target_key.isNull(), "insert")
+        .when(source_key.isNull(), "delete")
         .when(~F.col("source").eqNullSafe(F.col("target")), "update")
         .otherwise("unchanged")
     )
-    return s.join(t, F.col("source_key") == F.col("target_key"), "full").select(
-        F.coalesce("source_key", "target_key").alias(key), "source", "target", change.alias("change")
+    return s.join(t, source_key == target_key, "full").select(
+        F.coalesce(source_key, target_key).alias(key), "source", "target", change.alias("change")
     )
 
 

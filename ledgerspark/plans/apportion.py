@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import apportion as ap
 from ledgerspark.plans.registry import query
-from ledgerspark.session import cents, table
+from ledgerspark.session import cents, stored, table
 
 MONTH_START, MONTH_END = "2024-01-01", "2024-01-31"
 OTHER_SUBJECT = "主营业务收入.收入.X"
@@ -40,12 +40,14 @@ def tier_sql(amount, tiers):
 
 
 def contract(events):
-    """One term per user: from its first event to the end of the month."""
-    return events.groupBy("user_id").agg(
+    """One term per user: from its first event to the end of the month. Terms are a table of their
+    own, read several times, so they are stored."""
+    terms = events.groupBy("user_id").agg(
         F.min("ts").alias("start_ts"),
         F.lit(MONTH_END).cast("timestamp_ntz").alias("end_ts"),
         (F.max("income") * 2).alias("fixed"),
     )
+    return stored(terms, "terms")
 
 
 def running_sql(terms: str, rated: str, fixed: str = "fixed") -> str:
@@ -181,19 +183,13 @@ CHANGE_DAY = "2024-01-15"
 )
 def tiered_share(spark, sf):
     events = income_events(spark, sf)
-    first = contract(events).select(
-        "user_id", "start_ts", "end_ts", tier_array(TIERS).alias("tiers"), F.lit(0.3).alias("rate_second")
-    )
-    later_start = F.greatest("start_ts", F.lit(CHANGE_DAY).cast("timestamp_ntz"))
-    second = contract(events).select(
-        "user_id",
-        # a contract that starts after the change has the later rates from its first day
-        F.when(F.to_date("start_ts") >= F.lit(CHANGE_DAY).cast("date"), F.expr("start_ts + interval 1 microsecond"))
-        .otherwise(later_start)
-        .alias("start_ts"),
-        "end_ts",
-        tier_array(LATER_TIERS).alias("tiers"),
-        F.lit(0.1).alias("rate_second"),
+    terms = contract(events)
+    first = terms.select("user_id", "start_ts", "end_ts", tier_array(TIERS).alias("tiers"), F.lit(0.3).alias("rate_second"))
+    # a contract that starts after the change has the later rates from its first day
+    change = F.lit(CHANGE_DAY).cast("timestamp_ntz")
+    later = F.when(F.col("start_ts") >= change, F.expr("start_ts + interval 1 microsecond")).otherwise(change)
+    second = terms.select(
+        "user_id", later.alias("start_ts"), "end_ts", tier_array(LATER_TIERS).alias("tiers"), F.lit(0.1).alias("rate_second")
     )
     out = ap.tiered_share(events, first.unionByName(second), ["user_id"])
     return out.withColumn("date", F.col("date").cast("string"))

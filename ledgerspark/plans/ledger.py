@@ -211,7 +211,7 @@ BILL_PATTERN = (r"bill_month=(.{10})", "yyyy-MM-dd")
 )
 def partition_file_stats(spark, sf):
     ledger, _ = ledger_files(spark, sf)
-    stats = pt.partition_file_stats(spark, ledger, ["hash"], lo=LONG_AGO)
+    stats = pt.partition_file_stats(spark, ledger, "hash int", lo=LONG_AGO)
     return stats.select("hash", (F.col("min_time") <= F.col("max_time")).alias("in_order"))
 
 

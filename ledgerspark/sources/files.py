@@ -77,10 +77,13 @@ def write_partitioned(df: DataFrame, path: str, *parts: str, mode: str = "overwr
 def write_bucketed(df: DataFrame, key: str, buckets: int = BUCKETS, parts: Sequence[str] = ()) -> str:
     """Save as a bucketed, sorted table in the shared folder; returns its name.
 
-    Two tables with the same buckets join on the key without a shuffle.
+    Two tables with the same buckets join on the key without a shuffle. Rows are brought together
+    by bucket first, so that a bucket gets few files; ``rebalance`` spreads a bucket that a hot
+    key fills over several.
     """
     name = f"bucketed_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    grouped = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", "_bucket").drop("_bucket")
+    writer = grouped.write.bucketBy(buckets, key).sortBy(key)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.option("path", new_path(df.sparkSession, name)).saveAsTable(name)

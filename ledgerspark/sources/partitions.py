@@ -6,36 +6,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.session import stored
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def data_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """One row per data file: path, modificationTime and the partition columns; nothing is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "false").load(path)
-    return files.drop("content")
+def partition_text(part: str) -> Column:
+    """Partition value in a file's path, as text; null for the null partition."""
+    raw = F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
+    return F.when((raw != "") & (raw != NULL_PARTITION), F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
 
 
-def partition_file_stats(spark: SparkSession, path: str, parts: Sequence[str], lo=None, hi=None) -> DataFrame:
-    """Per partition: first and last modification time of its files changed in [lo, hi)."""
+def data_files(spark: SparkSession, path: str, parts: str | T.StructType = "", glob: str = "*.parquet") -> DataFrame:
+    """One row per data file: path, modificationTime and the partition columns of the schema
+    ``parts``. The files are listed, not opened."""
+    schema = T.StructType.fromDDL(parts) if isinstance(parts, str) else parts
+    files = spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup=True).load(path)
+    return files.select(
+        "path", "modificationTime", *[partition_text(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
+def partition_file_stats(spark: SparkSession, path: str, parts: str, lo=None, hi=None) -> DataFrame:
+    """Per partition: first and last modification time of its files changed in [lo, hi).
+
+    ``parts`` is the schema of the partition columns, as DDL.
+    """
     time = F.col("modificationTime")
     lo = F.coalesce(F.lit(lo), F.lit("2000-01-01")).cast("timestamp")
     hi = F.coalesce(F.lit(hi), F.lit("2100-01-01")).cast("timestamp")
+    files = data_files(spark, path, parts)
     return (
-        data_files(spark, path)
-        .filter((time >= lo) & (time < hi))
-        .groupBy(*parts)
+        files.filter((time >= lo) & (time < hi))
+        .groupBy(*[c for c in files.columns if c not in ("path", "modificationTime")])
         .agg(F.max(time).alias("max_time"), F.min(time).alias("min_time"))
     )
 
 
 def lead_partition(spark: SparkSession, path: str, part: str, ts: str) -> DataFrame:
     """Smallest partition value, as text, with a file changed after ``ts``; null when there is none."""
-    value = F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
     changed = data_files(spark, path).filter(F.col("modificationTime") > F.lit(ts).cast("timestamp"))
-    return changed.filter((value != "") & (value != NULL_PARTITION)).agg(F.min(value).alias("lead"))
+    return changed.agg(F.min(partition_text(part)).alias("lead"))
 
 
 def earliest_changed_bill_date(
@@ -47,25 +60,22 @@ def earliest_changed_bill_date(
     """
     dates = None
     for path, pattern, fmt in sources:
-        files = data_files(spark, path, glob).filter(F.col("modificationTime") > F.lit(ts).cast("timestamp"))
+        files = data_files(spark, path, glob=glob).filter(F.col("modificationTime") > F.lit(ts).cast("timestamp"))
         day = F.to_date(F.try_to_timestamp(F.regexp_extract("path", pattern, 1), F.lit(fmt)))
         found = files.select(day.alias("day"))
         dates = found if dates is None else dates.unionAll(found)
     return dates.agg(F.min("day").alias("day"))
 
 
-def partition_values(spark: SparkSession, path: str, parts: Sequence[str]) -> list[tuple]:
-    """Partition tuples that hold files. They are directories, so their number is small."""
-    return [tuple(r) for r in data_files(spark, path).select(*parts).distinct().collect()]
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _directory(parts: Sequence[str], values: Sequence) -> str:
-    return "/".join(f"{p}={NULL_PARTITION if v is None else v}" for p, v in zip(parts, values))
+def _overwrite_partitions(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows for; a large one is written by several tasks."""
+    writer = df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).parquet(path)
 
 
 def replace_where(new: DataFrame, path: str, parts: Sequence[str], predicate: Column) -> None:
@@ -77,22 +87,20 @@ def replace_where(new: DataFrame, path: str, parts: Sequence[str], predicate: Co
     """
     spark = new.sparkSession
     staged = stored(new, "replace-where")
-    written = staged.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"), F.bool_and(F.coalesce(predicate, F.lit(False))).alias("_ok"))
-    fresh = written.collect()
-    if not all(r["_ok"] for r in fresh):
+    inside = F.bool_and(F.coalesce(predicate, F.lit(False))).alias("_inside")
+    fresh = staged.groupBy(*parts).agg(inside).collect()  # one row per partition directory
+    if not all(r["_inside"] for r in fresh):
         raise ValueError("rows outside the replaced range")
     if fresh:
-        staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *parts
-        ).parquet(path)
+        _overwrite_partitions(staged, path, parts)
     if not _exists(spark, path):
         return
-    keep = {tuple(str(r[p]) for p in parts) for r in fresh}
-    matching = data_files(spark, path).filter(predicate).select(*parts).distinct().collect()
-    for r in matching:
-        values = tuple(r[p] for p in parts)
-        if tuple(map(str, values)) not in keep:
-            stale = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_directory(parts, values)}")
+    kept = {tuple(r[p] for p in parts) for r in fresh}
+    schema = T.StructType([staged.schema[p] for p in parts])
+    directory = F.regexp_replace("path", "/[^/]+$", "").alias("_dir")
+    for r in data_files(spark, path, schema).filter(predicate).select(directory, *parts).distinct().collect():
+        if tuple(r[p] for p in parts) not in kept:
+            stale = spark._jvm.org.apache.hadoop.fs.Path(r["_dir"])
             stale.getFileSystem(spark._jsc.hadoopConfiguration()).delete(stale, True)
 
 
@@ -105,6 +113,4 @@ def replace_by_key(new: DataFrame, path: str, keys: Sequence[str], part: str) ->
         old = spark.read.schema(new.schema).parquet(path).filter(F.col(part).isin(touched))
         kept = old.join(staged.select(part, *keys), [part, *keys], "left_anti")
         staged = stored(kept.unionByName(staged), "replace-by-key")
-    staged.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        part
-    ).parquet(path)
+    _overwrite_partitions(staged, path, [part])

@@ -7,11 +7,13 @@ a version being read is never overwritten.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerspark.operators.keys import one_per_key
 from ledgerspark.sources.files import condition_delete, condition_update
 
 
@@ -57,21 +59,23 @@ class VersionedTable:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
     """Matched rows take the ``update`` columns of the source, unmatched source rows are inserted.
 
-    Both sides hold one row per key, so the full join has no hot key.
+    The source holds one row per key, else it is an error. Updates are a left join and inserts an
+    anti join: a small source is broadcast and the target not shuffled, and with a large one AQE
+    can split a hot target key, which it cannot in a full join.
     """
-    t = target.select(F.struct("*").alias("t"), *[F.col(k).alias(f"_t_{k}") for k in keys])
-    s = source.select(F.struct("*").alias("s"), *[F.col(k).alias(f"_s_{k}") for k in keys])
-    on = None
-    for k in keys:
-        same = F.col(f"_t_{k}") == F.col(f"_s_{k}")
-        on = same if on is None else on & same
-    from_source = F.col("s").isNotNull()
-    inserted = F.col("t").isNull()
-
-    def value(c: str) -> Column:
-        if c not in source.columns:
-            return F.col(f"t.{c}")
-        take = from_source if c in update else inserted
-        return F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-
-    return t.join(s, on, "full").select(*[value(c).alias(c) for c in target.columns])
+    s = one_per_key(source, keys, [c for c in source.columns if c not in keys], "source")
+
+    def on(left: str, right: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"{left}{k}") == F.col(f"{right}{k}") for k in keys])
+
+    kept = target.join(s, on("", "source_"), "left").select(
+        *[
+            F.when(F.col("source").isNotNull(), F.col(f"source.{c}")).otherwise(F.col(c)).alias(c) if c in update else c
+            for c in target.columns
+        ]
+    )
+    known = target.select(*[F.col(k).alias(f"target_{k}") for k in keys])
+    new = s.join(known, on("source_", "target_"), "left_anti").select(
+        *[F.col(f"source_{k}").alias(k) for k in keys], "source.*"
+    )
+    return kept.unionByName(new, allowMissingColumns=True)

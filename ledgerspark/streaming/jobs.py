@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerspark.session import new_path
 from ledgerspark.sources.files import audit_rows
 
 
@@ -92,10 +91,3 @@ def latest_entries(spark: SparkSession, path: str, keys: Sequence[str], log_id:
     rest = [c for c in rows.columns if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), log_id).alias("l"))
     return last.select(*keys, "l.*")
-
-
-def compact_entries(spark: SparkSession, path: str, keys: Sequence[str], log_id: str) -> str:
-    """The change sets so far as one table in a new place, to be read instead of them."""
-    out = new_path(spark, "changelog")
-    latest_entries(spark, path, keys, log_id).write.parquet(out)
-    return out
