@@ -84,8 +84,9 @@ def average_without_extremes(df: DataFrame, group: str, value: str) -> DataFrame
 
 def keep_groups_with(df: DataFrame, key: str, matching: Column) -> DataFrame:
     """Rows of groups in which at least one row matches: a windowed ``sum(flag) > 0`` without
-    bringing a group together."""
-    return df.join(df.filter(matching).select(key).distinct(), key, "left_semi")
+    bringing a group together. Null is a group like any other."""
+    wanted = df.filter(matching).select(F.col(key).alias("_wanted")).distinct()
+    return df.join(wanted, F.col(key).eqNullSafe(F.col("_wanted")), "left_semi")
 
 
 def price_rises(daily: DataFrame, keys: Sequence[str], day: str, price: str) -> DataFrame:

@@ -8,6 +8,7 @@ many rows it has. Days are generated with ``sequence``, running sums are plain w
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -246,8 +247,9 @@ def cumulative_round_split(
     df: DataFrame, amount: str, weight: str, keys: Sequence[str], order: Sequence[str], **kw
 ) -> DataFrame:
     """Split ``amount`` (constant per key) by whole-number weights; the parts add up to it exactly."""
-    totals = df.groupBy(*keys).agg(F.sum(weight).alias("_len"))
-    run = with_running(df, keys, order, _cum=RunningSum(weight), **kw).join(totals, list(keys))
+    totals = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum(weight).alias("_len"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    run = with_running(df, keys, order, _cum=RunningSum(weight), **kw).join(totals, same)
 
     def upto(cum: Column) -> Column:
         return round_half_up(F.lit(1.0) * cum / F.col("_len") * F.col(amount))

@@ -13,11 +13,12 @@ from ledgerspark.operators.ordered import LastNonNull, RowNumber, with_running
 def dense_rank_desc(df: DataFrame, value: str, **kw) -> DataFrame:
     """Dense rank over the whole table, highest value first.
 
-    Only the distinct values are ranked, and they are split over tasks when there are many.
+    Only the distinct values are ranked, and they are split over tasks when there are many. A null
+    has no rank.
     """
-    values = df.select(value).distinct().withColumn("_neg", -F.col(value))
+    values = df.filter(F.col(value).isNotNull()).select(value).distinct().withColumn("_neg", -F.col(value))
     ranks = with_running(values, [], ["_neg"], rank=RowNumber(), **kw).drop("_neg")
-    return df.join(ranks, value)
+    return df.join(ranks, value, "left")
 
 
 def consecutive_values(df: DataFrame, keys: Sequence[str], order: str, value: str, times: int, **kw) -> DataFrame:

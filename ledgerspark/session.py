@@ -13,6 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
@@ -23,9 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="ledgerspark-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="ledgerspark-")
+    return _local_dirs[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
