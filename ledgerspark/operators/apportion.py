@@ -115,7 +115,8 @@ def _by_day(events: DataFrame, spans: DataFrame, keys: Sequence[str], carried: S
     """One row per day of each span with running first-rate and second-rate income, ``carried``
     columns, day number ``i`` and day count ``days``."""
     length = F.datediff("end_ts", "start_ts")
-    grid = spans.filter(length > 0).select(
+    spans = spans.filter(length > 0)
+    grid = spans.select(
         *keys, "span", *carried, length.alias("days"), F.posexplode(F.sequence(F.lit(0), length - 1)).alias("i", "_o"),
         F.to_date("start_ts").alias("_start"),
     )
@@ -217,6 +218,10 @@ def month_spans(df: DataFrame, start: str, end: str) -> DataFrame:
     return spans.filter(F.col("from_day") < F.col(end))
 
 
+def _given(day: str) -> Column:
+    return F.coalesce(F.col(day), F.raise_error(F.lit(f"{day} is missing")).cast("date"))
+
+
 def strategy_expand_months(
     df: DataFrame, subject: str, start: str, contract_end: str, amount: str, until: str,
     monthly: Sequence[str] = MONTHLY_SUBJECTS,
@@ -227,6 +232,7 @@ def strategy_expand_months(
     else 5 years. A month's part is the rounded amount up to its end less that up to its start, so
     the parts add up. Everything is computed inside the row, without a shuffle.
     """
+    df = df.withColumns({c: _given(c) for c in (start, contract_end)})
     s, e = F.col(start), F.col(contract_end)
     years = whole_years(s, F.date_sub(F.add_months(e, 12), 1))
     end = F.when(years <= 3, F.add_months(s, 36)).when(years <= 5, e).otherwise(F.add_months(s, 60))

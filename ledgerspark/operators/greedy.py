@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.ordered import RunningSum, with_running
@@ -15,20 +15,23 @@ def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str)
 
     Among intervals with one end only the latest start can matter, so a key's list shrinks to one
     entry per distinct end before it is ordered. Ends must be dates, which bounds the list by the
-    calendar however many intervals a key has.
+    calendar however many intervals a key has. Empty intervals (start = end) overlap nothing that
+    ends there and are counted.
     """
     if df.schema[end].dataType.simpleString() != "date":
         raise TypeError(f"{end} must be a date")
-    best = df.groupBy(*keys, end).agg(F.max(start).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    by_end = F.array_sort(F.collect_list(F.struct(F.col(end).alias("e"), F.col("_s").alias("s"))))
-    kept = F.aggregate(
-        by_end,
-        F.struct(F.lit(0).alias("n"), F.lit(None).cast("date").alias("last")),
-        lambda acc, x: F.when(
-            acc["last"].isNull() | (x["s"] >= acc["last"]), F.struct((acc["n"] + 1).alias("n"), x["e"].alias("last"))
-        ).otherwise(acc),
-        lambda acc: acc["n"],
+    s, e = F.col(start), F.col(end)
+    best = df.groupBy(*keys, end).agg(
+        F.max(F.when(s < e, s)).alias("_s"), F.count(F.when(s == e, 1)).alias("_empty"), F.count(F.lit(1)).alias("_n")
     )
+    by_end = F.array_sort(F.collect_list(F.struct(e.alias("e"), F.col("_s").alias("s"), F.col("_empty").alias("empty"))))
+
+    def step(acc: Column, x: Column) -> Column:
+        taken = F.when(x["s"] >= F.coalesce(acc["last"], x["s"]), 1).otherwise(0) + x["empty"]
+        return F.struct((acc["n"] + taken).alias("n"), F.when(taken > 0, x["e"]).otherwise(acc["last"]).alias("last"))
+
+    nothing = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("date").alias("last"))
+    kept = F.aggregate(by_end, nothing, step, lambda acc: acc["n"])
     return best.groupBy(*keys).agg((F.sum("_n") - kept).alias("removed"))
 
 

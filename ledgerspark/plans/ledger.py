@@ -17,12 +17,13 @@ EARLIER = ("1995-06-01", "1996-02-01")
 
 def line_ledger(spark, sf):
     """Lines as ledger entries: one payment per line, booked on the supplier's account."""
-    ship = F.col("l_shipdate")
+    ship, supplier = F.col("l_shipdate"), F.col("l_suppkey").cast("string")
+    account = F.concat(F.lit("ACC"), F.repeat(F.lit("0"), F.lit(8) - F.length(supplier)), supplier)
     payment = F.struct(
         ship.alias("time"),
         F.col("l_orderkey").cast("string").alias("txn_no"),
         cents(F.col("l_extendedprice")).alias("amount"),
-        F.format_string("ACC%08d", "l_suppkey").alias("account"),
+        account.alias("account"),
     )
     return table(spark, sf, "lineitem").select(
         rollup.time_bucket(ship).alias("hash"),
@@ -192,13 +193,19 @@ def incremental_day_loop(spark, sf):
 
 
 def ledger_files(spark, sf):
-    """Orders laid out by time bucket, and bills in directories that carry their month."""
-    ledger, bills = new_path(spark, "ledger"), new_path(spark, "bills")
+    """Orders laid out by time bucket."""
+    path = new_path(spark, "ledger")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    write_partitioned(orders.withColumn("hash", rollup.time_bucket(F.col("o_orderdate"))), ledger, "hash")
-    month = F.date_format("o_orderdate", "yyyy-MM-01")
-    write_partitioned(orders.withColumn("bill_month", month), bills, "bill_month")
-    return ledger, bills
+    write_partitioned(orders.withColumn("hash", rollup.time_bucket(F.col("o_orderdate"))), path, "hash")
+    return path
+
+
+def bill_files(spark, sf):
+    """Orders in directories that carry their month, as bills do."""
+    path = new_path(spark, "bills")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    write_partitioned(orders.withColumn("bill_month", F.date_format("o_orderdate", "yyyy-MM-01")), path, "bill_month")
+    return path
 
 
 LONG_AGO = "2001-01-01"
@@ -210,8 +217,7 @@ BILL_PATTERN = (r"bill_month=(.{10})", "yyyy-MM-dd")
     """SELECT DISTINCT CAST(floor(epoch_ms(o_orderdate) / 1000000000) AS INTEGER) AS hash, true AS in_order FROM orders""",
 )
 def partition_file_stats(spark, sf):
-    ledger, _ = ledger_files(spark, sf)
-    stats = pt.partition_file_stats(spark, ledger, "hash int", lo=LONG_AGO)
+    stats = pt.partition_file_stats(spark, ledger_files(spark, sf), "hash int", lo=LONG_AGO)
     return stats.select("hash", (F.col("min_time") <= F.col("max_time")).alias("in_order"))
 
 
@@ -220,13 +226,12 @@ def partition_file_stats(spark, sf):
     "SELECT min(CAST(CAST(floor(epoch_ms(o_orderdate) / 1000000000) AS INTEGER) AS VARCHAR)) AS lead FROM orders",
 )
 def lead_partition(spark, sf):
-    return pt.lead_partition(spark, ledger_files(spark, sf)[0], "hash", LONG_AGO)
+    return pt.lead_partition(spark, ledger_files(spark, sf), "hash", LONG_AGO)
 
 
 @query("earliest_changed_bill_date", "SELECT strftime(min(o_orderdate), '%Y-%m-01') AS day FROM orders")
 def earliest_changed_bill_date(spark, sf):
-    _, bills = ledger_files(spark, sf)
-    found = pt.earliest_changed_bill_date(spark, [(bills, *BILL_PATTERN)], LONG_AGO)
+    found = pt.earliest_changed_bill_date(spark, [(bill_files(spark, sf), *BILL_PATTERN)], LONG_AGO)
     return found.select(F.col("day").cast("string").alias("day"))
 
 
@@ -238,9 +243,8 @@ def earliest_changed_bill_date(spark, sf):
                CAST(max(o_orderdate) AS DATE) AS last FROM orders)""",
 )
 def incremental_window(spark, sf):
-    ledger, bills = ledger_files(spark, sf)
-    lead = pt.lead_partition(spark, ledger, "hash", LONG_AGO)
-    changed = pt.earliest_changed_bill_date(spark, [(bills, *BILL_PATTERN)], LONG_AGO)
+    lead = pt.lead_partition(spark, ledger_files(spark, sf), "hash", LONG_AGO)
+    changed = pt.earliest_changed_bill_date(spark, [(bill_files(spark, sf), *BILL_PATTERN)], LONG_AGO)
     today = table(spark, sf, "orders").agg(F.to_date(F.max("o_orderdate"))).scalar()
     bounds = rc.incremental_window(lead, changed, "1994-12-30", "3 months", today)
     return bounds.select(F.col("start").cast("string").alias("start"), F.col("end").cast("string").alias("end"))

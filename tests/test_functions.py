@@ -176,6 +176,26 @@ def test_greedy(spark):
     assert {r.k: r.removed for r in greedy.interval_schedule(df, ["k"], "s", "e").collect()} == {"k": 1, "j": 2}
 
 
+def test_interval_schedule_equals_brute_force(spark):
+    import itertools
+    import random
+
+    rng = random.Random(5)
+    rows, want = [], {}
+    for key in range(25):
+        spans = [tuple(sorted((rng.randint(1, 9), rng.randint(1, 9)))) for _ in range(rng.randint(1, 7))]
+        rows += [(key, dt.date(2020, 1, s), dt.date(2020, 1, e)) for s, e in spans]
+
+        def fits(chosen):
+            ordered = sorted(chosen, key=lambda x: (x[1], x[0]))
+            return all(b[0] >= a[1] for a, b in zip(ordered, ordered[1:]))
+
+        most = max(len(c) for n in range(len(spans) + 1) for c in itertools.combinations(spans, n) if fits(c))
+        want[key] = len(spans) - most
+    df = spark.createDataFrame(rows, "k int, s date, e date")
+    assert {r.k: r.removed for r in greedy.interval_schedule(df, ["k"], "s", "e").collect()} == want
+
+
 def test_greedy_assignment_equals_matching(spark):
     import random
 
