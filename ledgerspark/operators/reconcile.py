@@ -104,7 +104,10 @@ def match_bills(payments: DataFrame, bills: DataFrame) -> DataFrame:
         F.sum("amount").alias("amount"), F.max("account").alias("account"), F.max("time").alias("local_time")
     )
     paid = bills.groupBy("pay_order").agg(F.sum("pay_amount").alias("pay_amount"), F.max("pay_time").alias("time"))
-    both = stored(ledger.join(paid, F.col("order_no") == F.col("pay_order"), "full"), "matched")
+    # rows without a number match nothing; their second number keeps them from meeting in one task
+    ledger = ledger.withColumns({"_numbered": F.col("order_no").isNotNull(), "_no": F.coalesce("order_no", "order_no2")})
+    same = F.col("_numbered") & (F.col("_no") == F.col("pay_order"))
+    both = stored(ledger.join(paid, same, "full").drop("_numbered", "_no"), "matched")
     covered = both.filter(F.col("pay_order").isNotNull()).select(F.col("account").alias("_account")).distinct()
     return both.join(covered, F.col("account").eqNullSafe(F.col("_account")), "left_semi")
 

@@ -54,7 +54,7 @@ def test_reconcile(spark):
              array(named_struct('time', t, 'txn_no', no, 'amount', amt, 'account', acc)) AS payment,
              named_struct('order_no', 'O' || no) AS `order`
            FROM VALUES ('2020-01-01 10:00:00', 'p1', 500L, 'A'), ('2020-01-01 11:00:00', 'p2', 300L, 'A'),
-                       ('2020-01-02 10:00:00', 'p3', 700L, 'A'), ('2020-01-02 10:00:00', 'p4', 100L, 'B') AS v(t, no, amt, acc)"""
+                       ('2020-01-02 10:00:00', 'p3', 700L, 'A'), ('2020-01-02 10:00:00', null, 11L, 'A'), ('2020-01-02 10:00:00', 'p4', 100L, 'B') AS v(t, no, amt, acc)"""
     )
     bills = spark.sql(
         """SELECT timestamp(t) AS pay_time, no AS pay_order, amt AS pay_amount
@@ -63,10 +63,10 @@ def test_reconcile(spark):
     )
     out = rc.reconcile_bills(ledger, bills, "2020-01-01", "2020-01-03")
     # account B has no matched bill and is not reconciled; p1 adds up to 0
-    assert {r.order_no: r.amount for r in out.collect()} == {"p2": 50, "p3": 700, "x9": -40}
+    assert {r.order_no: r.amount for r in out.collect()} == {"p2": 50, "p3": 700, "x9": -40, None: 11}
     settled = spark.createDataFrame([("p3", "Op3", -700, "A"), ("p0", "Op0", 5, "A")], "order_no string, order_no2 string, amount long, account string")
     carried = rc.carry_forward(out, settled.withColumn("time", F.to_timestamp(F.lit("2019-12-31"))), "2020-01-01")
-    assert {r.order_no: r.amount for r in carried.collect()} == {"p2": 50, "x9": -40, "p0": 5}
+    assert {r.order_no: r.amount for r in carried.collect()} == {"p2": 50, "x9": -40, "p0": 5, None: 11}
 
 
 def test_bill_files(spark, tmp_path):
