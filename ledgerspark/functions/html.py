@@ -37,6 +37,11 @@ def elements_with(html: Column, tag: str, attribute: str, value: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is){start}(.*?)</{tag}\s*>"), F.lit(1))
 
 
+def descendants(fragments: Column, tag: str) -> Column:
+    """Inner HTML of the elements of a tag inside each of the fragments."""
+    return F.flatten(F.transform(fragments, lambda f: elements(f, tag)))
+
+
 def attribute(fragment: Column, name: str) -> Column:
     """First value of an attribute in a fragment; null when it has none."""
     value = F.regexp_extract(fragment, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1)

@@ -6,7 +6,7 @@ the best plan while the largest group is small, so the size is checked first. Be
 group over many tasks: each range ("chunk") computes its own running values, one summary row
 per (keys, chunk) is combined across chunks, and what earlier chunks carry into a chunk is
 joined back. A chunk can continue only the one group that its predecessor ended with, so the
-carry table has fewer rows than there are chunks and is safe to broadcast.
+carry table has fewer rows than there are chunks, at most ``MAX_CHUNKS``, and is safe to broadcast.
 
 ``order`` names ascending columns that are unique within a group.
 """
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from ledgerspark.session import stored
 
 MAX_GROUP_ROWS = 2_000_000
+# bounds the carry table; beyond it chunks grow instead
+MAX_CHUNKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -146,7 +148,7 @@ def with_running(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name: op.result(op.local(w)) for name, op in ops.items()})
 
-    chunks = max(2, math.ceil(total / max_group_rows))
+    chunks = min(MAX_CHUNKS, max(2, math.ceil(total / max_group_rows)))
     ranged = stored(
         df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "ordered"
     )

@@ -153,8 +153,10 @@ def test_html_selectors_and_links(spark):
         h.texts(h.elements(F.col("html"), "li")).alias("li"),
         h.texts(h.elements_with(F.col("html"), "ul", "class", "city_con")).alias("by_class"),
         h.texts(h.elements_with(F.col("html"), "div", "id", "city")).alias("by_id"),
+        h.texts(h.descendants(h.elements_with(F.col("html"), "ul", "class", "x"), "li")).alias("inside"),
     ).first()
     assert (got.title, got.li, got.by_class, got.by_id) == ("A <b>", ["北京", "上海"], ["北京上海"], ["北京上海"])
+    assert got.inside == ["北京", "上海"]
     links = {r.dst for r in h.html_links(page, "url", "html").collect()}
     assert links == {"http://h.com/p/1", "http://h.com/q2"}
     images = [(r.nth, r.src, r.alt) for r in h.html_images(page, "html").orderBy("nth").collect()]
