@@ -1,9 +1,9 @@
 """Running values over ordered groups, for groups of any size.
 
 A window over ``partitionBy(keys).orderBy(order)`` puts a whole group into one task. That is
-the best plan while the largest group is small, so the size is checked first. Beyond
-``max_group_rows`` the rows are range-partitioned by (keys, order) instead, which splits a hot
-group over many tasks: each range ("chunk") computes its own running values, one summary row
+the best plan for small groups, so the sizes are checked first. The rows of groups beyond
+``max_group_rows`` are range-partitioned by (keys, order) instead, which splits a hot group over
+many tasks: each range ("chunk") computes its own running values, one summary row
 per (keys, chunk) is combined across chunks, and what earlier chunks carry into a chunk is
 joined back. A chunk can continue only the one group that its predecessor ended with, so the
 carry table has fewer rows than there are chunks, at most ``MAX_CHUNKS``, and is safe to broadcast.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -129,12 +130,6 @@ class Previous:
         return merged["v"]
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, rows in all): one partial-aggregated count, two numbers back."""
-    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return row[0] or 0, row[1] or 0
-
-
 def with_running(
     df: DataFrame,
     keys: Sequence[str],
@@ -143,12 +138,34 @@ def with_running(
     **ops,
 ) -> DataFrame:
     """``df`` plus one column per running value in ``ops``."""
-    largest, total = group_sizes(df.select(*keys), keys) if keys else (df.count(),) * 2
-    if largest <= max_group_rows:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: op.result(op.local(w)) for name, op in ops.items()})
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    is_hot = F.col("_rows") > max_group_rows
+    hot_rows = sizes.agg(F.coalesce(F.sum(F.when(is_hot, F.col("_rows"))), F.lit(0))).first()[0]
+    if not hot_rows:
+        return _one_window(df, keys, order, ops)
+    if not keys:
+        return _split(df, keys, order, ops, hot_rows, max_group_rows)
+    # fewer than rows / max_group_rows keys
+    hot = stored(sizes.filter(is_hot).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot")
+    same = _same(keys, "_hot_")
+    cold = _one_window(df.join(F.broadcast(hot), same, "left_anti"), keys, order, ops)
+    split = _split(df.join(F.broadcast(hot), same, "left_semi"), keys, order, ops, hot_rows, max_group_rows)
+    return cold.unionByName(split)
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
-    chunks = min(MAX_CHUNKS, max(2, math.ceil(total / max_group_rows)))
+
+def _one_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], ops: dict) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({name: op.result(op.local(w)) for name, op in ops.items()})
+
+
+def _split(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ops: dict, rows: int, max_group_rows: int
+) -> DataFrame:
+    chunks = min(MAX_CHUNKS, max(2, math.ceil(rows / max_group_rows)))
     ranged = stored(
         df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "ordered"
     )
@@ -169,8 +186,8 @@ def with_running(
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     local = ranged.withColumns({f"_local_{n}": op.local(w) for n, op in ops.items()})
     on = F.col("_chunk") == F.col("_at")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    if keys:
+        on = on & _same(keys, "_key_")
     return local.join(F.broadcast(carried), on, "left").select(
         *df.columns,
         *[op.result(op.merge(F.col(f"_local_{n}"), F.col(f"_carry_{n}"))).alias(n) for n, op in ops.items()],
