@@ -91,7 +91,7 @@ def snowflake_ids(df: DataFrame, ts: str, worker: str, datacenter: str, order: s
     ms = F.unix_millis(F.col(ts).cast("timestamp")) - ID_EPOCH_MS
     rows = df.withColumn("_first", F.shiftleft(ms, SEQUENCE_BITS))
     keys = [datacenter, worker]
-    rows = with_running(rows, keys, ["_first", order], _rn=RowNumber(), **kw)
+    rows = with_running(rows, keys, ["_first", order], store_split=True, _rn=RowNumber(), **kw)
     rows = rows.withColumn("_lead", F.col("_first") - F.col("_rn"))
     rows = with_running(rows, keys, ["_first", order], _max=RunningMax("_lead"), **kw)
     slot = F.col("_max") + F.col("_rn")

@@ -135,22 +135,30 @@ def with_running(
     keys: Sequence[str],
     order: Sequence[str],
     max_group_rows: int = MAX_GROUP_ROWS,
+    *,
+    store_split: bool = False,
     **ops,
 ) -> DataFrame:
-    """``df`` plus one column per running value in ``ops``."""
+    """``df`` plus one column per running value in ``ops``.
+
+    ``store_split`` writes the result to the shared folder when groups had to be split, for
+    callers that go over it more than once.
+    """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     is_hot = F.col("_rows") > max_group_rows
     hot_rows = sizes.agg(F.coalesce(F.sum(F.when(is_hot, F.col("_rows"))), F.lit(0))).first()[0]
     if not hot_rows:
         return _one_window(df, keys, order, ops)
     if not keys:
-        return _split(df, keys, order, ops, hot_rows, max_group_rows)
+        whole = _split(df, keys, order, ops, hot_rows, max_group_rows)
+        return stored(whole, "ordered") if store_split else whole
     # fewer than rows / max_group_rows keys
     hot = stored(sizes.filter(is_hot).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot")
     same = _same(keys, "_hot_")
     cold = _one_window(df.join(F.broadcast(hot), same, "left_anti"), keys, order, ops)
     split = _split(df.join(F.broadcast(hot), same, "left_semi"), keys, order, ops, hot_rows, max_group_rows)
-    return cold.unionByName(split)
+    both = cold.unionByName(split)
+    return stored(both, "ordered") if store_split else both
 
 
 def _same(keys: Sequence[str], prefix: str) -> Column:

@@ -26,7 +26,7 @@ def consecutive_values(df: DataFrame, keys: Sequence[str], order: str, value: st
 
     Row number within the key less row number within (key, value) is constant along a run.
     """
-    numbered = with_running(df.select(*keys, order, value), keys, [order], _all=RowNumber(), **kw)
+    numbered = with_running(df.select(*keys, order, value), keys, [order], store_split=True, _all=RowNumber(), **kw)
     numbered = with_running(numbered, [*keys, value], [order], _same=RowNumber(), **kw)
     runs = numbered.groupBy(*keys, value, (F.col("_all") - F.col("_same")).alias("_run")).count()
     return runs.filter(F.col("count") >= times).select(*keys, value).distinct()
