@@ -47,7 +47,7 @@ def groups_without(df: DataFrame, key: str, matching: Column, listed: str) -> Da
 
 
 def string_join(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, sep: str = ",", per_row: int = 1000, **kw
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, sep: str = ",", *, per_row: int, **kw
 ) -> DataFrame:
     """Join the non-null values of a key in order.
 

@@ -1,32 +1,26 @@
 """Running values over ordered groups, for groups of any size.
 
-A window over ``partitionBy(keys).orderBy(order)`` puts a whole group into one task. That is
-the best plan for small groups, so the sizes are checked first. The rows of groups beyond
-``max_group_rows`` are range-partitioned by (keys, order) instead, which splits a hot group over
-many tasks: each range ("chunk") computes its own running values, one summary row
-per (keys, chunk) is combined across chunks, and what earlier chunks carry into a chunk is
-joined back. A chunk can continue only the one group that its predecessor ended with, so the
-carry table has fewer rows than there are chunks, at most ``MAX_CHUNKS``, and is safe to broadcast.
-
-``order`` names ascending columns that are unique within a group.
+A window over ``partitionBy(keys).orderBy(order)`` puts a whole group into one task. Here the
+rows are always range-partitioned by (keys, order), which splits a large group over many tasks:
+each range ("chunk") computes its own running values, one summary row per (keys, chunk) is
+combined across chunks, and what earlier chunks carry into a chunk is joined back. A chunk
+continues at most the one group that its predecessor ended with, so the carry table has fewer
+rows than there are chunks; whether it is broadcast is left to its measured size.
+
+The ranged rows are written once, as the bounds of ranges are sampled and both readers must see
+the same ones. ``order`` names ascending columns that are unique within a group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerspark.session import stored
 
-MAX_GROUP_ROWS = 2_000_000
-# bounds the carry table; beyond it chunks grow instead
-MAX_CHUNKS = 20_000
-
 
 @dataclass(frozen=True)
 class RowNumber:
@@ -130,53 +124,14 @@ class Previous:
         return merged["v"]
 
 
-def with_running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-    *,
-    store_split: bool = False,
-    **ops,
-) -> DataFrame:
+def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None, **ops) -> DataFrame:
     """``df`` plus one column per running value in ``ops``.
 
-    ``store_split`` writes the result to the shared folder when groups had to be split, for
-    callers that go over it more than once.
+    ``chunks`` is the number of ranges, by default the session's ``spark.sql.shuffle.partitions``.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    is_hot = F.col("_rows") > max_group_rows
-    hot_rows = sizes.agg(F.coalesce(F.sum(F.when(is_hot, F.col("_rows"))), F.lit(0))).first()[0]
-    if not hot_rows:
-        return _one_window(df, keys, order, ops)
-    if not keys:
-        whole = _split(df, keys, order, ops, hot_rows, max_group_rows)
-        return stored(whole, "ordered") if store_split else whole
-    # fewer than rows / max_group_rows keys
-    hot = stored(sizes.filter(is_hot).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot")
-    same = _same(keys, "_hot_")
-    cold = _one_window(df.join(F.broadcast(hot), same, "left_anti"), keys, order, ops)
-    split = _split(df.join(F.broadcast(hot), same, "left_semi"), keys, order, ops, hot_rows, max_group_rows)
-    both = cold.unionByName(split)
-    return stored(both, "ordered") if store_split else both
-
-
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
-
-
-def _one_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], ops: dict) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumns({name: op.result(op.local(w)) for name, op in ops.items()})
-
-
-def _split(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], ops: dict, rows: int, max_group_rows: int
-) -> DataFrame:
-    chunks = min(MAX_CHUNKS, max(2, math.ceil(rows / max_group_rows)))
-    ranged = stored(
-        df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "ordered"
-    )
+    spark = df.sparkSession
+    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "ordered")
     position = F.struct(*[F.col(c) for c in order])
     summary = ranged.groupBy(*keys, "_chunk").agg(*[op.summary(position).alias(n) for n, op in ops.items()])
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
@@ -194,9 +149,9 @@ def _split(
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     local = ranged.withColumns({f"_local_{n}": op.local(w) for n, op in ops.items()})
     on = F.col("_chunk") == F.col("_at")
-    if keys:
-        on = on & _same(keys, "_key_")
-    return local.join(F.broadcast(carried), on, "left").select(
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return local.join(carried, on, "left").select(
         *df.columns,
         *[op.result(op.merge(F.col(f"_local_{n}"), F.col(f"_carry_{n}"))).alias(n) for n, op in ops.items()],
     )

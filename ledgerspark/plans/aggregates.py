@@ -263,7 +263,7 @@ def multiset_multimap_agg(spark, sf):
 )
 def string_join_agg(spark, sf):
     events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
-    return agg.string_join(events, ["user_id"], ["ts", "event_id"], "event_type")
+    return agg.string_join(events, ["user_id"], ["ts", "event_id"], "event_type", per_row=1000)
 
 
 @query(

@@ -134,7 +134,7 @@ def test_min_of_two_running(spark):
         c1, c2 = (c1 + a, c2) if i == 1 else (c1, c2 + a)
         want.append(min(c1, c2) - before)
     assert out == want
-    split = ap.min_of_two_running(df, "amount", "item", ["k"], ["o"], max_group_rows=2).orderBy("o").collect()
+    split = ap.min_of_two_running(df, "amount", "item", ["k"], ["o"], chunks=4).orderBy("o").collect()
     assert [r.increase for r in split] == want
 
 
@@ -158,6 +158,6 @@ def test_strategy_expand_months(spark):
 
 def test_split_adds_up(spark):
     df = spark.range(97).select(F.lit(1).alias("k"), "id", (F.col("id") % 7 + 1).alias("w"), F.lit(1000).alias("a"))
-    for limit in (1000, 10):
-        out = ap.cumulative_round_split(df, "a", "w", ["k"], ["id"], max_group_rows=limit)
+    for limit in (1, 10):
+        out = ap.cumulative_round_split(df, "a", "w", ["k"], ["id"], chunks=limit)
         assert out.agg(F.sum("part")).first()[0] == 1000

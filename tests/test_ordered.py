@@ -20,13 +20,13 @@ def test_split_groups_equal_plain_windows(spark):
     )
     ops = dict(rn=RowNumber(), s=RunningSum("v"), m=RunningMax("v"), last=LastNonNull("v"), prev=Previous("v"))
     for keys in (["k"], []):
-        plain = with_running(df, keys, ["o", "id"], **ops).collect()
-        split = with_running(df, keys, ["o", "id"], max_group_rows=100, **ops).collect()
+        plain = with_running(df, keys, ["o", "id"], chunks=1, **ops).collect()
+        split = with_running(df, keys, ["o", "id"], chunks=23, **ops).collect()
         assert sorted(map(str, plain)) == sorted(map(str, split))
         assert len(split) == 3000
 
 
 def test_null_keys_are_one_group(spark):
     df = spark.range(500).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("o"))
-    rows = with_running(df, ["k"], ["o"], max_group_rows=50, rn=RowNumber()).collect()
+    rows = with_running(df, ["k"], ["o"], chunks=9, rn=RowNumber()).collect()
     assert sorted(r.rn for r in rows) == list(range(1, 501))
