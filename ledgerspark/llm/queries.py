@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import bpe, license_scan, quality_cnn, quality_rules, url_filter
+from ledgerspark.llm import (
+    bpe,
+    license_scan,
+    quality_cnn,
+    quality_rules,
+    scaled_sketch,
+    secret_scan,
+    simhash_dedup,
+    source_mix,
+    token_counts,
+    url_filter,
+)
 from ledgerspark.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +36,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_secret_scan")
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fitted(docs))
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -155,3 +172,24 @@ URL_RULES = (
 )
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+@query("op7_simhash_dedup")
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op8_scaled_sketch")
+def op8_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.document_token_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
+
+
+@query("op10_source_mix")
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = source_mix.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
