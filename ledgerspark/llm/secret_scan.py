@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 _RUN = "A-Za-z0-9+/_-"
 #: A private key block; a run of 16 or more key characters with a digit; or 8 or more characters after = or :.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]*+PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]*+PRIVATE KEY-----)?"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*+(?:-----END [A-Z ]*PRIVATE KEY-----)?"
     rf"|(?<![{_RUN}])(?=[A-Za-z+/_-]*+[0-9])[{_RUN}]{{16,}}+={{0,2}}"
     r"|(?<=[=:][ ]?[\"']?)[^\s\"'<>,;=:(){}\[\]|/]{8,}+"
 )
@@ -242,6 +242,8 @@ def masked(docs: DataFrame, model: PipelineModel, key: str = "doc_id", text: str
         # longest first, so that none is cut by one that it contains
         .agg(F.sort_array(F.collect_set(F.struct(F.length("candidate").alias("n"), F.col("candidate").alias("c"))), False).alias("_secrets"))
     )
-    body = F.aggregate("_secrets", F.col(text), lambda t, s: F.replace(t, s["c"], F.lit(MASK)))
-    met = docs.join(secrets, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_of")), "left")
-    return met.select(*[F.when(F.col("_secrets").isNull(), F.col(text)).otherwise(body).alias(text) if c == text else F.col(c) for c in docs.columns])
+    secrets = secrets.select(F.struct("_key", "_of", "_secrets").alias("s"))
+    found = secrets["s"]
+    body = F.aggregate(found["_secrets"], docs[text], lambda t, s: F.replace(t, s["c"], F.lit(MASK)))
+    met = docs.join(secrets, docs[key].eqNullSafe(found["_key"]) & (F.xxhash64(docs[text]) == found["_of"]), "left")
+    return met.select(*[F.when(found.isNull(), docs[c]).otherwise(body).alias(c) if c == text else docs[c] for c in docs.columns])
