@@ -264,9 +264,11 @@ def decode(tokens: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary:
     return tokens.select(key, ids).mapInArrow(run, f"`{key}` {tokens.schema[key].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+def round_trip(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, with_ids: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: key, n_tokens, and the SHA-256 of the ids (as little-endian unsigned
-    32-bit integers) and of the decoded text (UTF-8). Nulls and repeats as in ``encode``."""
+    32-bit integers) and of the decoded text (UTF-8); ``with_ids`` adds the ids. Nulls and repeats as in ``encode``."""
 
     def rows(tok: Tokenizer, texts: list[str]) -> list[list]:
         ids = tok.encode(texts)
@@ -274,6 +276,8 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabul
             [len(i) // 4 for i in ids],
             [hashlib.sha256(i).hexdigest() for i in ids],
             [hashlib.sha256(tok.decode(i).encode()).hexdigest() for i in ids],
+            *([[np.frombuffer(i, "<u4").astype(np.int32) for i in ids]] if with_ids else []),
         ]
 
-    return mapped(docs, key, text, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, rows, vocabulary)
+    columns = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"} | ({"ids": "array<int>"} if with_ids else {})
+    return mapped(docs, key, text, columns, rows, vocabulary)

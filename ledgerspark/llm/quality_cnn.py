@@ -229,6 +229,24 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) ->
     return Network.unpack(bytes(got[0].net)) if got else None
 
 
+def kept(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least the threshold.
+
+    Rows are judged where they are, without a shuffle. Nulls and a missing network count as in ``score``.
+    """
+    packed, at = net.pack() if net else None, docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network.unpack(packed) if packed else None
+        tables = _tables(net.taps) if net else None
+        for batch in batches:
+            if net:
+                batch = batch.filter(pa.array(score_texts(net, [_bytes(t.as_py()) for t in batch.column(at)], tables) >= THRESHOLD))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, held_out, score from 0 to 1 and predicted (score >= 0.3).
 

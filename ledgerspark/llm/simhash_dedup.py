@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.session import stored
@@ -54,15 +54,17 @@ def simhash(text: str | None, words: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key and ``fp``, the fingerprint as a signed 64-bit number."""
+    """One row per row of ``docs``: key, ``digest`` (64-bit hash of the text) and ``fp``, the fingerprint as
+    a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([simhash(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made)], [batch.schema.names[0], "fp"])
+            made = np.array([simhash(t.as_py()) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made)], [key, "digest", "fp"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, fp bigint")
+    rows = docs.select(key, F.xxhash64(text).alias("digest"), F.col(text).alias("_text"))
+    return rows.mapInArrow(run, f"`{key}` {kind}, digest bigint, fp bigint")
 
 
 def _distance(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -262,8 +264,9 @@ def components(edges: DataFrame, label: str = "links") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key, fp, fingerprint (16 lowercase hex digits) and component_id, the
-    smallest key among the documents reachable over links of at most NEAR differing bits.
+    """One row per row of ``docs``: key, digest, fp, fingerprint (16 lowercase hex digits), group (the least
+    fp of the component) and component_id, the smallest key among the documents reachable over links
+    of at most NEAR differing bits.
 
     The whole text counts. Null, empty and blank texts have fingerprint 0, which links like any
     other. Null keys have a fingerprint and a component, but name none: a component without any
@@ -280,7 +283,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         rooted.join(heads, F.col("_root") == F.col("_head"), "left_semi").groupBy(F.col("_root").alias("_head")).agg(F.min("_least").alias("_of"))
     )
     named = rooted.join(group, F.col("_root") == F.col("_head"), "left").select(
-        F.col("fp").alias("_fp"), F.when(F.col("_head").isNull(), F.col("_least")).otherwise(F.col("_of")).alias("component_id")
+        F.col("fp").alias("_fp"), F.col("_root").alias("group"), F.when(F.col("_head").isNull(), F.col("_least")).otherwise(F.col("_of")).alias("component_id")
     )
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return each.join(named, F.col("fp") == F.col("_fp")).select(key, "fp", shown, "component_id")
+    return each.join(named, F.col("fp") == F.col("_fp")).select(key, "digest", "fp", shown, "group", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each component: the smallest key's, null keys last.
+
+    A representative is named by key and text hash, so rows that share a key but not the text are
+    told apart; of rows that share both, the first by a hash of the other columns stays.
+    """
+    near = near_duplicates(docs, key, text)
+    first = near.groupBy("group").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "digest")).alias("r"))
+    kind = docs.schema[key].dataType
+    chosen = first.select(
+        F.col("r.none").alias("_c0"), F.coalesce("r.id", F.lit(0).cast(kind)).alias("_c1"), F.col("r.digest").alias("_c2")
+    )
+    row = docs.select(
+        F.col(key).isNull().alias("_n0"), F.coalesce(F.col(key), F.lit(0).cast(kind)).alias("_n1"), F.xxhash64(text).alias("_n2"),
+        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
+    )
+    met = row.join(chosen, [F.col(f"_n{i}") == F.col(f"_c{i}") for i in range(3)], "left_semi")
+    copies = Window.partitionBy("_n0", "_n1", "_n2").orderBy(F.xxhash64("_row"))
+    return met.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").select("_row.*")

@@ -92,6 +92,21 @@ def schedule(shares: DataFrame) -> DataFrame:
     )
 
 
+def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **kw) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix takes it: its taken words over its size, rounded.
+
+    Rows without words are in no mix. Of each source at most the one document that the quota ends in
+    is rounded. Rows equal in key, source and text take what they get together in equal parts.
+    """
+    shares = mix(docs, key, text, source, **kw).filter("size > 0").groupBy(key, "source", "digest")
+    copies = F.round(F.sum("taken") / F.sum("size")).cast("int")
+    times = shares.agg(copies.alias("times")).filter("times > 0").select(F.struct("*").alias("_t"))
+    t = times["_t"]
+    same = docs[key].eqNullSafe(t[key]) & docs[source].eqNullSafe(t["source"]) & (F.xxhash64(docs[text]) == t["digest"])
+    each = docs.join(times, same).select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.explode(F.sequence(F.lit(1), t["times"])))
+    return each.select("_row.*")
+
+
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
