@@ -43,6 +43,7 @@ def share_by_strategy(
 
     ``days``, ``total``, ``method`` and ``rates`` are constant per key. Method "days" spreads
     ``rates[0].a`` evenly; "amount" spreads it by income when it is not 0, else applies the tiers.
+    Without any income in total there is nothing to spread by: every day has 0 then.
     A row closes the days since the row before it, so the last row must sit on the last day.
     """
     daily = df.groupBy(*keys, day).agg(
@@ -61,7 +62,7 @@ def share_by_strategy(
         .when(F.col(f"_{method}") != "amount", F.raise_error(F.lit("unknown share method")).cast("bigint"))
         .when(
             amount != 0,
-            F.when(pre < 0, 0).otherwise(round_half_up(amount * F.lit(1.0) * pre / F.col(f"_{total}"))),
+            F.when(pre < 0, 0).otherwise(F.coalesce(round_half_up(F.try_divide(amount * F.lit(1.0) * pre, F.col(f"_{total}"))), F.lit(0))),
         )
         .otherwise(F.signum(by_rate).cast("bigint") * round_half_up(F.abs(by_rate)))
     )
@@ -258,13 +259,16 @@ def strategy_expand_months(
 def cumulative_round_split(
     df: DataFrame, amount: str, weight: str, keys: Sequence[str], order: Sequence[str], **kw
 ) -> DataFrame:
-    """Split ``amount`` (constant per key) by whole-number weights; the parts add up to it exactly."""
+    """Split ``amount`` (constant per key) by whole-number weights; the parts add up to it exactly.
+
+    Weights that add up to 0 name no shares: all parts are 0 then, whatever the amount.
+    """
     totals = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sum(weight).alias("_len"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     run = with_running(df, keys, order, _cum=RunningSum(weight), **kw).join(totals, same)
 
     def upto(cum: Column) -> Column:
-        return round_half_up(F.lit(1.0) * cum / F.col("_len") * F.col(amount))
+        return F.coalesce(round_half_up(F.try_divide(F.lit(1.0) * cum, F.col("_len")) * F.col(amount)), F.lit(0))
 
     part = upto(F.col("_cum")) - upto(F.col("_cum") - F.coalesce(F.col(weight), F.lit(0)))
     return run.select(*df.columns, part.cast("bigint").alias("part"))

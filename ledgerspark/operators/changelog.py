@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.ordered import LastNonNull, Previous, with_running
+from ledgerspark.operators.ordered import LastNonNull, Previous, RowNumber, with_running
 
 PATH = ("field", "ordinal", "sub")
 # Fields that the form system fills itself.
@@ -80,10 +81,10 @@ def changelog_rebuild_state(log: DataFrame, keys: Sequence[str], log_id: str = "
     )
 
 
-def latest_state(log: DataFrame, keys: Sequence[str], log_id: str = "log_id") -> DataFrame:
-    """Values of the last entry of each path, without those it removed: one partial aggregation."""
-    last = log.groupBy(*keys).agg(F.max_by(F.struct("op", "values"), log_id).alias("_l"))
-    return last.filter("_l.op <> 'remove'").select(*keys, F.col("_l.values").alias("values"))
+def final_state(rebuilt: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
+    """What holds at the end of a rebuilt log, one row per value: keys, place (from 1) and value."""
+    numbered = with_running(rebuilt.filter("valid_to IS NULL"), keys, ["valid_from", "nth"], place=RowNumber(), **kw)
+    return numbered.select(*keys, "place", "value")
 
 
 def changelog_check_before(log: DataFrame, keys: Sequence[str], log_id: str = "log_id", **kw) -> DataFrame:
@@ -96,29 +97,46 @@ def changelog_check_before(log: DataFrame, keys: Sequence[str], log_id: str = "l
     )
 
 
+def state_values(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A state with one array per cell (keys, title, values) as one row per value."""
+    return state.select(*keys, "title", F.posexplode("values").alias("place", "value"))
+
+
 def state_differences(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells that differ between two states (keys, title, values).
+    """Cells that differ between two states, one row per value (keys, title, place, value).
 
-    Cells without values are absent. Values compare in order, as text. A title that is null or
-    empty on either side is an error in the data and is reported as one.
+    Values compare place by place, as text, so a cell of any length is never brought together. A
+    title that is null or empty on either side is an error in the data and is reported as one.
     """
-    l = left.filter(F.size("values") > 0).select(*keys, F.col("title").alias("lt"), F.col("values").alias("lv"))
-    r = right.filter(F.size("values") > 0).select(*keys, F.col("title").alias("rt"), F.col("values").alias("rv"))
-    both = F.col("lv").isNotNull() & F.col("rv").isNotNull()
-    untitled = F.coalesce(F.col("lt") == "", F.lit(True)) | F.coalesce(F.col("rt") == "", F.lit(True))
-    problem = (
-        F.when(F.col("rv").isNull(), "only left")
-        .when(F.col("lv").isNull(), "only right")
-        .when(both & untitled, "no title")
-        .when(F.col("lt") != F.col("rt"), "title")
-        .when(~F.col("lv").eqNullSafe(F.col("rv")), "values")
+    place = [*keys, "place"]
+
+    def side(state: DataFrame, s: str) -> DataFrame:
+        return state.select(
+            *[F.col(c).alias(f"{s}_{c}") for c in place], F.struct(F.col("title").alias("t"), F.col("value").alias("v")).alias(s)
+        )
+
+    same = reduce(lambda a, b: a & b, [F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")) for c in place])
+    met = side(left, "l").join(side(right, "r"), same, "full")
+    own = [F.when(F.col("l").isNotNull(), F.col(f"l_{k}")).otherwise(F.col(f"r_{k}")).alias(k) for k in keys]
+
+    def untitled(s: str) -> Column:
+        return F.col(s).isNotNull() & F.coalesce(F.col(f"{s}.t") == "", F.lit(True))
+
+    cells = met.groupBy(*own).agg(
+        F.count("l").alias("n_l"),
+        F.count("r").alias("n_r"),
+        F.bool_or(untitled("l") | untitled("r")).alias("untitled"),
+        F.bool_or(F.coalesce(F.col("l.t") != F.col("r.t"), F.lit(False))).alias("title"),
+        F.bool_or(~F.col("l.v").eqNullSafe(F.col("r.v"))).alias("values"),
     )
-    return (
-        l.join(r, list(keys), "full")
-        .withColumn("problem", problem)
-        .filter(F.col("problem").isNotNull())
-        .select(*keys, "problem")
+    problem = (
+        F.when(F.col("n_r") == 0, "only left")
+        .when(F.col("n_l") == 0, "only right")
+        .when(F.col("untitled"), "no title")
+        .when(F.col("title"), "title")
+        .when(F.col("values") | (F.col("n_l") != F.col("n_r")), "values")
     )
+    return cells.withColumn("problem", problem).filter(F.col("problem").isNotNull()).select(*keys, "problem")
 
 
 def changelog_check_final(rebuilt: DataFrame, online: DataFrame, keys: Sequence[str]) -> DataFrame:

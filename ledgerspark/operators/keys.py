@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 def one_per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str) -> DataFrame:
     """``columns`` of each key as the struct ``name``, with the keys as ``{name}_{key}``; a repeated
-    key is an error.
+    key is an error. Null is a key like any other.
 
-    The rows are partitioned by key up front: the grouping and a join by the same keys then share
-    one shuffle and one sort.
+    Copies of a key are counted before the shuffle, so a key that is repeated often does not
+    gather in one task before it is found.
     """
-    grouped = df.repartition(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*columns)).alias(name))
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*columns)).alias(name))
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     unique = F.when(F.col("_n") == 1, F.col(name)).otherwise(
         F.raise_error(F.concat(F.lit(f"key is not unique in {name}: "), shown))

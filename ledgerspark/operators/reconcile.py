@@ -16,7 +16,7 @@ C_TRADE, C_REFUND = "交易%", "退款%"
 
 def text_cents(text: Column) -> Column:
     """Money text to whole cents, through decimals; null when it is no number."""
-    return F.floor(F.round(text.try_cast("decimal(20,4)") * 100, 0)).cast("bigint")
+    return F.round(text.try_cast("decimal(38,18)") * 100, 0).cast("bigint")
 
 
 def unmarked(c: str) -> Column:

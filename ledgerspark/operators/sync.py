@@ -14,19 +14,20 @@ INT_MAX = 2147483647
 
 def compare_by_key(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Full join of both sides by key: key, source, target (structs of the source's columns) and
-    change, one of insert, update, delete, unchanged."""
+    change, one of insert, update, delete, unchanged. A null key is a key like any other."""
     columns = [c for c in source.columns if c != key]
     missing = [c for c in columns if c not in target.columns]
     wide = target.select("*", *[F.lit(None).cast(source.schema[c].dataType).alias(c) for c in missing])
     s, t = one_per_key(source, [key], columns, "source"), one_per_key(wide, [key], columns, "target")
+    s, t = s.withColumn("_in_source", F.lit(True)), t.withColumn("_in_target", F.lit(True))
     source_key, target_key = F.col(f"source_{key}"), F.col(f"target_{key}")
     change = (
-        F.when(target_key.isNull(), "insert")
-        .when(source_key.isNull(), "delete")
+        F.when(F.col("_in_target").isNull(), "insert")
+        .when(F.col("_in_source").isNull(), "delete")
         .when(~F.col("source").eqNullSafe(F.col("target")), "update")
         .otherwise("unchanged")
     )
-    return s.join(t, source_key == target_key, "full").select(
+    return s.join(t, source_key.eqNullSafe(target_key), "full").select(
         F.coalesce(source_key, target_key).alias(key), "source", "target", change.alias("change")
     )
 
@@ -51,7 +52,7 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     columns = changes.schema["source"].dataType.names
     extra = [c for c in target.columns if c != key and c not in columns]
     c = changes.select(F.col(key).alias("_key"), "source", "change")
-    joined = target.join(c, F.col(key) == F.col("_key"), "full").filter("change IS NULL OR change <> 'delete'")
+    joined = target.join(c, F.col(key).eqNullSafe(F.col("_key")), "full").filter("change IS NULL OR change <> 'delete'")
     return joined.select(
         F.coalesce(key, "_key").alias(key),
         *[F.when(F.col("change").isNull(), F.col(n)).otherwise(F.col(f"source.{n}")).alias(n)

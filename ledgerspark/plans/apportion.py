@@ -74,7 +74,8 @@ def running_sql(terms: str, rated: str, fixed: str = "fixed") -> str:
 @query(
     "share_by_strategy",
     f"""WITH {EVENTS_SQL}, base AS (
-         SELECT user_id, date_diff('day', DATE '{MONTH_START}', CAST(ts AS DATE)) AS day, income FROM ev
+         SELECT user_id, date_diff('day', DATE '{MONTH_START}', CAST(ts AS DATE)) AS day,
+           CASE WHEN user_id % 10 = 0 THEN 0 ELSE income END AS income FROM ev
          UNION ALL SELECT DISTINCT user_id, date_diff('day', DATE '{MONTH_START}', DATE '{MONTH_END}'), 0 FROM ev),
        daily AS (SELECT user_id, day, sum(income) AS income FROM base GROUP BY 1, 2),
        run AS (SELECT user_id, day, coalesce(lag(day) OVER w, 0) AS since,
@@ -85,14 +86,16 @@ def running_sql(terms: str, rated: str, fixed: str = "fixed") -> str:
                   FROM run WHERE since < day)
        SELECT user_id, 'by days' AS strategy, n, CAST(floor(1100e0 * (n + 1) / days + 0.5e0) AS BIGINT) AS amount FROM spread
        UNION ALL
-       SELECT user_id, 'by income', n, CAST(floor(-1100e0 * pre / total + 0.5e0) AS BIGINT) FROM spread
+       SELECT user_id, 'by income', n, CAST(coalesce(floor(-1100e0 * pre / nullif(total, 0) + 0.5e0), 0) AS BIGINT) FROM spread
        UNION ALL
        SELECT user_id, 'by tiers', n, CAST(floor({tier_sql('pre', TIERS)} + 0.5e0) AS BIGINT) FROM spread""",
 )
 def share_by_strategy(spark, sf):
     events = income_events(spark, sf)
     days = F.datediff(F.lit(MONTH_END), F.lit(MONTH_START))
-    rows = events.select("user_id", F.datediff("ts", F.lit(MONTH_START)).alias("day"), "income")
+    # some contracts earn nothing at all
+    income = F.when(F.col("user_id") % 10 == 0, 0).otherwise(F.col("income")).cast("bigint").alias("income")
+    rows = events.select("user_id", F.datediff("ts", F.lit(MONTH_START)).alias("day"), income)
     # a contract's closing row sits on the last day
     closing = events.select("user_id").distinct().select("user_id", days.alias("day"), F.lit(0).cast("bigint").alias("income"))
     daily = rows.unionByName(closing).groupBy("user_id", "day").agg(F.sum("income").alias("income"))
@@ -236,12 +239,12 @@ def strategy_expand_months(spark, sf):
 @query(
     "cumulative_round_split",
     """WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS price,
-            CAST(l_quantity AS BIGINT) AS w, CAST(round(o_totalprice * 100) AS BIGINT) AS amount
+            CASE WHEN l_orderkey % 10 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS w, CAST(round(o_totalprice * 100) AS BIGINT) AS amount
           FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
           r AS (SELECT *, sum(w) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, price
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, sum(w) OVER (PARTITION BY l_orderkey) AS len FROM l)
-       SELECT l_orderkey, l_linenumber, l_partkey, CAST(floor(CAST(cum AS DOUBLE) / len * amount + 0.5e0)
-                - floor(CAST(cum - w AS DOUBLE) / len * amount + 0.5e0) AS BIGINT) AS part FROM r""",
+       SELECT l_orderkey, l_linenumber, l_partkey, CAST(coalesce(floor(CAST(cum AS DOUBLE) / nullif(len, 0) * amount + 0.5e0)
+                - floor(CAST(cum - w AS DOUBLE) / nullif(len, 0) * amount + 0.5e0), 0) AS BIGINT) AS part FROM r""",
 )
 def cumulative_round_split(spark, sf):
     orders = table(spark, sf, "orders").select(
@@ -249,7 +252,8 @@ def cumulative_round_split(spark, sf):
     )
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents(F.col("l_extendedprice")).alias("price"),
-        F.col("l_quantity").cast("bigint").alias("w"),
+        # some orders have no weights at all
+        F.when(F.col("l_orderkey") % 10 == 0, 0).otherwise(F.col("l_quantity").cast("bigint")).alias("w"),
     )
     order = ["l_linenumber", "l_partkey", "l_suppkey", "price"]
     out = ap.cumulative_round_split(lines.join(orders, "l_orderkey"), "amount", "w", ["l_orderkey"], order)

@@ -109,28 +109,33 @@ def changelog_check_before(spark, sf):
 
 SNAPSHOT_AT = "2024-01-25"
 # field 2 is one that the form system fills itself, so errors take no part in the check
-FIELD_CODES = {"error": 2, "signup": 11, "purchase": 12, "view": 13}
-FIELD_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in FIELD_CODES.items()) + " END"
+FIELD_CODES = {"error": 2, "signup": 11, "purchase": 12, "view": 13, "click": 14}
+FIELD_SQL = "CASE field " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in FIELD_CODES.items()) + " END"
+
+
+def final_sql(name: str, where: str) -> str:
+    """State after the entries that meet ``where``: what was set or added since the last other entry."""
+    return f"""{name}_r AS (SELECT user_id, field, max(log_id) FILTER (op <> 'add') AS since FROM timed WHERE {where} GROUP BY 1, 2),
+      {name} AS (SELECT user_id, field, string_agg(v, '|' ORDER BY log_id) AS v FROM timed JOIN {name}_r USING (user_id, field)
+        WHERE {where} AND op <> 'remove' AND log_id >= coalesce(since, 0) GROUP BY 1, 2)"""
 
 
 @query(
     "changelog_check_final",
-    f"""WITH log AS (SELECT user_id, {FIELD_SQL} AS field, event_id AS log_id, ts, value < 2 AS removed,
-            CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS v FROM events WHERE event_type NOT IN ('click', 'error')),
-          a AS (SELECT user_id, field, arg_max(removed, log_id) AS removed, arg_max(v, log_id) AS v FROM log GROUP BY 1, 2),
-          b AS (SELECT user_id, field, arg_max(removed, log_id) AS removed, arg_max(v, log_id) AS v FROM log
-                WHERE ts < TIMESTAMP '{SNAPSHOT_AT}' GROUP BY 1, 2),
-          l AS (SELECT * FROM a WHERE NOT removed), r AS (SELECT * FROM b WHERE NOT removed)
-        SELECT coalesce(l.user_id, r.user_id) AS user_id, coalesce(l.field, r.field) AS field,
+    f"""WITH {EVENT_LOG}, timed AS (SELECT log.*, events.ts FROM log JOIN events ON event_id = log_id WHERE field <> 'error'),
+          {final_sql('l', 'true')}, {final_sql('r', f"ts < TIMESTAMP '{SNAPSHOT_AT}'")}
+        SELECT user_id, {FIELD_SQL} AS field,
           CASE WHEN r.v IS NULL THEN 'only left' WHEN l.v IS NULL THEN 'only right' ELSE 'values' END AS problem
-        FROM l FULL JOIN r ON l.user_id = r.user_id AND l.field = r.field WHERE l.v IS DISTINCT FROM r.v""",
+        FROM l FULL JOIN r USING (user_id, field) WHERE l.v IS DISTINCT FROM r.v""",
 )
 def changelog_check_final(spark, sf):
+    log = event_log(spark, sf)
     # the online state was taken some days before the end of the log
-    log = event_log(spark, sf).filter("op <> 'add'").withColumnRenamed("field", "title")
-    log = log.withColumn("field", lookup(FIELD_CODES, F.col("title"))).filter("field IS NOT NULL")
     seen = table(spark, sf, "events").filter(F.col("ts") < F.lit(SNAPSHOT_AT)).select(F.col("event_id").alias("log_id"))
     keys = ["user_id", "field"]
-    rebuilt = cl.latest_state(log, [*keys, "title"])
-    online = cl.latest_state(log.join(seen, "log_id", "left_semi"), [*keys, "title"])
-    return cl.changelog_check_final(rebuilt, online, keys)
+
+    def state(entries):
+        values = cl.final_state(cl.changelog_rebuild_state(entries, keys), keys).withColumnRenamed("field", "title")
+        return values.withColumn("field", lookup(FIELD_CODES, F.col("title")))
+
+    return cl.changelog_check_final(state(log), state(log.join(seen, "log_id", "left_semi")), keys)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.plans.registry import query
-from ledgerspark.plans.snapshots import NEW, OLD, account_snapshot, snapshot_sql, with_snapshots
+from ledgerspark.plans.snapshots import NEW, OLD, UNKNOWN, account_snapshot, snapshot_sql, with_compared, with_snapshots
 from ledgerspark.session import cents, new_path, table
 from ledgerspark.sources import files as fl
 from ledgerspark.sources.jdbc import scan_jdbc, write_jdbc
@@ -277,14 +277,11 @@ def audit_on_insert(spark, sf):
 
 @query(
     "partition_sink_with_counters",
-    with_snapshots(
-        """SELECT change, count(*) AS n FROM (
-             SELECT CASE WHEN o.account IS NULL THEN 'insert' WHEN n.account IS NULL THEN 'delete'
-                      WHEN (n.orders, n.total, n.status) IS DISTINCT FROM (o.orders, o.total, o.status) THEN 'update' END AS change
-             FROM n FULL JOIN o ON n.account = o.account) WHERE change IS NOT NULL GROUP BY 1"""
+    with_compared(
+        "SELECT replace(change, 'status', 'update') AS change, count(*) AS n FROM both_sides WHERE change IS NOT NULL GROUP BY 1"
     ),
 )
 def partition_sink_with_counters(spark, sf):
-    old, new = account_snapshot(spark, sf, *OLD), account_snapshot(spark, sf, *NEW)
+    old, new = account_snapshot(spark, sf, *OLD, UNKNOWN), account_snapshot(spark, sf, *NEW, UNKNOWN)
     changes = sync.sync_by_key(new, old, "account").select("account", "source", "change")
     return fl.write_classes(changes, new_path(spark, "classes"), "change")

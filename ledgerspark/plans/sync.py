@@ -6,25 +6,17 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import sync
 from ledgerspark.plans.registry import query
-from ledgerspark.plans.snapshots import NEW, OLD, account_snapshot, with_snapshots
+from ledgerspark.plans.snapshots import NEW, OLD, UNKNOWN, account_snapshot, with_compared
 from ledgerspark.session import table
 
-DIFFERS = "(n.orders IS DISTINCT FROM o.orders OR n.total IS DISTINCT FROM o.total OR n.status IS DISTINCT FROM o.status)"
-
 
 def old_and_new(spark, sf):
-    return account_snapshot(spark, sf, *OLD), account_snapshot(spark, sf, *NEW)
+    return account_snapshot(spark, sf, *OLD, UNKNOWN), account_snapshot(spark, sf, *NEW, UNKNOWN)
 
 
 @query(
     "sync_by_key",
-    with_snapshots(
-        """SELECT account, change, orders, total FROM (
-             SELECT coalesce(n.account, o.account) AS account, n.orders, n.total,
-               CASE WHEN o.account IS NULL THEN 'insert' WHEN n.account IS NULL THEN 'delete'
-                    WHEN n.orders IS DISTINCT FROM o.orders OR n.total IS DISTINCT FROM o.total THEN 'update' END AS change
-             FROM n FULL JOIN o ON n.account = o.account) WHERE change IS NOT NULL"""
-    ),
+    with_compared("SELECT account, change, orders, total FROM both_sides WHERE change <> 'status'"),
 )
 def sync_by_key(spark, sf):
     old, new = old_and_new(spark, sf)
@@ -35,12 +27,11 @@ def sync_by_key(spark, sf):
 
 @query(
     "snapshot_diff",
-    with_snapshots(
-        f"""SELECT account, orders, total, status, 0 AS flag, CAST(NULL AS VARCHAR) AS change_type FROM n
-            UNION ALL
-            SELECT coalesce(n.account, o.account), n.orders, n.total, n.status, 1,
-              CASE WHEN o.account IS NULL THEN 'insert' WHEN n.account IS NULL THEN 'delete' ELSE 'update' END
-            FROM n FULL JOIN o ON n.account = o.account WHERE o.account IS NULL OR n.account IS NULL OR {DIFFERS}"""
+    with_compared(
+        """SELECT account, orders, total, status, 0 AS flag, CAST(NULL AS VARCHAR) AS change_type FROM both_sides WHERE in_new
+           UNION ALL
+           SELECT account, orders, total, status, 1, CASE change WHEN 'status' THEN 'update' ELSE change END
+           FROM both_sides WHERE change IS NOT NULL"""
     ),
 )
 def snapshot_diff(spark, sf):

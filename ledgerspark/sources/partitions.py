@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,12 +106,27 @@ def replace_where(new: DataFrame, path: str, parts: Sequence[str], predicate: Co
 
 
 def replace_by_key(new: DataFrame, path: str, keys: Sequence[str], part: str) -> None:
-    """Upsert by key inside the partitions that ``new`` touches; other partitions are not read."""
+    """Upsert by key inside the partitions that ``new`` touches; other partitions are not read.
+
+    Null is a partition and a key like any other. A key that ``new`` repeats within a partition is
+    an error. Columns of the table that ``new`` lacks stay, and are null in new rows.
+    """
     spark = new.sparkSession
     staged = stored(new, "replace-by-key")
+    repeated = staged.groupBy(part, *keys).count().filter("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"key is repeated in the new rows: {repeated[0].asDict()}")
     if _exists(spark, path):
+        # one value per partition directory that is rewritten; as literals they prune the scan
         touched = [r[0] for r in staged.select(part).distinct().collect()]
-        old = spark.read.schema(new.schema).parquet(path).filter(F.col(part).isin(touched))
-        kept = old.join(staged.select(part, *keys), [part, *keys], "left_anti")
-        staged = stored(kept.unionByName(staged), "replace-by-key")
+        in_touched = F.col(part).isin([v for v in touched if v is not None])
+        if None in touched:
+            in_touched = in_touched | F.col(part).isNull()
+        found = spark.read.parquet(path).schema
+        schema = T.StructType([staged.schema[part] if f.name == part else f for f in found])
+        old = spark.read.schema(schema).parquet(path).filter(in_touched)
+        fresh = staged.select(*[F.col(c).alias(f"_new_{c}") for c in (part, *keys)])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in (part, *keys)])
+        kept = old.join(fresh, same, "left_anti")
+        staged = stored(kept.unionByName(staged, allowMissingColumns=True), "replace-by-key")
     _overwrite_partitions(staged, path, [part])

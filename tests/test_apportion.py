@@ -161,3 +161,10 @@ def test_split_adds_up(spark):
     for limit in (1, 10):
         out = ap.cumulative_round_split(df, "a", "w", ["k"], ["id"], chunks=limit)
         assert out.agg(F.sum("part")).first()[0] == 1000
+
+
+def test_nothing_to_split_by(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0)], "id int, w long").withColumns({"k": F.lit(1), "a": F.lit(1000)})
+    assert [r.part for r in ap.cumulative_round_split(df, "a", "w", ["k"], ["id"]).collect()] == [0, 0]
+    df = spark.sql("select 'c' c, 3 n, 0L v, 3 days, 0L total, 'amount' m, array(struct(0.0D as k, 11L as a)) r")
+    assert [r.amount for r in ap.share_by_strategy(df, ["c"], "n", "v", "days", "total", "m", "r").collect()] == [0, 0, 0]

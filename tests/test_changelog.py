@@ -118,7 +118,8 @@ STATE = "field int, title string, values array<string>"
 
 
 def problems(spark, left, right):
-    out = cl.state_differences(spark.createDataFrame(left, STATE), spark.createDataFrame(right, STATE), ["field"])
+    l, r = (cl.state_values(spark.createDataFrame(rows, STATE), ["field"]) for rows in (left, right))
+    out = cl.state_differences(l, r, ["field"])
     return {r.field: r.problem for r in out.collect()}
 
 
@@ -137,4 +138,11 @@ def test_state_differences(spark):
 def test_check_final_leaves_system_fields_out(spark):
     left = spark.createDataFrame([(2, "t", ["a"]), (9, "t", ["a"])], STATE)
     right = spark.createDataFrame([(2, "t", ["b"]), (9, "t", ["a"])], STATE)
+    left, right = (cl.state_values(s, ["field"]) for s in (left, right))
     assert cl.changelog_check_final(left, right, ["field"]).count() == 0
+
+
+def test_final_state_holds_added_values(spark):
+    log = spark.createDataFrame([("p", 1, "replace", ["a"]), ("p", 2, "add", ["b", "c"]), ("q", 1, "add", ["x"]), ("q", 3, "remove", None)], LOG)
+    final = cl.final_state(cl.changelog_rebuild_state(log, ["path"], chunks=3), ["path"], chunks=2).collect()
+    assert sorted((r.path, r.place, r.value) for r in final) == [("p", 1, "a"), ("p", 2, "b"), ("p", 3, "c")]

@@ -34,6 +34,20 @@ def test_sync_twice_changes_nothing(spark):
     assert {r.no: r.name for r in after.collect()} == {"n2": "name2", "n3": "name3", "n4": None}
 
 
+def test_null_keys_match_each_other(spark):
+    schema = "k long, v string"
+    both = spark.createDataFrame([(None, "a"), (1, "b")], schema)
+    assert changes(both, both, "k") == {}
+    moved = spark.createDataFrame([(None, "z"), (2, "c")], schema)
+    assert changes(moved, both, "k") == {"insert": 1, "delete": 1, "update": 1}
+    after = sync.apply_changes(both, sync.sync_by_key(moved, both, "k"), "k")
+    assert sorted(map(tuple, after.collect()), key=str) == [(2, "c"), (None, "z")]
+    gone = sync.snapshot_diff(both, moved.filter("k = 2"), "k")
+    assert [tuple(r) for r in gone.filter("flag = 0").collect()] == [(2, "c", 0, None)]
+    assert sorted((r.k, r.change_type) for r in gone.filter("flag = 1 AND k IS NOT NULL").collect()) == [(1, "delete"), (2, "insert")]
+    assert gone.filter("k IS NULL").collect()[0].change_type == "delete"
+
+
 def test_repeated_key_is_an_error(spark):
     rows = spark.createDataFrame(THREE + THREE[:1], WIDE)
     with pytest.raises(Exception, match="key is not unique"):
@@ -89,3 +103,8 @@ def test_bill_files(spark, tmp_path):
     assert rows == {
         "t1": ("2020-01-01 10:00:00", -497), "t2": ("2000-01-01 00:00:00", 150), "t3": ("2020-01-01 10:00:00", 0),
     }
+
+
+def test_money_text_is_rounded_once(spark):
+    df = spark.createDataFrame([("1.004999",), ("1.005",), ("-1.005",), ("12",), ("x",), (None,)], "t string")
+    assert [r.c for r in df.select(rc.text_cents(F.col("t")).alias("c")).collect()] == [100, 101, -101, 1200, None, None]

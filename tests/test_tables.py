@@ -39,6 +39,21 @@ def test_replace_by_key(spark, tmp_path):
     ]
 
 
+def test_replace_by_key_nulls_and_extra_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id int, v string, app int, extra string"
+    first = [(1, "a", None, "e1"), (2, "b", None, "e2"), (None, "n", None, "e3"), (1, "x", 7, "e4"), (1, "y", 8, "e5")]
+    pt.replace_by_key(spark.createDataFrame(first, schema), path, ["id"], "app")
+    new = spark.createDataFrame([(2, "B", None), (None, "N", None), (5, "z", 7)], "id int, v string, app int")
+    pt.replace_by_key(new, path, ["id"], "app")
+    assert rows_of(spark.read.parquet(path).select("id", "v", "app", "extra")) == sorted(
+        [(1, "a", None, "e1"), (2, "B", None, None), (None, "N", None, None), (1, "x", 7, "e4"), (5, "z", 7, None), (1, "y", 8, "e5")],
+        key=str,
+    )
+    with pytest.raises(ValueError, match="repeated"):
+        pt.replace_by_key(new.union(new), path, ["id"], "app")
+
+
 def test_versions(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "v"))
     assert not t.exists() and t.read(schema="id long").columns == ["id"]
