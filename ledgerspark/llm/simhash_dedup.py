@@ -26,7 +26,7 @@ from ledgerspark.session import stored
 SHINGLE, SEED, NEAR = 4, 42, 4
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Points aimed at per shard, most shards one tree makes, and points sampled for each of its leaves.
-SHARD, MOST_SHARDS, SAMPLE = 8192, 4096, 24
+SHARD, MOST_SHARDS, SAMPLE = 32768, 4096, 24
 #: A shard of more home points than this is compared in blocks of as many.
 SPLIT = 4 * SHARD
 #: Home points of a leaf within a shard's own tree; vantage points tried for a node, and points they
