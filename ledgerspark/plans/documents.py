@@ -14,27 +14,31 @@ from ledgerspark.sources.files import local_rows_to_table
 
 
 def event_document():
-    """An event as a JSON object with a nested part."""
-    who = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("type"))
+    """An event as a JSON object with a nested part, its keys in no order and one number a decimal."""
+    who = F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("id"), F.lit(2.0).alias("rate"))
     return F.to_json(F.struct(F.col("event_id").alias("id"), who.alias("who")))
 
 
 @query(
     "json_to_patch",
-    """SELECT event_id, '[{"op":"replace","path":"/k","value":' || json_extract_string(props, '$.k') || '}]' AS patch FROM events""",
+    """SELECT event_id, '[{"op":"replace","path":"/k","value":' || json_extract_string(props, '$.k') || '}]' AS patch,
+         '[{"op":"replace","path":"/id","value":' || event_id || '},{"op":"replace","path":"/who","value":{"type":"' || event_type
+         || '","id":' || user_id || ',"rate":2.0}}]' AS nested FROM events""",
 )
 def json_to_patch(spark, sf):
-    return table(spark, sf, "events").select("event_id", doc.json_to_patch(F.col("props")).alias("patch"))
+    return table(spark, sf, "events").select(
+        "event_id", doc.json_to_patch(F.col("props")).alias("patch"), doc.json_to_patch(event_document()).alias("nested")
+    )
 
 
 @query(
     "json_set_field",
     """SELECT event_id, CASE WHEN event_type = 'error' THEN props ELSE
-         '{"k":' || json_extract_string(props, '$.k') || ',"who":{"id":' || user_id || '}}' END AS document,
+         '{"k":' || json_extract_string(props, '$.k') || ',"who":{"z":1.0,"id":' || user_id || '}}' END AS document,
          '{"k":' || event_id || '}' AS replaced FROM events""",
 )
 def json_set_field(spark, sf):
-    who = F.when(F.col("event_type") != "error", F.to_json(F.struct(F.col("user_id").alias("id"))))
+    who = F.when(F.col("event_type") != "error", F.to_json(F.struct(F.lit(1.0).alias("z"), F.col("user_id").alias("id"))))
     return table(spark, sf, "events").select(
         "event_id",
         doc.json_set_field(F.col("props"), who, "/who").alias("document"),
@@ -44,11 +48,11 @@ def json_set_field(spark, sf):
 
 @query(
     "patch_filter",
-    """SELECT event_id, '[{"op":"replace","path":"/who","value":{"id":' || user_id || '}}]' AS kept FROM events""",
+    """SELECT event_id, '[{"op":"replace","path":"/who","value":{"id":' || user_id || ',"rate":2.0}}]' AS kept FROM events""",
 )
 def patch_filter(spark, sf):
     patch = doc.json_to_patch(event_document())
-    return table(spark, sf, "events").select("event_id", doc.patch_filter(patch, "/who/id").alias("kept"))
+    return table(spark, sf, "events").select("event_id", doc.patch_filter(patch, "/who/rate", "/who/id").alias("kept"))
 
 
 @query(

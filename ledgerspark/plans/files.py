@@ -37,9 +37,21 @@ def scan_json(spark, sf):
     return fl.scan_json(spark, path)
 
 
-@query("json_strings_to_table", "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+@query(
+    "json_strings_to_table",
+    """SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE event_id % 2 WHEN 0 THEN event_id ELSE event_id + 0.5e0 END AS number,
+         CASE event_id % 3 WHEN 0 THEN CAST(event_id AS VARCHAR) ELSE event_type END AS mixed, CAST(NULL AS VARCHAR) AS never FROM events""",
+)
 def json_strings_to_table(spark, sf):
-    return fl.json_strings_to_table(table(spark, sf, "events"), "props").select(F.col("k").cast("bigint").alias("k"))
+    # whole numbers and halves, numbers and texts, and a field that is only ever null
+    number = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.concat("event_id", F.lit(".5")))
+    mixed = F.when(F.col("event_id") % 3 == 0, F.col("event_id").cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    document = F.concat(
+        F.regexp_replace("props", r"\}\s*$", ""), F.lit(',"number":'), number, F.lit(',"mixed":'), mixed, F.lit(',"never":null}')
+    )
+    events = table(spark, sf, "events").select(document.alias("document"))
+    found = fl.json_strings_to_table(events, "document")
+    return found.select(F.col("k").cast("bigint").alias("k"), "number", "mixed", "never")
 
 
 @query("scan_text_split", "SELECT c_name AS name, CASE WHEN c_nationkey = 0 THEN NULL ELSE c_custkey END AS no, CAST(c_acctbal AS DOUBLE) AS balance FROM customer")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -20,12 +21,20 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.json(path)
 
 
-def json_strings_to_table(df: DataFrame, col: str, schema: str | None = None) -> DataFrame:
-    """A column of JSON objects as a table. Without ``schema`` it is inferred over all rows, by an
-    aggregate that returns one schema text to the driver."""
+def json_strings_to_table(df: DataFrame, col: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A column of JSON objects as a table, one row per row.
+
+    Without ``schema`` the JSON reader's own inference runs over all rows, in the JVM, and returns
+    one schema to the driver: decimals are doubles, mixed types text, fields that are only ever null
+    text, and no rows no columns.
+    """
     if schema is None:
-        found = df.agg(F.expr(f"schema_of_variant_agg(try_parse_json({col}))")).first()[0]
-        schema = found.replace("OBJECT<", "STRUCT<")
+        spark = df.sparkSession
+        texts = getattr(df.select(F.col(col).cast("string")).filter(F.col(col).isNotNull())._jdf, "as")
+        found = spark._jsparkSession.read().json(texts(spark._jvm.org.apache.spark.sql.Encoders.STRING())).schema()
+        schema = T.StructType.fromJson(json.loads(found.json()))
+    if not len(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema):
+        return df.select()
     return df.select(F.from_json(col, schema).alias("_row")).select("_row.*")
 
 

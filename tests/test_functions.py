@@ -21,7 +21,7 @@ def one(spark, column, **values):
     return df.select(column.alias("out")).first().out
 
 
-OBJECT = {"foo1": "bar1", "foo2": "bar2", "foo3": {"foo31": "bar31", "foo32": "bar32"}}
+PLACE = {"zip": 150, "city": "Oslo", "geo": {"lon": 10.75, "lat": 59.9, "src": "gps"}}
 
 
 def keep(spark, patch, *paths):
@@ -29,33 +29,45 @@ def keep(spark, patch, *paths):
 
 
 def test_patch_filter_objects(spark):
-    patch = [{"op": "replace", "path": p, "value": OBJECT} for p in ("/child", "/child2", "")]
-    values = lambda *paths: [e["value"] for e in keep(spark, patch, *paths)]
-    assert values("/child/foo1") == [{"foo1": "bar1"}]
-    assert values("/child/foo3", "/child/foo3/foo31") == [{"foo3": {"foo31": "bar31"}}]
-    assert values("/child/foo1", "/child/foo2") == [{"foo1": "bar1", "foo2": "bar2"}]
-    assert values("/foo1", "/foo2") == [{"foo1": "bar1", "foo2": "bar2"}]
-    assert values("/child1") == [] and values("/child/abs", "/childfoo1") == []
-    added = [{"op": "add", "path": "", "value": OBJECT}]
-    assert keep(spark, added, "/foo1") == [{"op": "add", "path": "", "value": {"foo1": "bar1"}}]
-    assert keep(spark, added, "/foo3", "/foo3/foo31")[0]["value"] == {"foo3": {"foo31": "bar31"}}
-    assert keep(spark, added, "/foo1", "/foo2")[0]["value"] == {"foo1": "bar1", "foo2": "bar2"}
-    # a value under a retained path stays whole, and two deep paths of one field both stay
-    assert values("/child") == [OBJECT]
-    deep = [{"op": "replace", "path": "/a/b", "value": OBJECT}]
-    assert keep(spark, deep, "/a") == deep
-    assert keep(spark, added, "/foo3/foo31", "/foo3/foo32")[0]["value"] == {"foo3": OBJECT["foo3"]}
+    """What is kept of a whole object depends on where it is put and which paths are retained."""
+    moved = [{"op": "replace", "path": p, "value": PLACE} for p in ("/home", "/homes", "")]
+    values = lambda *paths: [e["value"] for e in keep(spark, moved, *paths)]
+    assert values("/home/city") == [{"city": "Oslo"}]
+    assert values("/home/geo", "/home/geo/lat") == [{"geo": {"lat": 59.9}}]
+    assert values("/home/zip", "/home/geo/src") == [{"zip": 150, "geo": {"src": "gps"}}]
+    assert values("/zip") == [{"zip": 150}]
+    assert values("/hom", "/home/none", "/homecity") == []
+    assert values("/home") == [PLACE] == values("/home", "/hom")
+    deep = [{"op": "add", "path": "/person/home", "value": PLACE}]
+    assert keep(spark, deep, "/person") == deep
+    assert keep(spark, deep, "/person/home/geo/lon", "/person/home/geo/src")[0]["value"] == {"geo": {"lon": 10.75, "src": "gps"}}
+    assert keep(spark, [{"op": "add", "path": "", "value": PLACE}], "/geo/lat", "/geo") == [
+        {"op": "add", "path": "", "value": {"geo": {"lat": 59.9}}}
+    ]
 
 
 def test_patch_filter_remove_and_plain(spark):
-    patch = [{"op": "remove", "path": p} for p in ("/name", "/code", "/foo/bar", "/foo/bar1", "/foobar/x")]
-    assert [e["path"] for e in keep(spark, patch, "/foo")] == ["/foo/bar", "/foo/bar1"]
-    assert [e["path"] for e in keep(spark, patch, "/name/first")] == ["/name"]
-    plain = [{"op": "replace", "path": p, "value": v} for p, v in (("/foo/name", "world"), ("/foo/last", "hello"), ("/foo1/last", "hello"))]
-    assert [e["value"] for e in keep(spark, plain, "/foo/name")] == ["world"]
-    assert len(keep(spark, plain, "/foo")) == 2
+    gone = [{"op": "remove", "path": p} for p in ("/phone", "/home/city", "/home/geo/lat", "/homes/city")]
+    assert [e["path"] for e in keep(spark, gone, "/home")] == ["/home/city", "/home/geo/lat"]
+    assert [e["path"] for e in keep(spark, gone, "/phone/mobile")] == ["/phone"]
+    plain = [{"op": "replace", "path": p, "value": v} for p, v in (("/home/city", "Rome"), ("/home/zip", 184), ("/work/city", "Bari"))]
+    assert [e["value"] for e in keep(spark, plain, "/home/city")] == ["Rome"]
+    assert [e["value"] for e in keep(spark, plain, "/home")] == ["Rome", 184]
+    assert keep(spark, plain, "/home/city/name") == []
+    with pytest.raises(Exception, match="not supported"):
+        keep(spark, [{"op": "copy", "path": "/a"}], "/a")
+
+
+def test_json_documents_keep_order_and_number_kind(spark):
+    text = '{"y":{"b":2.0,"a":[1,{"z":1.5,"c":null}]},"s":"q\\"\\n","t":true,"k/x~":"1"}'
+    assert one(spark, doc.json_set_field(F.col("p"), F.lit('{"q":2.0,"a":1}'), "/t"), p=text) == text.replace("true", '{"q":2.0,"a":1}')
+    patch = one(spark, doc.json_to_patch(F.col("p")), p=text)
+    assert patch.startswith('[{"op":"replace","path":"/y","value":{"b":2.0,"a":[1,{"z":1.5,"c":null}]}},')
+    assert one(spark, doc.json_to_patch(F.col("p")), p="{}") == "[]"
+    escaped = '[{"op":"add","path":"","value":{"k/x~":{"m":2.0,"a":1},"o":1}},{"op":"remove","path":"/k~1x~0"}]'
+    assert one(spark, doc.patch_filter(F.col("p"), "/k~1x~0/m"), p=escaped) == escaped.replace(',"a":1}', "}").replace(',"o":1', "")
     with pytest.raises(Exception, match="not supported"):
-        keep(spark, [{"op": "move", "path": "/a"}], "/a")
+        one(spark, doc.patch_filter(F.col("p"), "/a"), p='[{"op":"move","path":"/a","value":1}]')
 
 
 def test_json_documents(spark):

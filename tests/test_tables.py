@@ -129,6 +129,11 @@ def test_json_strings_infer_over_all_rows(spark):
     df = spark.createDataFrame([('{"a":1}',), ('{"a":2.5,"b":{"c":"x"}}',), (None,)], "j string")
     out = fl.json_strings_to_table(df, "j")
     assert out.columns == ["a", "b"] and out.filter("b.c = 'x'").count() == 1
+    odd = spark.createDataFrame([('{"OBJECT<":1,"m":1,"n":null,"d":1.5}',), ('{"m":"x","d":2}',)], "j string")
+    table = fl.json_strings_to_table(odd, "j")
+    assert dict(table.dtypes) == {"OBJECT<": "bigint", "m": "string", "n": "string", "d": "double"}
+    assert sorted(r.m for r in table.collect()) == ["1", "x"]
+    assert fl.json_strings_to_table(odd.limit(0), "j").columns == []
 
 
 def test_scan_text_split(spark, tmp_path):
