@@ -75,9 +75,9 @@ def ledger_payments(ledger: DataFrame, start: str, end: str, min_hash: int | Non
     """Payments of the ledger in [start, end), one row each.
 
     ``ledger``: hash (partition), ts, payment array of structs (time, txn_no, amount, account),
-    order struct (order_no).
+    order struct (order_no). Buckets before ``min_hash`` are not read.
     """
-    rows = ledger if min_hash is None else ledger.filter(F.col("hash") > min_hash)
+    rows = ledger if min_hash is None else ledger.filter(F.col("hash") >= min_hash)
     paid = rows.select("ts", "order", F.explode("payment").alias("p"))
     return paid.filter((F.col("p.time") >= F.lit(start)) & (F.col("p.time") < F.lit(end))).select(
         F.col("ts").alias("time"),
@@ -88,6 +88,11 @@ def ledger_payments(ledger: DataFrame, start: str, end: str, min_hash: int | Non
     )
 
 
+def load_bills(spark: SparkSession, a: str, b: str, c: str) -> DataFrame:
+    """The bills of the three providers as one table."""
+    return load_bill_a(spark, a).unionAll(load_bill_b(spark, b)).unionAll(load_bill_c(spark, c))
+
+
 def bills_between(bills: DataFrame, start: str, end: str) -> DataFrame:
     return bills.filter((F.col("pay_time") >= F.lit(start)) & (F.col("pay_time") < F.lit(end)))
 
@@ -124,7 +129,7 @@ def differences(matched: DataFrame) -> DataFrame:
     ).filter("amount <> 0")
 
 
-def reconcile_bills(ledger: DataFrame, bills: DataFrame, start: str, end: str, min_hash: int | None = None) -> DataFrame:
+def reconcile_bills(ledger: DataFrame, bills: DataFrame, start: str, end: str, min_hash: int | Column | None = None) -> DataFrame:
     return differences(match_bills(ledger_payments(ledger, start, end, min_hash), bills_between(bills, start, end)))
 
 

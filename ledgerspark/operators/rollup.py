@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.sources.partitions import replace_where
+from ledgerspark.sources.partitions import partition_file_stats, replace_where
+from ledgerspark.sources.state import read_last_run, write_last_run
 
 BUCKET_MS = 1_000_000_000
 
@@ -16,11 +17,18 @@ def time_bucket(ts: Column) -> Column:
 
 
 def bucket_day(bucket: int) -> Column:
+    """The day on which a bucket begins."""
     return F.to_date(F.timestamp_millis(F.lit(bucket).cast("bigint") * BUCKET_MS))
 
 
 def daily_payments(ledger: DataFrame, since: Column | None = None) -> DataFrame:
-    """Payments summed by day, subject, payee, account, business and store."""
+    """Payments summed by day, subject, payee, account, business and store.
+
+    With ``since``, only buckets that reach that day are read: a row's payments lie in the bucket
+    (column hash) of the row.
+    """
+    if since is not None:
+        ledger = ledger.filter(F.col("hash") >= time_bucket(since))
     paid = ledger.filter(F.col("payment").isNotNull()).select("biz", "store", F.explode("payment").alias("p"))
     paid = paid.withColumn("date", F.to_date("p.time"))
     if since is not None:
@@ -37,6 +45,24 @@ def roll_up_since(ledger: DataFrame, path: str, since: str) -> None:
     replace_where(daily_payments(ledger, first), path, ["date"], F.col("date") >= first)
 
 
+def roll_up_changed(spark: SparkSession, ledger: str, schema: str, path: str, state: str, job: str = "roll-up") -> str | None:
+    """One incremental run over a ledger in buckets (``hash`` directories of ``ledger``).
+
+    From the first bucket with a file changed since the job's last run, the days are computed
+    again and replaced; the newest change seen is then the job's last run. Returns the first day
+    that was replaced, None when nothing had changed.
+    """
+    last = read_last_run(spark, state, job)
+    stats = partition_file_stats(spark, ledger, "hash int")
+    changed = stats.filter(F.col("max_time") > F.lit(last)).agg(F.min("hash").alias("lead"), F.max("max_time").alias("seen")).first()
+    if changed["lead"] is None:
+        return None
+    since = str(spark.range(1).select(bucket_day(changed["lead"])).first()[0])
+    roll_up_since(spark.read.schema(schema).parquet(ledger), path, since)
+    write_last_run(spark, state, job, F.lit(changed["seen"]))
+    return since
+
+
 def load_days(rows: DataFrame, path: str, merchant: str, first: str) -> None:
     """Replace a merchant's (date, merchant) partitions from ``first`` on, all days in one job."""
     mine = rows.filter((F.col("merchant") == merchant) & (F.col("date") >= F.lit(first).cast("date")))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import reconcile as rc
 from ledgerspark.operators import rollup
 from ledgerspark.plans.registry import query
-from ledgerspark.session import cents, new_path, table
+from ledgerspark.session import cents, new_path, stored, table
 from ledgerspark.sources import partitions as pt
-from ledgerspark.sources.files import write_partitioned
+from ledgerspark.sources.files import write_csv, write_partitioned
 
 START, END = "1996-01-01", "1999-01-01"
 EARLIER = ("1995-06-01", "1996-02-01")
@@ -33,6 +34,52 @@ def line_ledger(spark, sf):
     )
 
 
+LEDGER = """ts timestamp_ntz, payment array<struct<time: timestamp_ntz, txn_no: string, amount: bigint, account: string>>,
+    `order` struct<order_no: string>, hash int"""
+
+
+def bucketed_ledger(spark, sf):
+    """The ledger as it is kept: a directory per time bucket."""
+    path = new_path(spark, "ledger")
+    write_partitioned(line_ledger(spark, sf), path, "hash")
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def provider_bills(spark, sf):
+    """The bills as the three providers send them, each for a third of the suppliers, read back."""
+    lines = table(spark, sf, "lineitem").filter(~((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 45)))
+    late = F.when(F.col("l_tax") > 0.07, F.expr("l_shipdate + interval 1 day")).otherwise(F.col("l_shipdate"))
+    rows = lines.select(
+        (F.col("l_suppkey") % 3).alias("provider"),
+        F.date_format(late, "yyyy-MM-dd HH:mm:ss").alias("time"),
+        F.col("l_orderkey").cast("string").alias("no"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+    )
+    mark, zero = F.lit("`"), F.lit(0).cast("decimal(12,2)")
+    paths = {p: new_path(spark, f"bill-{p}") for p in "abc"}
+    a = rows.filter("provider = 0").select(
+        F.concat(mark, "time").alias("trade_time"), F.concat(mark, "no").alias("order_no"), F.concat(mark, "price").alias("amount"),
+        F.concat(mark, F.when(F.col("returned"), F.col("price")).otherwise(zero)).alias("refund"), F.concat(mark, zero).alias("fee"),
+    )
+    write_csv(a, paths["a"], header=True)
+    # the other two book a refund as a line of its own
+    booked = F.explode(F.when(F.col("returned"), F.array(F.lit("交易"), F.lit("退款"))).otherwise(F.array(F.lit("交易")))).alias("kind")
+    split = rows.select("provider", "time", "no", "price", booked)
+    b = split.filter("provider = 1").select(
+        F.concat(mark, "time").alias("book_time"), F.concat(mark, "no").alias("flow_no"),
+        F.concat(mark, "kind").alias("business_type"), F.concat(mark, "price").alias("amount"),
+    )
+    write_csv(b, paths["b"], header=True)
+    signed = F.when(F.col("kind") == "退款", -F.col("price")).otherwise(F.col("price"))
+    c = split.filter("provider = 2").select(
+        F.col("time").alias("done_time"), F.concat("no", F.lit("\t")).alias("trade_no"), F.col("kind").alias("business_type"),
+        signed.alias("amount"), zero.alias("service_fee"),
+    )
+    write_csv(c, paths["c"], encoding="GB2312", header=True)
+    return rc.load_bills(spark, paths["a"], paths["b"], paths["c"])
+
+
 def line_bills(spark, sf):
     """What a provider bills for the lines: returned lines are refunded, highly taxed ones booked a
     day later, and large open ones not billed at all."""
@@ -78,7 +125,8 @@ TIME_SQL = "strftime(time, '%Y-%m-%d %H:%M:%S') AS time"
     f"WITH {matched_sql('cur', START, END)} SELECT order_no, order_no2, amount, {TIME_SQL}, account FROM cur",
 )
 def reconcile_bills(spark, sf):
-    return day_text(rc.reconcile_bills(line_ledger(spark, sf), line_bills(spark, sf), START, END, min_hash=0))
+    first = rollup.time_bucket(F.lit(START).cast("timestamp"))
+    return day_text(rc.reconcile_bills(bucketed_ledger(spark, sf), provider_bills(spark, sf), START, END, min_hash=first))
 
 
 @query(
@@ -90,14 +138,24 @@ def reconcile_bills(spark, sf):
         GROUP BY 1, 2 HAVING sum(amount) <> 0""",
 )
 def reconcile_carry_forward(spark, sf):
-    ledger, bills = line_ledger(spark, sf), line_bills(spark, sf)
-    last = rc.reconcile_bills(ledger, bills, *EARLIER)
-    return day_text(rc.carry_forward(rc.reconcile_bills(ledger, bills, START, END), last, START))
+    ledger, bills = bucketed_ledger(spark, sf), line_bills(spark, sf)
+
+    def found(start, end):
+        return rc.reconcile_bills(ledger, bills, start, end, min_hash=rollup.time_bucket(F.lit(start).cast("timestamp")))
+
+    return day_text(rc.carry_forward(found(START, END), found(*EARLIER), START))
+
+
+_matched: dict[tuple[str, str], DataFrame] = {}
 
 
 def matched(spark, sf):
-    payments = rc.ledger_payments(line_ledger(spark, sf), START, END)
-    return rc.match_bills(payments, rc.bills_between(line_bills(spark, sf), START, END))
+    """The match behind the three tables of a report, made once for a session and a set of tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _matched:
+        payments = rc.ledger_payments(line_ledger(spark, sf), START, END)
+        _matched[key] = stored(rc.match_bills(payments, rc.bills_between(line_bills(spark, sf), START, END)), "report")
+    return _matched[key]
 
 
 @query(
@@ -146,7 +204,7 @@ def payment_events(spark, sf):
     )
     user = F.col("user_id").cast("string")
     return table(spark, sf, "events").select(
-        "ts", F.array(payment).alias("payment"), F.struct(user.alias("no")).alias("biz"), F.struct(F.lit("S1").alias("no")).alias("store")
+        rollup.time_bucket(F.col("ts")).alias("hash"), "ts", F.array(payment).alias("payment"), F.struct(user.alias("no")).alias("biz"), F.struct(F.lit("S1").alias("no")).alias("store")
     )
 
 
@@ -158,11 +216,13 @@ def payment_events(spark, sf):
        FROM events GROUP BY ALL""",
 )
 def daily_rollup_incremental(spark, sf):
-    path = new_path(spark, "rollup")
-    ledger = payment_events(spark, sf)
-    # a first run sees the ledger up to the 18th at noon, the next one replaces the days from the 15th on
-    rollup.roll_up_since(ledger.filter("ts < timestamp_ntz '2024-01-18 12:00:00'"), path, "2024-01-01")
-    rollup.roll_up_since(ledger, path, "2024-01-15")
+    path, ledger, state = (new_path(spark, label) for label in ("rollup", "ledger", "state"))
+    events = payment_events(spark, sf)
+    early = F.col("ts") < F.lit("2024-01-18 12:00:00")
+    # a first run sees the ledger up to the 18th at noon, the next one what came in since
+    for part in (events.filter(early), events.filter(~early)):
+        write_partitioned(part, ledger, "hash", mode="append")
+        rollup.roll_up_changed(spark, ledger, events.schema, path, state)
     out = spark.read.parquet(path)
     return out.select(
         F.col("date").cast("string").alias("date"), "subject", "payee", "account", F.col("biz.no").alias("biz"),

@@ -11,23 +11,22 @@ from pyspark.sql import types as T
 
 from ledgerspark.session import stored
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def partition_text(part: str) -> Column:
-    """Partition value in a file's path, as text; null for the null partition."""
-    raw = F.regexp_extract("path", f"/{part}=([^/]+)/", 1)
-    return F.when((raw != "") & (raw != NULL_PARTITION), F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))))
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def data_files(spark: SparkSession, path: str, parts: str | T.StructType = "", glob: str = "*.parquet") -> DataFrame:
-    """One row per data file: path, modificationTime and the partition columns of the schema
-    ``parts``. The files are listed, not opened."""
+    """One row per data file: path, modificationTime and the partition columns of the schema ``parts``.
+
+    The files are listed, not opened. With ``parts`` the directories are discovered as partitions, so a
+    condition on those columns leaves the other directories out; without, any layout is listed.
+    """
     schema = T.StructType.fromDDL(parts) if isinstance(parts, str) else parts
-    files = spark.read.format("binaryFile").options(pathGlobFilter=glob, recursiveFileLookup=True).load(path)
-    return files.select(
-        "path", "modificationTime", *[partition_text(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if len(schema):
+        files = reader.schema(T.StructType([*T.StructType.fromDDL(FILE_SCHEMA).fields, *schema.fields])).load(path)
+    else:
+        files = reader.option("recursiveFileLookup", True).load(path)
+    return files.select("path", "modificationTime", *schema.names)
 
 
 def partition_file_stats(spark: SparkSession, path: str, parts: str, lo=None, hi=None) -> DataFrame:
@@ -47,9 +46,9 @@ def partition_file_stats(spark: SparkSession, path: str, parts: str, lo=None, hi
 
 
 def lead_partition(spark: SparkSession, path: str, part: str, ts: str) -> DataFrame:
-    """Smallest partition value, as text, with a file changed after ``ts``; null when there is none."""
-    changed = data_files(spark, path).filter(F.col("modificationTime") > F.lit(ts).cast("timestamp"))
-    return changed.agg(F.min(partition_text(part)).alias("lead"))
+    """Smallest partition value, as text, with a file changed after ``ts`` (a time or its text); null when there is none."""
+    changed = data_files(spark, path, f"{part} string").filter(F.col("modificationTime") > F.lit(ts).cast("timestamp"))
+    return changed.agg(F.min(part).alias("lead"))
 
 
 def earliest_changed_bill_date(
@@ -97,7 +96,7 @@ def replace_where(new: DataFrame, path: str, parts: Sequence[str], predicate: Co
     if not _exists(spark, path):
         return
     kept = {tuple(r[p] for p in parts) for r in fresh}
-    schema = T.StructType([staged.schema[p] for p in parts])
+    schema = T.StructType([T.StructField(p, staged.schema[p].dataType) for p in parts])
     directory = F.regexp_replace("path", "/[^/]+$", "").alias("_dir")
     for r in data_files(spark, path, schema).filter(predicate).select(directory, *parts).distinct().collect():
         if tuple(r[p] for p in parts) not in kept:

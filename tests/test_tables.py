@@ -110,6 +110,9 @@ def test_file_listings(spark, tmp_path):
     stats = pt.partition_file_stats(spark, path, "hash int")
     assert sorted(str(r.hash) for r in stats.collect()) == ["10", "9", "None"]
     assert pt.partition_file_stats(spark, path, "hash int", hi="2001-01-01").count() == 0
+    pruned = pt.data_files(spark, path, "hash int").filter("hash >= 10")
+    assert pruned.count() == 1
+    assert "PartitionFilters: [isnotnull(hash" in pruned._jdf.queryExecution().executedPlan().toString()
     # text order, the null partition left out
     assert pt.lead_partition(spark, path, "hash", "2001-01-01").first().lead == "10"
     assert pt.lead_partition(spark, path, "hash", "2100-01-01").first().lead is None
