@@ -9,18 +9,21 @@ from ledgerspark.session import cents, new_path, table
 from ledgerspark.streaming import jobs
 
 
-def landed_events(spark, sf):
-    """Events as a stream of files in time order, so that the watermark drops none."""
-    path = new_path(spark, "landing")
+def in_batches(spark, sf, run):
+    """Land the events in two parts and run a job after each, two files to a batch: the second run
+    goes on from the checkpoint of the first."""
+    path, checkpoint = new_path(spark, "landing"), new_path(spark, "checkpoint")
     events = table(spark, sf, "events")
-    events.repartitionByRange(8, "ts").sortWithinPartitions("ts").write.parquet(path)
-    return jobs.file_stream(spark, path, events.schema)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.filter(early), events.filter(~early)):
+        part.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.mode("append").parquet(path)
+        run(jobs.file_stream(spark, path, events.schema, files_per_batch=2), checkpoint)
 
 
 @query("stream_append_to_table", "SELECT event_id, user_id, event_type, CAST(round(value * 100) AS BIGINT) AS amount FROM events")
 def stream_append_to_table(spark, sf):
     path = new_path(spark, "appended")
-    jobs.append_to_table(landed_events(spark, sf), path, new_path(spark, "checkpoint"))
+    in_batches(spark, sf, lambda stream, checkpoint: jobs.append_to_table(stream, path, checkpoint))
     return spark.read.parquet(path).select("event_id", "user_id", "event_type", cents(F.col("value")).alias("amount"))
 
 
@@ -30,17 +33,15 @@ def stream_append_to_table(spark, sf):
          count(*) AS payments FROM events GROUP BY 1, 2""",
 )
 def stream_daily_rollup(spark, sf):
-    path = new_path(spark, "windows")
-    stream = landed_events(spark, sf)
-    jobs.daily_rollup(stream, "ts", ["event_type"], cents(F.col("value")), path, new_path(spark, "checkpoint"), "40 days")
-    totals = jobs.latest_totals(spark, path, ["event_type"])
-    return totals.withColumn("date", F.col("date").cast("string"))
+    path, keys = new_path(spark, "windows"), ["event_type"]
+    in_batches(spark, sf, lambda stream, at: jobs.daily_rollup(stream, "ts", keys, cents(F.col("value")), path, at, "40 days"))
+    return spark.read.parquet(path).select(F.col("date").cast("string").alias("date"), *keys, "amount", "payments")
 
 
 @query("stream_audit_on_insert", "SELECT event_id AS emp_no, event_type AS name FROM events")
 def stream_audit_on_insert(spark, sf):
     path, audit = new_path(spark, "inserted"), new_path(spark, "audit")
-    jobs.audit_on_insert(landed_events(spark, sf), path, audit, new_path(spark, "checkpoint"), "event_id", "event_type")
+    in_batches(spark, sf, lambda stream, at: jobs.audit_on_insert(stream, path, audit, at, "event_id", "event_type"))
     return spark.read.parquet(audit).select("emp_no", "name")
 
 
@@ -51,6 +52,5 @@ def stream_audit_on_insert(spark, sf):
 )
 def stream_changelog_latest(spark, sf):
     path, keys = new_path(spark, "changes"), ["user_id", "event_type"]
-    jobs.changelog_latest(landed_events(spark, sf), keys, "event_id", path, new_path(spark, "checkpoint"))
-    latest = jobs.latest_entries(spark, path, keys, "event_id")
-    return latest.select(*keys, "event_id", cents(F.col("value")).alias("amount"))
+    in_batches(spark, sf, lambda stream, at: jobs.changelog_latest(stream, keys, "event_id", path, at, buckets=8))
+    return spark.read.parquet(path).select(*keys, "event_id", cents(F.col("value")).alias("amount"))

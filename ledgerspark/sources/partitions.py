@@ -67,7 +67,7 @@ def earliest_changed_bill_date(
     return dates.agg(F.min("day").alias("day"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -93,7 +93,7 @@ def replace_where(new: DataFrame, path: str, parts: Sequence[str], predicate: Co
         raise ValueError("rows outside the replaced range")
     if fresh:
         _overwrite_partitions(staged, path, parts)
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return
     kept = {tuple(r[p] for p in parts) for r in fresh}
     schema = T.StructType([T.StructField(p, staged.schema[p].dataType) for p in parts])
@@ -115,7 +115,7 @@ def replace_by_key(new: DataFrame, path: str, keys: Sequence[str], part: str) ->
     repeated = staged.groupBy(part, *keys).count().filter("count > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"key is repeated in the new rows: {repeated[0].asDict()}")
-    if _exists(spark, path):
+    if table_exists(spark, path):
         # one value per partition directory that is rewritten; as literals they prune the scan
         touched = [r[0] for r in staged.select(part).distinct().collect()]
         in_touched = F.col(part).isin([v for v in touched if v is not None])

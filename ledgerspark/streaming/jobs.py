@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerspark.session import stored
 from ledgerspark.sources.files import audit_rows
+from ledgerspark.sources.partitions import replace_by_key, table_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -51,9 +54,9 @@ def audit_on_insert(stream: DataFrame, path: str, audit_path: str, checkpoint: s
 def daily_rollup(stream: DataFrame, ts: str, keys: Sequence[str], amount: Column, path: str, checkpoint: str, late: str) -> None:
     """Sums per day and key in tumbling one-day windows; rows later than ``late`` are not counted.
 
-    Windows still open are updated batch by batch: each batch writes the totals it changed, and
-    ``latest_totals`` reads the last total of a window. Salting is not needed, since Spark sums
-    within a task before it shuffles.
+    The table holds one row per day and key, in a directory per day. A batch brings the totals it
+    changed, which replace those in their days; a batch that is repeated changes nothing. Salting is
+    not needed, since Spark sums within a task before it shuffles.
     """
     windowed = (
         stream.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -62,32 +65,37 @@ def daily_rollup(stream: DataFrame, ts: str, keys: Sequence[str], amount: Column
         .agg(F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("payments"))
         .select(F.to_date("w.start").alias("date"), *keys, "amount", "payments")
     )
-    _run(windowed, checkpoint, lambda df, n: _write_batch(df, path, n), mode="update")
+    _run(windowed, checkpoint, lambda df, n: replace_by_key(df, path, list(keys), "date"), mode="update")
 
 
-def latest_totals(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    rows = spark.read.parquet(path)
-    last = F.max_by(F.struct("amount", "payments"), "batch").alias("l")
-    return rows.groupBy("date", *keys).agg(last).select("date", *keys, "l.*")
+def changelog_latest(stream: DataFrame, keys: Sequence[str], log_id: str, path: str, checkpoint: str, buckets: int) -> None:
+    """Latest entry of each key, by ``log_id``, as a table with one row per key in ``buckets`` directories.
 
-
-def changelog_latest(stream: DataFrame, keys: Sequence[str], log_id: str, path: str, checkpoint: str) -> None:
-    """Latest entry of each key, kept as one small change set per batch.
-
-    A batch is reduced to the last entry per key before it is written, a partial aggregation
-    that a hot key does not slow down; ``latest_entries`` reduces the change sets the same way.
+    A batch is reduced to the last entry per key, a partial aggregation that a hot key does not slow
+    down, and meets what the table has of those keys; only their buckets are written again. An
+    entry that arrives after a later one, or a batch that is repeated, changes nothing.
     """
 
+    def last(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c not in keys]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), log_id).alias("l")).select(*keys, "l.*")
+
     def each(df: DataFrame, batch_id: int) -> None:
-        rest = [c for c in df.columns if c not in keys]
-        last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), log_id).alias("l"))
-        _write_batch(last.select(*keys, "l.*"), path, batch_id)
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
+        found = stored(last(df).select("*", bucket), "latest")
+        if table_exists(df.sparkSession, path):
+            touched = [r.bucket for r in found.select("bucket").distinct().collect()]  # at most ``buckets``
+            names = found.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+            kept = df.sparkSession.read.schema(found.schema).parquet(path).filter(F.col("bucket").isin(touched))
+            known = kept.join(names, same, "left_semi")
+            found = last(found.unionByName(known))
+        replace_by_key(found, path, list(keys), "bucket")
 
     _run(stream, checkpoint, each)
 
 
-def latest_entries(spark: SparkSession, path: str, keys: Sequence[str], log_id: str) -> DataFrame:
-    rows = spark.read.parquet(path).drop("batch")
-    rest = [c for c in rows.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), log_id).alias("l"))
-    return last.select(*keys, "l.*")
+def batches(spark: SparkSession, checkpoint: str) -> int:
+    """Batches that are done, over all runs from a checkpoint."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/[0-9]*")
+    return len(commits.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(commits) or [])
