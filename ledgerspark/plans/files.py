@@ -12,7 +12,7 @@ from ledgerspark.plans.snapshots import NEW, OLD, UNKNOWN, account_snapshot, sna
 from ledgerspark.session import cents, new_path, table
 from ledgerspark.sources import files as fl
 from ledgerspark.sources.jdbc import scan_jdbc, write_jdbc
-from ledgerspark.sources.partitions import replace_by_key, replace_where
+from ledgerspark.sources.partitions import replace_by_key
 from ledgerspark.sources.versions import VersionedTable
 from ledgerspark.operators import sync
 
@@ -132,7 +132,7 @@ def local_rows_to_table(spark, sf):
 
 
 def two_versions(spark, sf) -> VersionedTable:
-    versions = VersionedTable(spark, new_path(spark, "versions"))
+    versions = VersionedTable(spark, new_path(spark, "versions"), part="status")
     versions.write(account_snapshot(spark, sf, *OLD))
     versions.write(account_snapshot(spark, sf, *NEW))
     return versions
@@ -150,7 +150,9 @@ def time_travel_read(spark, sf):
 
 @query("full_overwrite_snapshot", with_snapshots("SELECT account, total FROM n UNION ALL SELECT -1 - account, total FROM o"))
 def full_overwrite_snapshot(spark, sf):
-    versions = two_versions(spark, sf)
+    versions = VersionedTable(spark, new_path(spark, "whole"))
+    versions.write(account_snapshot(spark, sf, *OLD))
+    versions.write(account_snapshot(spark, sf, *NEW))
     latest, first = versions.read(), versions.read(version=0)
     # the new version is derived from the two before it
     versions.write(latest.select("account", "total").unionAll(first.select(-1 - F.col("account"), "total")))
@@ -193,7 +195,7 @@ def delete_duplicates_keep_min(spark, sf):
     ),
 )
 def merge_upsert(spark, sf):
-    versions = VersionedTable(spark, new_path(spark, "versions"))
+    versions = VersionedTable(spark, new_path(spark, "versions"), part="status")
     versions.write(account_snapshot(spark, sf, *OLD))
     # only the total of a matched account is updated
     versions.merge(account_snapshot(spark, sf, *NEW), ["account"], ["total"])
@@ -206,13 +208,13 @@ def merge_upsert(spark, sf):
        WHERE ts < TIMESTAMP '2024-01-20' OR event_type <> 'error' AND ts < TIMESTAMP '2024-01-25'""",
 )
 def replace_where_query(spark, sf):
-    path = new_path(spark, "replaced")
+    versions = VersionedTable(spark, new_path(spark, "replaced"), part="date")
     events = table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_type", "event_id")
-    fl.write_partitioned(events, path, "date")
+    versions.write(events)
     # from the 20th on only other types up to the 24th come back: later days must be gone
     fresh = events.filter("date >= date '2024-01-20' AND date < date '2024-01-25' AND event_type <> 'error'")
-    replace_where(fresh, path, ["date"], F.col("date") >= F.lit("2024-01-20").cast("date"))
-    return spark.read.parquet(path).select(F.col("date").cast("string").alias("date"), "event_type", "event_id")
+    versions.replace_where(fresh, F.col("date") >= F.lit("2024-01-20").cast("date"))
+    return versions.read().select(F.col("date").cast("string").alias("date"), "event_type", "event_id")
 
 
 @query(
@@ -230,14 +232,20 @@ def replace_by_key_query(spark, sf):
     return spark.read.parquet(path).select(*rows.columns)
 
 
-@query("write_modes", ORDERS_SQL)
+@query("write_modes", f"SELECT fmt, o.* FROM ({ORDERS_SQL}) o, (SELECT unnest(['csv', 'orc', 'parquet']) AS fmt)")
 def write_modes(spark, sf):
-    path, rows = new_path(spark, "modes"), order_rows(spark, sf)
-    rows.withColumn("total", F.lit(0).cast("bigint")).write.parquet(path)
-    rows.write.mode("overwrite").parquet(path)
-    # the table exists, so this one changes nothing
-    rows.limit(0).write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)
+    rows = order_rows(spark, sf)
+    read = []
+    for fmt in ("csv", "orc", "parquet"):
+        path = new_path(spark, f"modes-{fmt}")
+        rows.withColumn("total", F.lit(0).cast("bigint")).write.format(fmt).save(path)
+        even = F.col("o_orderkey") % 2 == 0
+        rows.filter(even).write.format(fmt).mode("overwrite").save(path)
+        rows.filter(~even).write.format(fmt).mode("append").save(path)
+        # the table exists, so this one changes nothing
+        rows.limit(0).write.format(fmt).mode("ignore").save(path)
+        read.append(spark.read.schema(rows.schema).format(fmt).load(path).select(F.lit(fmt).alias("fmt"), "*"))
+    return read[0].unionAll(read[1]).unionAll(read[2])
 
 
 @query("write_partitioned", "SELECT o_orderkey, o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS total, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
@@ -253,12 +261,13 @@ def write_partitioned_query(spark, sf):
        FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""",
 )
 def write_bucketed_query(spark, sf):
-    orders = fl.write_bucketed(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = fl.write_bucketed(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", buckets, ["o_orderstatus"])
     # one row per order, so that no bucket holds a hot key when the tables are joined
     per_order = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("l_extendedprice"))).alias("price")
     )
-    lines = fl.write_bucketed(per_order, "l_orderkey")
+    lines = fl.write_bucketed(per_order, "l_orderkey", buckets)
     joined = spark.table(lines).join(spark.table(orders), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.groupBy("o_orderstatus").agg(F.sum("n").alias("n"), F.sum("price").alias("total"))
 

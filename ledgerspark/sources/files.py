@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 
 from ledgerspark.session import new_path
 
-BUCKETS = 42
-
-
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines; without a schema one more pass over the files infers it."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -83,15 +80,15 @@ def write_partitioned(df: DataFrame, path: str, *parts: str, mode: str = "overwr
     df.hint("rebalance", *parts).write.partitionBy(*parts).mode(mode).parquet(path)
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int = BUCKETS, parts: Sequence[str] = ()) -> str:
-    """Save as a bucketed, sorted table in the shared folder; returns its name.
+def write_bucketed(df: DataFrame, key: str, buckets: int, parts: Sequence[str] = ()) -> str:
+    """Save as a bucketed, sorted table in the shared folder, within partitions by ``parts`` if given; returns its name.
 
     Two tables with the same buckets join on the key without a shuffle. Rows are brought together
     by bucket first, so that a bucket gets few files; ``rebalance`` spreads a bucket that a hot
     key fills over several.
     """
     name = f"bucketed_{uuid.uuid4().hex}"
-    grouped = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", "_bucket").drop("_bucket")
+    grouped = df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", *parts, "_bucket").drop("_bucket")
     writer = grouped.write.bucketBy(buckets, key).sortBy(key)
     if parts:
         writer = writer.partitionBy(*parts)

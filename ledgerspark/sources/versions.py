@@ -1,7 +1,10 @@
-"""Tables kept as whole versions: each write adds a parquet directory, reads see a finished one.
+"""Tables kept as versions, whole or by partition.
 
-A version counts once Spark has left its ``_SUCCESS`` file, so a failed write is never read and
-a version being read is never overwritten.
+A table without a partition column adds a parquet directory with each write. With one, a write adds
+only the partitions that changed, and a manifest per version names the directory of every
+partition; the others stay where they are. A version counts once Spark has left the ``_SUCCESS``
+file of its data or manifest, so a change is seen as a whole or not at all, a failed write is
+never read, and what is being read is never overwritten. One writer at a time.
 """
 
 from __future__ import annotations
@@ -14,18 +17,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.operators.keys import one_per_key
-from ledgerspark.sources.files import condition_delete, condition_update
+from ledgerspark.session import stored
+from ledgerspark.sources.files import condition_delete, condition_update, write_partitioned
+
+MANIFEST = "directory string, layout string"
+#: Names the directory of a version; no column may be called so.
+VERSION = "table_version"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, part: str | None = None):
         self.spark = spark
         self.path = path
+        self.part = part
+        self.commits = f"{path}/_manifest" if part else path
+
+    def _glob(self, pattern: str) -> list:
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        return [f.getPath() for f in found.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(found) or []]
 
     def versions(self) -> list[int]:
-        glob = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
-        found = glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob)
-        return sorted(int(f.getPath().getParent().getName()[2:]) for f in found or [])
+        return sorted(int(f.getParent().getName().partition("=")[2]) for f in self._glob(f"{self.commits}/{VERSION}=*/_SUCCESS"))
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -37,23 +49,96 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema or T.StructType())
         if version is not None and version not in found:
             raise ValueError(f"no version {version} in {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={found[-1] if version is None else version}")
+        version = found[-1] if version is None else version
+        if not self.part:
+            return self.spark.read.parquet(f"{self.path}/{VERSION}={version}")
+        manifest = self._manifest(version)
+        directories = [r.directory for r in manifest if r.directory]
+        layout = T.StructType.fromDDL(manifest[0].layout)
+        if not directories:
+            return self.spark.createDataFrame([], layout)
+        at = self.spark.read.option("basePath", self.path).schema(T.StructType([*layout.fields, T.StructField(VERSION, T.IntegerType())]))
+        return at.parquet(*[f"{self.path}/{d}" for d in directories]).select(*layout.names)
+
+    def _manifest(self, version: int) -> list:
+        """One row per partition directory; bounded by the number of partitions."""
+        return self.spark.read.schema(MANIFEST).parquet(f"{self.commits}/{VERSION}={version}").collect()
 
     def write(self, df: DataFrame) -> int:
         """Replace the whole table: the next version."""
+        if self.part:
+            return self._commit(df, None)
+        version = self._next()
+        df.write.mode("overwrite").parquet(f"{self.path}/{VERSION}={version}")
+        return version
+
+    def _next(self) -> int:
         found = self.versions()
-        version = found[-1] + 1 if found else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
+        return found[-1] + 1 if found else 0
+
+    def _commit(self, df: DataFrame, replaced: Sequence | None) -> int:
+        """The next version: ``df`` in place of the partitions with the values ``replaced`` (None: of all)."""
+        version, kept = self._next(), []
+        if replaced is not None and version:
+            gone = {self._directory_name(v) for v in replaced}
+            kept = [r.directory for r in self._manifest(version - 1) if r.directory and r.directory.split("/")[1] not in gone]
+        write_partitioned(df, f"{self.path}/{VERSION}={version}", self.part)
+        added = [f"{VERSION}={version}/{p.getName()}" for p in self._glob(f"{self.path}/{VERSION}={version}/{self.part}=*")]
+        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        rows = [(d, layout) for d in kept + added] or [(None, layout)]
+        self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.commits}/{VERSION}={version}")
         return version
 
+    def _directory_name(self, value) -> str:
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return names.getPartitionPathString(self.part, None if value is None else str(value))
+
+    def _inside(self, values: Sequence) -> Column:
+        known = F.col(self.part).isin([v for v in values if v is not None])
+        return known | F.col(self.part).isNull() if None in values else known
+
+    def _touched(self, rows: DataFrame) -> list:
+        """Partition values of some rows; bounded by the number of partitions."""
+        return [r[0] for r in rows.select(self.part).distinct().collect()]
+
     def update(self, condition: Column, **values: Column) -> int:
-        return self.write(condition_update(self.read(), condition, **values))
+        now = self.read()
+        if not self.part:
+            return self.write(condition_update(now, condition, **values))
+        if self.part in values:
+            raise ValueError(f"{self.part} names the partition and cannot be updated")
+        touched = self._touched(now.filter(condition))
+        return self._commit(condition_update(now.filter(self._inside(touched)), condition, **values), touched)
 
     def delete(self, condition: Column) -> int:
-        return self.write(condition_delete(self.read(), condition))
+        now = self.read()
+        if not self.part:
+            return self.write(condition_delete(now, condition))
+        touched = self._touched(now.filter(condition))
+        return self._commit(condition_delete(now.filter(self._inside(touched)), condition), touched)
 
     def merge(self, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> int:
-        return self.write(merge_upsert(self.read(), source, keys, update))
+        """Matched rows take the ``update`` columns of the source, the other source rows are inserted."""
+        now = self.read()
+        if not self.part:
+            return self.write(merge_upsert(now, source, keys, update))
+        if self.part in update:
+            raise ValueError(f"{self.part} names the partition and cannot be updated")
+        source = stored(source, "merge")
+        matched = now.join(source.select(*keys), list(keys), "left_semi")
+        new = source.join(now.select(*keys), list(keys), "left_anti")
+        touched = sorted({*self._touched(matched), *self._touched(new)}, key=str)
+        # a matched row lies in a touched partition, so the others need not be read again
+        return self._commit(merge_upsert(now.filter(self._inside(touched)), source, keys, update), touched)
+
+    def replace_where(self, new: DataFrame, predicate: Column) -> int:
+        """``new`` in place of the rows that meet ``predicate``, a condition on the partition column, at
+        once. New rows outside of it are an error."""
+        new = stored(new, "replace-where")
+        if not new.filter(~F.coalesce(predicate, F.lit(False))).isEmpty():
+            raise ValueError("rows outside the replaced range")
+        gone = self._touched(self.read(schema=new.schema).filter(predicate))
+        return self._commit(new, gone)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:

@@ -70,6 +70,40 @@ def test_versions(spark, tmp_path):
         t.read(9)
 
 
+def test_versions_by_partition(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "v")
+    schema = "id int, v string, p string"
+    t = VersionedTable(spark, path, part="p")
+    assert not t.exists() and t.read(schema=schema).count() == 0
+    t.write(spark.createDataFrame([(1, "a", "007"), (2, "b", "x y"), (3, "c", None), (4, "d", "z")], schema))
+    partitions = lambda n: sorted(d for d in os.listdir(f"{path}/table_version={n}") if d.startswith("p="))
+    assert t.update(F.col("id") == 2, v=F.lit("B")) == 1 and partitions(1) == ["p=x y"]
+    assert t.delete(F.col("id").isin(3, 4)) == 2 and partitions(2) == []
+    source = spark.createDataFrame([(1, "A", "z"), (9, "n", None), (8, "m", "w")], schema)
+    assert t.merge(source, ["id"], ["v"]) == 3 and partitions(3) == ["p=007", "p=__HIVE_DEFAULT_PARTITION__", "p=w"]
+    t.replace_where(spark.createDataFrame([(7, "r", "007")], schema), F.col("p").isin("007", "w"))
+    assert t.versions() == [0, 1, 2, 3, 4]
+    assert rows_of(t.read(0)) == sorted([(1, "a", "007"), (2, "b", "x y"), (3, "c", None), (4, "d", "z")], key=str)
+    assert rows_of(t.read(2)) == sorted([(1, "a", "007"), (2, "B", "x y")], key=str)
+    assert rows_of(t.read(3)) == sorted([(1, "A", "007"), (2, "B", "x y"), (8, "m", "w"), (9, "n", None)], key=str)
+    assert rows_of(t.read()) == sorted([(7, "r", "007"), (2, "B", "x y"), (9, "n", None)], key=str)
+    with pytest.raises(ValueError):
+        t.replace_where(source, F.col("p") == "z")
+    with pytest.raises(ValueError):
+        t.update(F.col("id") == 2, p=F.lit("q"))
+    t.delete(F.lit(True))
+    assert t.read().count() == 0
+
+
+def test_bucketed_within_partitions(spark):
+    name = fl.write_bucketed(spark.range(100).withColumn("p", F.col("id") % 3), "id", 4, ["p"])
+    assert spark.table(name).filter("p = 1").count() == 33
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert detail["Num Buckets"] == "4" and "`p`" in spark.sql(f"SHOW CREATE TABLE {name}").first()[0] or "p" in detail
+
+
 def test_merge_rejects_repeated_source_keys(spark):
     target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")
     source = spark.createDataFrame([(1, "n"), (3, "m")], "id int, v string")
@@ -85,8 +119,8 @@ def test_update_and_delete_keep_null_conditions(spark):
 
 
 def test_bucketed_join_has_no_shuffle(spark):
-    left = spark.table(fl.write_bucketed(spark.range(1000).withColumnRenamed("id", "a"), "a"))
-    right = spark.table(fl.write_bucketed(spark.range(1000).withColumnRenamed("id", "b"), "b"))
+    left = spark.table(fl.write_bucketed(spark.range(1000).withColumnRenamed("id", "a"), "a", 42))
+    right = spark.table(fl.write_bucketed(spark.range(1000).withColumnRenamed("id", "b"), "b", 42))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = left.join(right, F.col("a") == F.col("b"))
