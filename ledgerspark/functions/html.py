@@ -2,58 +2,75 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.page_tree import Element, Tree, compiled, find
+
 # The pager line, the unit suffix of table heads, and the host part of a link.
 PAGER = r"^\s*共(\d+)条记录\s*当前页\s*(\d+)/(\d+)"
 UNIT_SUFFIX = r"\(元\)$"
 HOST = r"^((?:https?://)?[^/\s]*)"
 
-HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
+ELEMENT = "struct<html: string, text: string, attributes: map<string,string>>"
+TABLE = "struct<heads: array<string>, rows: array<struct<row_key: string, cells: array<string>>>>"
+
+
+def _numeric(text: Column) -> Column:
+    """Numeric character references, decimal and hexadecimal, as characters."""
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)&#(x[0-9a-f]{1,6}|[0-9]{1,7});"), F.lit(1)))
+
+    def put(done: Column, code: Column) -> Column:
+        number = F.when(F.lower(F.left(code, F.lit(1))) == "x", F.conv(F.substr(code, F.lit(2)), 16, 16)).otherwise(F.conv(code, 10, 16))
+        char = F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
+        return F.replace(done, F.concat(F.lit("&#"), code, F.lit(";")), char)
+
+    return F.when(text.contains("&#"), F.aggregate(codes, text, put)).otherwise(text)
+
 
 def unescape(text: Column) -> Column:
+    text = _numeric(text)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
 def inner_text(html: Column) -> Column:
-    """Text of a fragment: tags dropped, entities resolved, white space collapsed."""
-    plain = F.regexp_replace(F.regexp_replace(html, r"(?i)<br\s*/?>", " "), r"(?s)<[^>]*>", "")
+    """Text of a fragment: comments and tags dropped, entities resolved, white space collapsed."""
+    seen = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    plain = F.regexp_replace(F.regexp_replace(seen, r"(?i)<br\s*/?>", " "), r"(?s)<[^>]*>", "")
     return F.trim(F.regexp_replace(unescape(plain), r"\s+", " "))
 
 
-def elements(html: Column, tag: str) -> Column:
-    """Inner HTML of every element of a tag (not nested in itself)."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), F.lit(1))
-
+def select(html: Column, **selectors: str) -> Column:
+    """Struct with, for each name, the elements that a selector finds, in page order.
 
-def elements_with(html: Column, tag: str, attribute: str, value: str) -> Column:
-    """Inner HTML of the elements of a tag whose attribute has the value as one of its words."""
-    start = rf"""<{tag}\s(?:[^>]*\s)?{attribute}\s*=\s*["']?(?:[^"'>]*\s)?{value}(?=["'\s>])[^>]*>"""
-    return F.regexp_extract_all(html, F.lit(rf"(?is){start}(.*?)</{tag}\s*>"), F.lit(1))
-
-
-def descendants(fragments: Column, tag: str) -> Column:
-    """Inner HTML of the elements of a tag inside each of the fragments."""
-    return F.flatten(F.transform(fragments, lambda f: elements(f, tag)))
+    Selectors combine tag, ``#id``, ``.class`` and ``[attribute=value]``, with a space for a descendant
+    and ``>`` for a child. Nested elements, comments, scripts and missing end tags are told apart by
+    structure. A page is parsed once, however many selectors there are; a null page has none.
+    """
+    steps = {name: compiled(s) for name, s in selectors.items()}
 
+    @F.pandas_udf(", ".join(f"{name} array<{ELEMENT}>" for name in selectors))
+    def run(pages: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page in pages:
+            tree = Tree(page) if page is not None else None
+            rows.append([[_shown(page, e) for e in find(tree, s)] if tree else None for s in steps.values()])
+        return pd.DataFrame(rows, columns=list(selectors))
 
-def attribute(fragment: Column, name: str) -> Column:
-    """First value of an attribute in a fragment; null when it has none."""
-    value = F.regexp_extract(fragment, rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']""", 1)
-    return F.when(fragment.rlike(rf"(?is)\s{name}\s*="), unescape(value))
+    return run(html)
 
 
-def title(html: Column) -> Column:
-    return inner_text(F.get(elements(html, "title"), F.lit(0)))
+def _shown(page: str, e: Element) -> dict:
+    return {"html": page[e.start : e.stop], "text": e.text(), "attributes": e.attributes}
 
 
-def texts(fragments: Column) -> Column:
-    return F.transform(fragments, inner_text)
+def texts(elements: Column) -> Column:
+    return F.transform(elements, lambda e: e["text"])
 
 
 def switch_flag(cell: Column) -> Column:
@@ -63,28 +80,74 @@ def switch_flag(cell: Column) -> Column:
     )
 
 
+def _hidden(e: Element) -> bool:
+    return "display:none" in e.attributes.get("style", "").replace(" ", "").lower()
+
+
+def _tables(pages: pd.Series) -> pd.DataFrame:
+    rows = []
+    for page in pages:
+        tree = Tree(page) if page is not None else None
+        table = next((e for e in tree.elements if e.tag == "table" and e.children("thead")), None) if tree else None
+        if table is None:
+            rows.append((None, None))
+            continue
+        first = next(iter(table.children("thead")[0].children("tr")), None)
+        heads = [e.text() for e in first.children("td", "th") if not _hidden(e)] if first else []
+        found = [r for body in table.children("tbody")[:1] for r in body.children("tr")]
+        cells = [{"row_key": r.attributes.get("data-key"), "cells": [page[c.start : c.stop] for c in r.children("td")]} for r in found]
+        rows.append((heads, cells))
+    return pd.DataFrame(rows, columns=["heads", "rows"])
+
+
+def _count(text: Column, part: str) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
+def _plain_table(html: Column) -> Column:
+    """Whether patterns see a page's table as its structure is: one table, all its tags closed, no comment."""
+    closed = [_count(html, f"<{t}") == _count(html, f"</{t}") for t in ("tr", "td", "th")]
+    return (_count(F.lower(html), "<table") == 1) & ~html.contains("<!--") & closed[0] & closed[1] & closed[2]
+
+
+def _table_by_patterns(html: Column) -> Column:
+    """Heads and rows of a plain table, cut once and without Python."""
+
+    def cells(row: Column, tag: str) -> Column:
+        return F.regexp_extract_all(row, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?+>(.*?)</t[dh]\s*>"), F.lit(1))
+
+    head_row = F.regexp_extract(html, r"(?is)<thead[^>]*+>\s*<tr[^>]*+>(.*?)</tr", 1)
+    shown = F.regexp_extract_all(head_row, F.lit(r"""(?is)<t[dh](?![^>]*display:\s*none)[^>]*+>(.*?)</t[dh]\s*>"""), F.lit(1))
+    body = F.regexp_extract(html, r"(?is)<tbody[^>]*+>(.*?)</tbody", 1)
+    rows = F.transform(
+        F.regexp_extract_all(body, F.lit(r"(?is)(<tr(?:\s[^>]*)?+>.*?)</tr"), F.lit(1)),
+        lambda r: F.struct(
+            F.nullif(F.regexp_extract(r, r"""(?is)^<tr[^>]*?\sdata-key\s*=\s*["']([^"']*)["']""", 1), F.lit("")).alias("row_key"),
+            cells(r, "td").alias("cells"),
+        ),
+    )
+    return F.struct(F.transform(shown, inner_text).alias("heads"), rows.alias("rows"))
+
+
 def html_table_rows(pages: DataFrame, html: str, *keep: str) -> DataFrame:
-    """One row per body row of a page's table: its ``data-key`` and a map from head to cell HTML.
+    """One row per body row of a page's first table with a head: its ``data-key`` and a map from head to
+    cell HTML.
 
     Hidden head cells are no columns, and the unit suffix of a head is dropped. A row whose cell
-    count is not that of the head is an error.
+    count is not that of the head is an error. Tables within cells are part of the cell.
+
+    Pages whose one table is closed throughout are read by patterns in the JVM; the parser sees the others.
     """
-    head_row = F.regexp_extract(html, r"(?is)<thead[^>]*>\s*<tr[^>]*>(.*?)</tr>", 1)
-    head = F.regexp_extract_all(head_row, F.lit(r"""(?is)<td(?![^>]*display:\s*none)[^>]*>(.*?)</td>"""), F.lit(1))
-    names = F.transform(texts(head), lambda t: F.regexp_replace(t, UNIT_SUFFIX, ""))
-    body = F.regexp_extract(html, r"(?is)<tbody[^>]*>(.*?)</tbody>", 1)
-    rows = pages.select(
-        *keep, names.alias("_names"),
-        F.explode(F.regexp_extract_all(body, F.lit(r"(?is)(<tr[^>]*>.*?</tr>)"), F.lit(1))).alias("_row"),
-    )
-    cells = elements(F.col("_row"), "td")
-    opening = F.regexp_extract("_row", r"(?is)^(<tr[^>]*>)", 1)
-    checked = F.when(F.size("_cells") == F.size("_names"), F.map_from_arrays("_names", "_cells")).otherwise(
-        F.raise_error(F.concat(F.lit("cells do not fit the head: "), F.col("_row"))).cast("map<string,string>")
-    )
-    return rows.select(*keep, "_names", "_row", cells.alias("_cells"), attribute(opening, "data-key").alias("row_key")).select(
-        *keep, "row_key", checked.alias("cells")
+    page = F.col(html)
+    plain = F.coalesce(_plain_table(page), F.lit(False))
+    parsed = F.pandas_udf(_tables, TABLE)(F.when(~plain, page))
+    read = pages.select(*keep, F.when(plain, _table_by_patterns(page).cast(TABLE)).otherwise(parsed).alias("_t"))
+    names = F.transform("_t.heads", lambda t: F.regexp_replace(t, UNIT_SUFFIX, ""))
+    rows = read.select(*keep, names.alias("_names"), F.explode("_t.rows").alias("_row"))
+    checked = F.when(F.size("_row.cells") == F.size("_names"), F.map_from_arrays("_names", "_row.cells")).otherwise(
+        F.raise_error(F.concat(F.lit("cells do not fit the head: "), F.to_json("_row"))).cast("map<string,string>")
     )
+    return rows.select(*keep, F.col("_row.row_key").alias("row_key"), checked.alias("cells"))
 
 
 def pager(text: Column) -> Column:
@@ -100,23 +163,20 @@ def host(url: Column) -> Column:
 
 def html_links(pages: DataFrame, url: str, html: str) -> DataFrame:
     """Distinct links (src, dst) of pages to their own host; relative ones are made absolute and a
-    trailing slash is dropped."""
-    found = pages.select(
-        F.col(url).alias("src"), host(F.col(url)).alias("_host"), F.explode(F.regexp_extract_all(html, F.lit(HREF), F.lit(1))).alias("_to")
-    )
-    to = unescape(F.trim("_to"))
+    trailing slash is dropped. Links within comments do not count."""
+    anchors = F.explode(select(F.col(html), a="a[href]")["a"])
+    found = pages.select(F.col(url).alias("src"), host(F.col(url)).alias("_host"), anchors.alias("_a"))
+    to = F.trim(F.col("_a.attributes")["href"])
     absolute = (
         F.when(to.startswith("http"), to)
         .when(to.startswith("/"), F.concat("_host", to))
         .otherwise(F.concat(F.col("_host"), F.lit("/"), to))
     )
-    links = found.select("src", "_host", F.regexp_replace(absolute, "/$", "").alias("dst"))
-    return links.filter(F.startswith("dst", "_host")).select("src", "dst").distinct()
+    links = found.filter(to != "").select("src", "_host", F.regexp_replace(absolute, "/$", "").alias("dst"))
+    return links.filter(host(F.col("dst")) == F.col("_host")).select("src", "dst").distinct()
 
 
 def html_images(pages: DataFrame, html: str, *keep: str) -> DataFrame:
     """Source and alternative text of each image of a page, in page order."""
-    tags = pages.select(
-        *keep, F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)(<img\s[^>]*>)"), F.lit(1))).alias("nth", "_img")
-    )
-    return tags.select(*keep, "nth", attribute(F.col("_img"), "src").alias("src"), attribute(F.col("_img"), "alt").alias("alt"))
+    tags = pages.select(*keep, F.posexplode(select(F.col(html), img="img")["img"]).alias("nth", "_img"))
+    return tags.select(*keep, "nth", *[F.col("_img.attributes")[c].alias(c) for c in ("src", "alt")])

@@ -219,7 +219,7 @@ def html_switch_flags(spark, sf):
 
 def text_sql(fragment: str) -> str:
     plain = f"regexp_replace(regexp_replace({fragment}, '(?i)<br\\s*/?>', ' ', 'g'), '(?s)<[^>]*>', '', 'g')"
-    for entity, char in h.ENTITIES:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
         quoted = char.replace("'", "''")
         plain = f"replace({plain}, '{entity}', '{quoted}')"
     return f"trim(regexp_replace({plain}, '\\s+', ' ', 'g'))"
@@ -235,15 +235,15 @@ def text_sql(fragment: str) -> str:
         FROM pages""",
 )
 def html_title_and_selectors(spark, sf):
-    html = F.col("html")
-    items = h.elements(html, "li")
-    return table(spark, sf, "pages").select(
-        "page_id",
-        h.title(html).alias("title"),
-        F.coalesce(h.inner_text(F.get(h.elements(html, "h1"), F.lit(0))), F.lit("")).alias("h1"),
-        F.size(items).alias("items"),
-        F.array_join(h.texts(items), "|").alias("item_texts"),
-        F.coalesce(h.inner_text(F.get(h.elements_with(html, "div", "class", "ad"), F.lit(0))), F.lit("")).alias("ad"),
+    found = h.select(F.col("html"), title="head > title", h1="article h1", items="ul > li", ad="div.ad")
+    pages = table(spark, sf, "pages").select("page_id", found.alias("s"))
+
+    def first(name):
+        return F.coalesce(F.get(f"s.{name}", F.lit(0))["text"], F.lit("")).alias(name)
+
+    items = F.col("s.items")
+    return pages.select(
+        "page_id", first("title"), first("h1"), F.size(items).alias("items"), F.array_join(h.texts(items), "|").alias("item_texts"), first("ad")
     )
 
 

@@ -161,14 +161,12 @@ PAGE = """<html><head><title>A &lt;b&gt;</title></head><body><div id="city"><ul
 def test_html_selectors_and_links(spark):
     page = spark.createDataFrame([("http://h.com/start", PAGE)], "url string, html string")
     got = page.select(
-        h.title(F.col("html")).alias("title"),
-        h.texts(h.elements(F.col("html"), "li")).alias("li"),
-        h.texts(h.elements_with(F.col("html"), "ul", "class", "city_con")).alias("by_class"),
-        h.texts(h.elements_with(F.col("html"), "div", "id", "city")).alias("by_id"),
-        h.texts(h.descendants(h.elements_with(F.col("html"), "ul", "class", "x"), "li")).alias("inside"),
-    ).first()
-    assert (got.title, got.li, got.by_class, got.by_id) == ("A <b>", ["北京", "上海"], ["北京上海"], ["北京上海"])
-    assert got.inside == ["北京", "上海"]
+        h.select(
+            F.col("html"), title="title", li="li", by_class="ul.city_con", by_id="div#city", inside="div > ul.x li", none="body > li", second="li.q"
+        ).alias("s")
+    ).select(*[h.texts(F.col(f"s.{n}")).alias(n) for n in "title li by_class by_id inside none second".split()]).first()
+    assert (got.title, got.li, got.by_class, got.by_id) == (["A <b>"], ["北京", "上海"], ["北京上海"], ["北京上海"])
+    assert (got.inside, got.none, got.second) == (["北京", "上海"], [], ["上海"])
     links = {r.dst for r in h.html_links(page, "url", "html").collect()}
     assert links == {"http://h.com/p/1", "http://h.com/q2"}
     images = [(r.nth, r.src, r.alt) for r in h.html_images(page, "html").orderBy("nth").collect()]
@@ -177,6 +175,37 @@ def test_html_selectors_and_links(spark):
     assert (pager.total, pager.page, pager.last) == (128, 2, 13)
 
 
+GOLDEN = """<!doctype html><html><body><!-- <a href="/no">b --><div class="ad"><div>x</div>tail</div>
+<p>one &#20013;&#x6587; &amp; <b>two</b><p>three<br>four<script>if (a < b) { "<p>no</p>" }</script>
+<ul><li>a<ul><li>b</li></ul></li><li>c</ul><a href="http://a.com.evil/x">e</a><a href="/in?a=1&amp;b=2">f</a><a href="">g</a>
+<table><tr><td>outer<table><tr><td>inner</td></tr></table></td><td>next</table><input disabled id=i></body></html>"""
+
+
+def test_html_by_structure(spark):
+    page = spark.createDataFrame([("http://a.com/p", GOLDEN), ("http://b.com", None), ("http://c.com", "<li>open <b>x")], "url string, html string")
+    names = dict(ad="div.ad", p="p", li="li", top="body > ul > li", td="td", deep="td td", box="input[disabled]#i", gone="div.a")
+    rows = page.select("url", h.select(F.col("html"), **names).alias("s")).collect()
+    got = {r.url: {n: None if r.s[n] is None else [e.text for e in r.s[n]] for n in names} for r in rows}
+    first = got["http://a.com/p"]
+    assert first["ad"] == ["xtail"] and first["p"] == ["one 中文 & two", "three four"]
+    assert first["li"] == ["ab", "b", "c"] and first["top"] == ["ab", "c"]
+    assert first["td"] == ["outerinner", "inner", "next"] and first["deep"] == ["inner"]
+    assert first["box"] == [""] and first["gone"] == []
+    assert got["http://c.com"]["li"] == ["open x"] and set(got["http://b.com"].values()) == {None}
+    assert next(r for r in rows if r.url == "http://a.com/p").s.ad[0].html == "<div>x</div>tail"
+    assert [tuple(r) for r in h.html_links(page, "url", "html").collect()] == [("http://a.com/p", "http://a.com/in?a=1&b=2")]
+    assert one(spark, h.inner_text(F.lit("a<!-- b > c -->&#20013;&#x6587;&#39;"))) == "a中文'"
+    with pytest.raises(ValueError, match="selector"):
+        h.select(F.col("html"), x="a ~ b")
+
+
+def test_html_table_with_a_table_in_a_cell(spark):
+    inner = "<table><thead><tr><td>q</td></tr></thead><tbody><tr><td>1</td></tr></tbody></table>"
+    page = spark.createDataFrame([(1, TABLE.replace("<i>-</i>", inner))], "id int, html string")
+    rows = h.html_table_rows(page, "html", "id").collect()
+    assert len(rows) == 2 and {r.cells["开关"] for r in rows} == {'<span class="b switch-on"></span>', inner}
+
+
 def test_link_frontier(spark):
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "src string, dst string")
     out = link_frontier(links, spark.createDataFrame([("a",)], "node string"))
