@@ -29,16 +29,23 @@ def flow_sum(lines: DataFrame, line: str = "value") -> DataFrame:
     )
 
 
-def groups_without(df: DataFrame, key: str, matching: Column, listed: str) -> DataFrame:
+def from_small_domain(df: DataFrame, column: str, most: int) -> Column:
+    """The column, after a check that it has at most ``most`` distinct values: lists of them are bounded then."""
+    found = df.select(column).distinct().agg(F.count(F.lit(1))).scalar()
+    error = F.concat(F.lit(f"{column} has more than {most} values: "), found.cast("string"))
+    return F.when(found <= most, F.col(column)).otherwise(F.raise_error(error).cast(df.schema[column].dataType))
+
+
+def groups_without(df: DataFrame, key: str, matching: Column, listed: str, most: int = 1000) -> DataFrame:
     """Groups in which no row matches, in one scan: row count and the distinct values of ``listed``.
 
-    ``listed`` must come from a small domain such as a status code.
+    ``listed`` must come from a small domain such as a status code; more than ``most`` values are an error.
     """
     return (
         df.groupBy(key)
         .agg(
             F.sum(F.when(matching, 1).otherwise(0)).alias("_hits"),
-            F.concat_ws(",", F.array_sort(F.collect_set(listed))).alias("listed"),
+            F.concat_ws(",", F.sort_array(F.collect_set(from_small_domain(df, listed, most)))).alias("listed"),
             F.count(F.lit(1)).alias("n"),
         )
         .filter(f"_hits < 1 AND {key} IS NOT NULL")

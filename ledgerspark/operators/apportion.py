@@ -17,7 +17,6 @@ from ledgerspark.operators.ordered import RunningSum, with_running
 
 # Subjects whose income is shared at the second (flat) rate.
 SECOND_RATE_SUBJECTS = ("主营业务收入.收入.加液", "主营业务收入.退款.加液")
-SALTS = 16
 # Subjects whose cost is spread over months.
 MONTHLY_SUBJECTS = ("主营业务成本.装修费", "主营业务成本.装修费（空间设计费）")
 
@@ -84,8 +83,7 @@ def _daily_income(events: DataFrame, spans: DataFrame, keys: Sequence[str], seco
     """Per (keys, span, date) from the span's start on: first-rate and second-rate income.
 
     Days after the start day come from sums per (keys, date). Only rows of the start day itself are
-    compared with the start time one by one; they are salted, and the spans repeated per salt, so
-    that a contract with very many rows on that day is spread over tasks.
+    compared with the start time one by one, in an inner join whose large partitions Spark can split.
     """
     known = F.coalesce(F.col("subject") != "", F.lit(False))
     is_second = F.col("subject").isin(*second)
@@ -105,12 +103,9 @@ def _daily_income(events: DataFrame, spans: DataFrame, keys: Sequence[str], seco
         .filter((F.col("date") > F.col("_start")) & (F.col("date") < F.col("_end")))
         .select(*keys, "span", "date", "_first", "_second")
     )
-    starts = bounds.select(
-        *keys, "span", "start_ts", F.col("_start").alias("date"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    )
+    starts = bounds.select(*keys, "span", "start_ts", F.col("_start").alias("date"))
     first_day = (
-        rows.withColumn("_salt", F.pmod(F.xxhash64("ts", "_first", "_second"), F.lit(SALTS)).cast("int"))
-        .join(starts, [*keys, "date", "_salt"])
+        rows.join(starts, [*keys, "date"])
         .filter(F.col("ts") >= F.col("start_ts"))
         .groupBy(*keys, "span", "date")
         .agg(*sums)

@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.session import new_path
+from ledgerspark.sources.files import write_bucketed
 
 
 def link_frontier(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """Nodes reachable from ``seeds`` (column node) over ``links`` (src, dst), seeds included, with
     the round that found them.
 
-    Each round follows the links of the newly found nodes only and is written to the shared
-    folder, which cuts the lineage and survives lost executors. Rounds go on until one finds
-    nothing. Every node is expanded once, so the work adds up to one pass over its links.
+    The links are written once, bucketed and sorted by source, so a round shuffles only the nodes
+    found last, not the links. Each round is written to the shared folder, which cuts the lineage and
+    survives lost executors. Rounds go on until one finds nothing; every node is expanded once, and
+    every round scans the links.
     """
     spark = links.sparkSession
-    edges = links.select(F.col("src").alias("_src"), F.col("dst").alias("node"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = spark.table(write_bucketed(links.select(F.col("src").alias("_src"), F.col("dst").alias("node")), "_src", buckets))
     path = new_path(spark, "frontier")
     frontier = seeds.select("node").distinct()
     number = 0

@@ -245,7 +245,9 @@ def agg_last_ordered(spark, sf):
 )
 def multiset_multimap_agg(spark, sf):
     # counted per (key, value) first: the list of a key is as long as the type domain, not its rows
-    counted = table(spark, sf, "part").groupBy("p_brand", "p_type").agg(F.count(F.lit(1)).alias("n"))
+    parts = table(spark, sf, "part")
+    kind = agg.from_small_domain(parts, "p_type", 1000).alias("p_type")
+    counted = parts.groupBy("p_brand", "p_type").agg(F.count(F.lit(1)).alias("n")).select("p_brand", kind, "n")
     cell = {c: F.coalesce(F.max(F.when(F.col("p_type") == c.upper(), F.col("n"))), F.lit(0)) for c in ("promo", "small")}
     entries = F.transform(F.array_sort(F.collect_list(F.struct("p_type", "n"))), lambda e: F.concat_ws(":", e.p_type, e.n))
     return counted.groupBy("p_brand").agg(

@@ -19,7 +19,7 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own (tests, bench).
+    Only a local session that names none gets a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -32,9 +32,24 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+_app_dirs: set[str] = set()
+
+
+def app_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one; Hadoop removes it when the driver ends."""
+    path = f"{shared_dir(spark)}/ledgerspark-{spark.sparkContext.applicationId}"
+    if path not in _app_dirs:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _app_dirs.add(path)
+    return path
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the application's folder that nothing has been written to yet."""
+    return f"{app_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

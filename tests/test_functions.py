@@ -344,3 +344,10 @@ def test_string_join_parts(spark):
     df = spark.createDataFrame([("k", i, None if i % 4 == 0 else str(i)) for i in range(30)], "k string, o int, v string")
     parts = agg.string_join(df, ["k"], ["o"], "v", per_row=7, chunks=5).orderBy("part").collect()
     assert ",".join(r.joined for r in parts) == ",".join(str(i) for i in range(30) if i % 4)
+
+
+def test_lists_only_from_small_domains(spark):
+    df = spark.range(50).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("v"))
+    assert agg.groups_without(df, "k", F.lit(False), "v", most=50).count() == 3
+    with pytest.raises(Exception, match="more than 49 values"):
+        agg.groups_without(df, "k", F.lit(False), "v", most=49).collect()
