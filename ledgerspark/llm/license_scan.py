@@ -20,6 +20,8 @@ from ledgerspark.llm.license_texts import EQUIVALENT, KNOWN
 _WORD = re.compile(r"\w+")
 # "Copyright 2024 Someone", "(c) 2024 Someone", but not the words of a licence about copyright notices
 _COPYRIGHT = re.compile(r"\W*(?:copyright\b\W*(?:\(c\)|©|\d{4}|by\b)|\(c\)|©)", re.IGNORECASE)
+#: Digests that a task holds before it hands them on.
+UNITS = 1 << 16
 #: From the strictest on.
 KIND_ORDER = ("restricted", "copyleft", "permissive")
 
@@ -48,6 +50,12 @@ def known_licenses(spark: SparkSession, known: Iterable[tuple[str, str, str]] =
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of each text and of its distinct lines; ``whole`` marks the text's own."""
+
+    def flushed() -> pa.RecordBatch:
+        columns = (ids, pa.int64()), (row_digests, pa.binary()), (whole, pa.bool_()), (found, pa.binary())
+        rows, *rest = [pa.array(values, kind) for values, kind in columns]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(rows), *rest], [batch.schema.names[0], "text_digest", "whole", "digest"])
+
     for batch in batches:
         ids, row_digests, whole, found = [], [], [], []
         for i, text in enumerate(batch.column(1)):
@@ -59,15 +67,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row_digests += [own] * len(units)
             whole += [True] + [False] * (len(units) - 1)
             found += units
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(pa.array(ids, pa.int64())),
-                pa.array(row_digests, pa.binary()),
-                pa.array(whole, pa.bool_()),
-                pa.array(found, pa.binary()),
-            ],
-            [batch.schema.names[0], "text_digest", "whole", "digest"],
-        )
+            if len(found) >= UNITS:
+                yield flushed()
+                ids, row_digests, whole, found = [], [], [], []
+        if found:
+            yield flushed()
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

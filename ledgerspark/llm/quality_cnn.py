@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import least_hashed
+
 #: Bytes under one filter; filters; positions per block, half a chunk.
 WIDTH, FILTERS, BLOCK = 4, 8, 256
 #: Bytes laid out at a time, which bounds a task's memory, and positions looked up at a time.
@@ -202,10 +204,10 @@ def training_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def training_sample(docs: DataFrame, agreed: DataFrame, per_class: int) -> DataFrame:
-    """At most ``per_class`` labelled documents of each class, by the hash of their ids; of documents
-    that share an id the least text is taken."""
-    picked = [agreed.filter(F.col("label") == c).orderBy("_order", "_id").limit(per_class) for c in (0, 1)]
+def training_sample(docs: DataFrame, agreed: DataFrame, counts: tuple[int, int], per_class: int) -> DataFrame:
+    """At most ``per_class`` labelled documents of each class (of which there are ``counts``), by the hash
+    of their ids; of documents that share an id the least text is taken."""
+    picked = [least_hashed(agreed.filter(F.col("label") == c), "_order", counts[c], per_class, "_id") for c in (0, 1)]
     chosen = picked[0].unionByName(picked[1])
     found = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
     return found.groupBy("_order", "_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("label").alias("label"))
@@ -224,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) ->
         net = train([_bytes(t) for t in rows["text"]], rows["label"].to_numpy(float), ones / zeros)
         yield pd.DataFrame({"net": [net.pack()]})
 
-    sample = training_sample(docs, agreed, per_class).coalesce(1)
+    sample = training_sample(docs, agreed, (zeros, ones), per_class).coalesce(1)
     got = sample.mapInPandas(run, "net binary").collect()
     return Network.unpack(bytes(got[0].net)) if got else None
 

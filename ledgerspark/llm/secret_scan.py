@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import least_hashed
+
 _RUN = "A-Za-z0-9+/_-"
 #: A private key block; a run of 16 or more key characters with a digit; or 8 or more characters after = or :.
 CANDIDATE = (
@@ -194,7 +196,8 @@ def labelled_findings(spark: SparkSession, prose: list[str], rows: int = 4800, s
 def prose_words(docs: DataFrame, text: str = "text", texts: int = 32, words: int = 400) -> list[str]:
     """Words of a bounded sample of texts, for the neighbourhoods of labelled findings: at most ``words``
     of the ``texts`` texts that come first by hash."""
-    some = docs.select(F.coalesce(text, F.lit("")).alias("t")).orderBy(F.xxhash64("t"), "t").limit(texts)
+    hashed = docs.select(F.coalesce(text, F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
+    some = least_hashed(hashed, "h", docs.count(), texts, "t")
     each = some.select(F.explode(F.split("t", r"[^\p{L}]+")).alias("w")).filter("length(w) BETWEEN 2 AND 14")
     return [r.w for r in each.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
 

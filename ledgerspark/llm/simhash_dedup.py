@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import least_hashed
 from ledgerspark.session import stored
 
 #: Words per shingle, hash seed, and bits in which linked fingerprints may differ.
@@ -214,7 +215,8 @@ def links(points: DataFrame, shard_points: int = SHARD, split: int = SPLIT) -> D
     n = points.count()
     shards = max(1, min(MOST_SHARDS, -(-n // shard_points)))
     # bounded by SAMPLE * MOST_SHARDS numbers, which make the tree on the driver
-    sampled = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE * shards).collect()
+    hashed = points.select("fp", F.xxhash64("fp").alias("_order"))
+    sampled = least_hashed(hashed, "_order", n, SAMPLE * shards, "fp").collect()
     nodes = plant(np.array([r.fp for r in sampled], np.int64).view(np.uint64), shards)
     visits = _visits(points, nodes)
     large = visits.filter("NOT guest").groupBy("shard").count().filter(F.col("count") > split).collect()
