@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Characters of text that are encoded together, and encoded words that are kept; both bound memory.
-BLOCK_CHARS, KEPT_WORDS = 1 << 24, 1 << 20
+BLOCK_CHARS, KEPT_WORDS = 1 << 21, 1 << 18
 # str.split() also splits at these four, which the vocabulary's pattern does not
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\p{White_Space}+")
@@ -152,7 +152,9 @@ class Tokenizer:
         self.cut = regex.compile(f"({named})") if special and named else None
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.piece = regex.compile(split["pattern"]["Regex"])
+        # what the last blocks used, and what was used before that
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _normal(self, text: str) -> list[str]:
         """Chunks between white space, in normal form C and lower case."""
@@ -170,10 +172,17 @@ class Tokenizer:
         return [self.special[p] if i % 2 else self._normal(p) for i, p in enumerate(parts)]
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode chunks that are not known yet, all their words in one index."""
+        """Encode chunks that are not known yet, all their words in one index.
+
+        When half of what may be kept is in use, it becomes the older half; what is used again
+        moves on, and the rest is dropped at the next turn.
+        """
+        if len(self.known) > KEPT_WORDS // 2:
+            self.older, self.known = self.known, {}
         new = chunks - self.known.keys()
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known, new = {}, chunks
+        again = new & self.older.keys()
+        self.known.update((c, self.older[c]) for c in again)
+        new -= again
         pieces = {c: tuple(self.piece.findall(c)) for c in new}
         words = list(set().union(*pieces.values()))
         ids = {}
