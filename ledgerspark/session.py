@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -9,7 +11,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for an application, so that they need
+    neither the driver's working directory nor its path."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="ledgerspark-code-")  # the driver serves the archive from here
+        root, name = os.path.split(package)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{name}", "zip", root, name))
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
