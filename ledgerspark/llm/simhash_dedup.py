@@ -35,9 +35,14 @@ SPLIT = 4 * SHARD
 LEAF, TRIED, JUDGED, PAIRS = 256, 6, 1024, 1 << 21
 
 
+def folded_words(text: str | None) -> list[bytes]:
+    """Words of a text between ASCII white space, ASCII letters lowered."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+
+
 def simhash(text: str | None, words: int = SHINGLE) -> int:
     """Unsigned 64-bit fingerprint of a whole text; a null, empty or blank one has fingerprint 0."""
-    found = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+    found = folded_words(text)
     if not found:
         return 0
     joined = b" ".join(found)
@@ -292,12 +297,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, with one row of each component: the smallest key's, null keys last.
+    """``docs``, all columns, with one row of each component: the smallest key's, null keys last."""
+    return first_of_groups(docs, near_duplicates(docs, key, text), key, text)
+
+
+def first_of_groups(docs: DataFrame, near: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each group of ``near`` (key, digest, group): the smallest key's, null keys last.
 
     A representative is named by key and text hash, so rows that share a key but not the text are
     told apart; of rows that share both, the first by a hash of the other columns stays.
     """
-    near = near_duplicates(docs, key, text)
     first = near.groupBy("group").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "digest")).alias("r"))
     kind = docs.schema[key].dataType
     chosen = first.select(
