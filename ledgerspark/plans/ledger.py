@@ -146,16 +146,11 @@ def reconcile_carry_forward(spark, sf):
     return day_text(rc.carry_forward(found(START, END), found(*EARLIER), START))
 
 
-_matched: dict[tuple[str, str], DataFrame] = {}
-
-
 def matched(spark, sf):
-    """The match behind the three tables of a report, made once for a session and a set of tables."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _matched:
-        payments = rc.ledger_payments(line_ledger(spark, sf), START, END)
-        _matched[key] = stored(rc.match_bills(payments, rc.bills_between(line_bills(spark, sf), START, END)), "report")
-    return _matched[key]
+    """The match behind the three tables of a report, read from the tables as they are now; a caller who
+    wants several of them passes the one it returns."""
+    payments = rc.ledger_payments(line_ledger(spark, sf), START, END)
+    return stored(rc.match_bills(payments, rc.bills_between(line_bills(spark, sf), START, END)), "report")
 
 
 @query(
@@ -168,8 +163,8 @@ def matched(spark, sf):
           CAST(date_diff('day', CAST(min(coalesce(local_time, time)) AS DATE), CAST(max(coalesce(local_time, time)) AS DATE)) AS INTEGER) AS days
         FROM cur_m WHERE account IS NOT NULL GROUP BY account""",
 )
-def reconcile_report(spark, sf):
-    out = rc.report_accounts(matched(spark, sf))
+def reconcile_report(spark, sf, match=None):
+    out = rc.report_accounts(matched(spark, sf) if match is None else match)
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("max_time", "min_time")})
 
 
@@ -179,8 +174,8 @@ def reconcile_report(spark, sf):
         SELECT strftime(time, '%Y年%m月%d日') AS date, count(order_no) AS orders,
           round(CAST(sum(amount) AS DOUBLE) / 100, 2) AS amount FROM cur GROUP BY 1""",
 )
-def reconcile_report_days(spark, sf):
-    return rc.report_days(rc.differences(matched(spark, sf)))
+def reconcile_report_days(spark, sf, match=None):
+    return rc.report_days(rc.differences(matched(spark, sf) if match is None else match))
 
 
 @query(
@@ -189,8 +184,8 @@ def reconcile_report_days(spark, sf):
         SELECT order_no AS order_id, order_no2 || chr(10) AS order_id2, round(CAST(amount AS DOUBLE) / 100, 2) AS delta
         FROM cur ORDER BY order_id DESC, order_id2 DESC LIMIT 100""",
 )
-def reconcile_report_top(spark, sf):
-    return rc.report_top(rc.differences(matched(spark, sf)))
+def reconcile_report_top(spark, sf, match=None):
+    return rc.report_top(rc.differences(matched(spark, sf) if match is None else match))
 
 
 def payment_events(spark, sf):
