@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import (
     bpe,
+    embedding_whitening,
     license_scan,
     quality_cnn,
     quality_rules,
@@ -193,3 +194,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return embedding_whitening.whiten(rows, embedding_whitening.fit(rows))
