@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm import (
     bpe,
+    conversation_trie,
     embedding_whitening,
     license_scan,
     quality_cnn,
@@ -196,6 +197,49 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query(
+    "op11_conversation_trie",
+    """WITH steps AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+                lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, b)) AS step
+        ), turns AS (
+            SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS nth FROM turns
+        ), sizes AS (SELECT c, count(*) AS own FROM turns GROUP BY c),
+        hashed AS (
+            SELECT c, own, c - c % 20 AS b, xor(4294967295, list_reduce(list_transform(range(length(c::VARCHAR)), lambda i: ascii(substr(c::VARCHAR, i + 1, 1))::BIGINT),
+                lambda crc, byte: xor(crc >> 8, step[(xor(crc, byte) & 255) + 1]), 4294967295)) % 4 AS h
+            FROM sizes, steps
+        ), named AS (SELECT h.c, h.b, h.h, least(h.h, coalesce(s.own, 0)) AS taken FROM hashed h LEFT JOIN sizes s ON s.c = h.b),
+        rebuilt AS (
+            SELECT n.c, t.nth AS d, t.role, t.text FROM named n JOIN ranked t ON t.c = n.b AND t.nth <= n.h
+            UNION ALL SELECT n.c, t.nth - n.h + n.taken, t.role, t.text FROM named n JOIN ranked t ON t.c = n.c AND t.nth > n.h
+        ), begun AS (
+            SELECT c, d, text, list({'r': role, 't': text}) OVER (PARTITION BY c ORDER BY d) AS p,
+                d = max(d) OVER (PARTITION BY c) AS ended
+            FROM rebuilt
+        ), nodes AS (
+            SELECT p, d, min(c) AS conv_id, count(*) AS n, any_value(len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> ''))) AS words,
+                string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ended) AS ends
+            FROM begun GROUP BY p, d
+            UNION ALL SELECT [], 0, min(c), count(*), 0, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (c NOT IN (SELECT c FROM rebuilt))
+            FROM named HAVING count(*) > 0
+        ), family AS (
+            SELECT n.p, n.d, u.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes x WHERE x.d = n.d + 1 AND x.p[1:n.d] = n.p) AS n_children
+            FROM nodes n LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+        ), subtree AS (
+            SELECT n.p, n.d, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((x.n - 1) * x.words) AS saved
+            FROM nodes n JOIN nodes x ON x.d >= n.d AND x.p[1:n.d] = n.p JOIN family f ON f.p = x.p AND f.d = x.d GROUP BY n.p, n.d
+        )
+        SELECT n.conv_id, n.d::BIGINT AS depth, f.parent_conv_id, n.n AS n_convs, f.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens,
+            sha256(coalesce(n.ends, '')) AS ends_sha256
+        FROM nodes n JOIN family f ON f.p = n.p AND f.d = n.d JOIN subtree s ON s.p = n.p AND s.d = n.d""",
+)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 @query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
