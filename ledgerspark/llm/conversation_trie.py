@@ -126,7 +126,7 @@ def insert(root: Node, key: bytes, conv: int, last: bool, after: bytes | None =
         node.ends.append(conv)
 
 
-def aligned(root: Node) -> Iterator[tuple[bytes, bytes, bytes, int, bytes, Node, bool]]:
+def aligned(root: Node, size: int = SEGMENT) -> Iterator[tuple[bytes, bytes, bytes, int, bytes, Node, bool]]:
     """Every turn-aligned depth of a tree of keys (id before, turns...): id, parent's id, id before, number and id of its
     last turn, the tree's node, and whether the node's path ends there."""
     todo = [(root, b"", b"", b"")]
@@ -140,7 +140,7 @@ def aligned(root: Node) -> Iterator[tuple[bytes, bytes, bytes, int, bytes, Node,
                 parent = before = full[:end]
                 continue
             ends = end == len(full)
-            if turn == SEGMENT:
+            if turn == size:
                 made = node.after
             else:
                 made = hashlib.blake2b(parent + full[end - WIDTH : end], digest_size=WIDTH).digest()
@@ -204,13 +204,13 @@ def prefix_ids(blocks: DataFrame, size: int = SEGMENT) -> DataFrame:
     )
 
 
-def segments(named: DataFrame, turns: DataFrame) -> DataFrame:
-    """One row per SEGMENT turns: c, i, key (bytes of before and the turns), words of each turn, after, last."""
-    at = F.expr(f"(d - 1) DIV {SEGMENT}").alias("i")
+def segments(named: DataFrame, turns: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """One row per ``size`` turns: c, i, key (bytes of before and the turns), words of each turn, after, last."""
+    at = F.expr(f"(d - 1) DIV {size}").alias("i")
     cut = turns.groupBy("c", at).agg(F.sort_array(F.collect_list(F.struct("d", "id", "words"))).alias("t"))
     cut = stored(cut.select("c", "i", F.array_join("t.id", "").alias("ids"), "t.words"), "segments")
-    known = prefix_ids(cut.select("c", "i", _short(F.col("ids")).alias("id")))
-    last = F.expr(f"(length - 1) DIV {SEGMENT}") == F.col("i")
+    known = prefix_ids(cut.select("c", "i", _short(F.col("ids")).alias("id")), size)
+    last = F.expr(f"(length - 1) DIV {size}") == F.col("i")
     return stored(
         cut.join(known, ["c", "i"]).join(named, "c").select(
             "c", "i", F.unhex(F.concat("before", "ids")).alias("key"), "words", F.unhex("after").alias("after"), last.alias("last")
@@ -219,24 +219,26 @@ def segments(named: DataFrame, turns: DataFrame) -> DataFrame:
     )
 
 
-def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _planted(keys: DataFrame, size: int) -> DataFrame:
     """Partial nodes of the radix tree of each batch, and a row without a parent for each end of a conversation."""
-    for batch in batches:
-        conv, number, key, words, after, last = (c.to_pylist() for c in batch.columns)
-        root, known, first = Node(b""), {}, {}
-        for c, i, k, w, a, z in zip(conv, number, key, words, after, last):
-            insert(root, k, c, z, a)
-            first[k[:WIDTH]] = i * SEGMENT
-            known.update((k[at : at + WIDTH], n) for at, n in zip(range(WIDTH, len(k), WIDTH), w))
-        rows = []
-        for made, parent, before, turn, turn_id, node, ends in aligned(root):
-            rows.append((made, parent, first[before] + turn, known[turn_id], node.least, node.n))
-            if ends:  # a compressed path's keys end with it
-                rows += [(made, None, None, None, c, None) for c in node.ends]
-        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)], ["node", "parent", "depth", "words", "conv", "n"]
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            root, known, first = Node(b""), {}, {}
+            for c, i, k, w, a, z in zip(*(c.to_pylist() for c in batch.columns)):
+                insert(root, k, c, z, a)
+                first[k[:WIDTH]] = i * size
+                known.update((k[at : at + WIDTH], n) for at, n in zip(range(WIDTH, len(k), WIDTH), w))
+            rows = []
+            for made, parent, before, turn, turn_id, node, ends in aligned(root, size):
+                rows.append((made, parent, first[before] + turn, known[turn_id], node.least, node.n))
+                if ends:  # a compressed path's keys end with it
+                    rows += [(made, None, None, None, c, None) for c in node.ends]
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["node", "parent", "depth", "words", "conv", "n"])
+
+    return keys.select("c", "i", "key", "words", "after", "last").mapInArrow(run, ART_SCHEMA)
 
 
 def subtree_sums(nodes: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -292,7 +294,9 @@ def ends_digests(ends: DataFrame) -> DataFrame:
     return written.repartition("node").sortWithinPartitions("node", "first").mapInArrow(digests, "node binary, sha string, n bigint")
 
 
-def trie(convs: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+def trie(
+    convs: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", segment: int = SEGMENT
+) -> DataFrame:
     """One row per distinct sequence of first turns of the rebuilt conversations, all long but the digest: conv_id (smallest member),
     depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 and n_ends.
 
@@ -304,9 +308,9 @@ def trie(convs: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     turns = turn_rows(convs, conv, turn, role, text)
     turns = stored(turns.select("c", "nth", "id", "words"), "turns")
     named, all_turns = rebuilt(turns)
-    keys = segments(named, all_turns)
+    keys = segments(named, all_turns, segment)
     ranged = keys.repartitionByRange("key", "c").sortWithinPartitions("key", "c")
-    planted = stored(ranged.select("c", "i", "key", "words", "after", "last").mapInArrow(_planted, ART_SCHEMA), "planted")
+    planted = stored(_planted(ranged, segment), "planted")
     root = F.unhex(F.lit(ROOT))
     met = planted.filter("parent IS NOT NULL").groupBy("node").agg(
         F.any_value("parent").alias("parent"), F.any_value("depth").alias("depth"), F.any_value("words").alias("words"),

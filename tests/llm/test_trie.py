@@ -93,10 +93,8 @@ def test_hostile_rows(spark):
     assert ct.trie(df.limit(0)).count() == 0
 
 
-def test_long_and_shared_conversations(spark, monkeypatch):
+def test_long_and_shared_conversations(spark):
     """Segments of 3 turns: conversations of many segments and blocks, long shared beginnings, copies, a hot first turn."""
-    monkeypatch.setattr(ct, "SEGMENT", 3)
-    monkeypatch.setattr(ct.prefix_ids, "__defaults__", (3,))
     rng = random.Random(2)
     long = [f"turn {rng.randrange(5)}" for _ in range(120)]
     rows = []
@@ -105,7 +103,7 @@ def test_long_and_shared_conversations(spark, monkeypatch):
         texts = long[:start] + [f"word {rng.randrange(3)}" for _ in range(rng.randrange(5))]
         rows += [(c, t, "user", x) for t, x in enumerate(texts)]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(4)
-    assert found(ct.trie(df)) == slow_trie(rows)
+    assert found(ct.trie(df, segment=3)) == slow_trie(rows)
 
 
 def test_radix_tree_layouts():
