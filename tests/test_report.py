@@ -1,5 +1,6 @@
 """Report queries read the tables as they are, also when those change within a session."""
 
+import os
 import shutil
 
 import duckdb
@@ -10,7 +11,9 @@ from tests.oracle import compare, connect
 
 def test_report_follows_rewritten_tables(spark, tmp_path):
     path = tmp_path / "sf"
-    shutil.copytree("/root/testdata/sf0.001", path)
+    path.mkdir()
+    for name in os.listdir("/root/testdata/sf0.001"):  # contents only: the data may be read-only for this user
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}", path / name)
     name = "reconcile_report_days"
     entry.QUERIES[name](spark, str(path)).collect()
     duckdb.sql(f"COPY (SELECT * FROM '/root/testdata/sf0.001/lineitem.parquet' WHERE l_orderkey % 2 = 0) TO '{path}/lineitem.parquet' (FORMAT parquet)")
