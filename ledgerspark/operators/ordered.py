@@ -1,14 +1,16 @@
 """Running values over ordered groups, for groups of any size.
 
-A window over ``partitionBy(keys).orderBy(order)`` puts a whole group into one task. Here the
-rows are always range-partitioned by (keys, order), which splits a large group over many tasks:
-each range ("chunk") computes its own running values, one summary row per (keys, chunk) is
-combined across chunks, and what earlier chunks carry into a chunk is joined back. A chunk
-continues at most the one group that its predecessor ended with, so the carry table has fewer
-rows than there are chunks; whether it is broadcast is left to its measured size.
-
-The ranged rows are written once, as the bounds of ranges are sampled and both readers must see
-the same ones. ``order`` names ascending columns that are unique within a group.
+A window over ``partitionBy(keys).orderBy(order)`` puts a whole group into one task. Here the range of
+(keys, order) is cut into as many chunks as the rows need, CHUNK_ROWS to a chunk, at quantiles of a small
+sample. The bounds are literals, and a row finds its chunk by binary search among them, so every reader sees
+the same chunks and nothing is written. Each chunk computes its own running values; one summary row
+per (keys, chunk) is combined across chunks, and what earlier chunks carry into a chunk is joined
+back. A chunk continues at most the one group that its predecessor ended with, so the carry table has
+fewer rows than there are chunks. Rows that fit one chunk need neither summary nor join.
+
+``order`` names ascending columns that are unique within a group. ``df`` must give the same rows each time it is
+read, as it is read for its count, the sample, the summary and the result; what is costly to make should
+be written first.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerspark.session import stored
+#: Rows of a chunk, and sampled positions for each chunk.
+CHUNK_ROWS, SAMPLES = 1 << 16, 32
 
 
 @dataclass(frozen=True)
@@ -124,17 +127,52 @@ class Previous:
         return merged["v"]
 
 
-def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None, **ops) -> DataFrame:
-    """``df`` plus one column per running value in ``ops``.
+def chunk_bounds(df: DataFrame, columns: Sequence[str], chunks: int | None = None) -> list[tuple]:
+    """Upper bounds of all chunks but the last, ascending: SAMPLES positions a chunk are sampled and sorted.
 
-    ``chunks`` is the number of ranges, by default the session's ``spark.sql.shuffle.partitions``.
+    By default CHUNK_ROWS rows make a chunk, and there are no more chunks than shuffle partitions.
     """
-    spark = df.sparkSession
-    chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "ordered")
+    if chunks == 1:
+        return []
+    n = df.count()
+    if chunks is None:
+        chunks = min(-(-n // CHUNK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if chunks < 2 or not n:
+        return []
+    share = min(1.0, SAMPLES * chunks / n)
+    sampled = [tuple(r) for r in df.select(*columns).sample(share, seed=5).orderBy(*columns).collect()]
+    cuts = [sampled[len(sampled) * i // chunks] for i in range(1, chunks)] if sampled else []
+    return list(dict.fromkeys(cuts))
+
+
+def chunk_number(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple]) -> Column:
+    """How many of the bounds lie before a row's position: a binary search as an expression."""
+    kinds = [df.schema[c].dataType for c in columns]
+    position = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def literal(bound: tuple) -> Column:
+        return F.struct(*[F.lit(v).cast(k).alias(f"c{i}") for i, (v, k) in enumerate(zip(bound, kinds))])
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(position <= literal(bounds[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(bounds))
+
+
+def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None, **ops) -> DataFrame:
+    """``df`` plus one column per running value in ``ops``, all in one pass; ``chunks`` as in ``chunk_bounds``."""
+    bounds = chunk_bounds(df, [*keys, *order], chunks)
+    if not bounds:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        local = df.withColumns({f"_local_{n}": op.local(w) for n, op in ops.items()})
+        return local.select(*df.columns, *[op.result(F.col(f"_local_{n}")).alias(n) for n, op in ops.items()])
+    ranged = df.withColumn("_chunk", chunk_number(df, [*keys, *order], bounds))
     position = F.struct(*[F.col(c) for c in order])
     summary = ranged.groupBy(*keys, "_chunk").agg(*[op.summary(position).alias(n) for n, op in ops.items()])
-    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")  # a row per chunk
     earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         summary.select(
