@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import (
     bpe,
     conversation_trie,
     embedding_whitening,
     license_scan,
+    minhash_dedup,
     quality_cnn,
     quality_rules,
     scaled_sketch,
@@ -244,3 +246,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return embedding_whitening.whiten(rows, embedding_whitening.fit(rows))
+
+
+@query("op13_minhash_dedup")
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return near.select("doc_id", "n_shingles", "component_id", kept)
