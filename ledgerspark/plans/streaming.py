@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.plans.registry import query
 from ledgerspark.session import cents, new_path, table
+from ledgerspark.sources.latest import LatestTable
 from ledgerspark.streaming import jobs
 
 
@@ -52,5 +53,18 @@ def stream_audit_on_insert(spark, sf):
 )
 def stream_changelog_latest(spark, sf):
     path, keys = new_path(spark, "changes"), ["user_id", "event_type"]
-    in_batches(spark, sf, lambda stream, at: jobs.changelog_latest(stream, keys, "event_id", path, at, buckets=8))
-    return spark.read.parquet(path).select(*keys, "event_id", cents(F.col("value")).alias("amount"))
+    in_batches(spark, sf, lambda stream, at: jobs.changelog_latest(stream, keys, "event_id", path, at, buckets=8, fold_after=3))
+    return LatestTable(spark, path, keys, "event_id").read().select(*keys, "event_id", cents(F.col("value")).alias("amount"))
+
+
+@query(
+    "stream_changelog_tombstones",
+    """SELECT user_id, event_id, event_type FROM (SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type
+         FROM events GROUP BY 1) WHERE event_type <> 'error'""",
+)
+def stream_changelog_tombstones(spark, sf):
+    """Users by their last event; an error removes the user until the next one."""
+    path, keys = new_path(spark, "changes"), ["user_id"]
+    gone = F.col("event_type") == "error"
+    in_batches(spark, sf, lambda stream, at: jobs.changelog_latest(stream, keys, "event_id", path, at, buckets=8, gone=gone, fold_after=2))
+    return LatestTable(spark, path, keys, "event_id").read().select("user_id", "event_id", "event_type")

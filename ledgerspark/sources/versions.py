@@ -89,6 +89,10 @@ class VersionedTable:
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.commits}/{VERSION}={version}")
         return version
 
+    def replace_partitions(self, df: DataFrame, values: Sequence) -> int:
+        """``df`` in place of the partitions with the given values, whether it has rows for them or not."""
+        return self._commit(df, values)
+
     def _directory_name(self, value) -> str:
         names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
         return names.getPartitionPathString(self.part, None if value is None else str(value))

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerspark.session import stored
 from ledgerspark.sources.files import audit_rows
-from ledgerspark.sources.partitions import replace_by_key, table_exists
+from ledgerspark.sources.latest import GONE, LatestTable
+from ledgerspark.sources.partitions import replace_by_key
+
+#: State that need not fit in memory and of which a batch saves only its changes.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -68,31 +73,38 @@ def daily_rollup(stream: DataFrame, ts: str, keys: Sequence[str], amount: Column
     _run(windowed, checkpoint, lambda df, n: replace_by_key(df, path, list(keys), "date"), mode="update")
 
 
-def changelog_latest(stream: DataFrame, keys: Sequence[str], log_id: str, path: str, checkpoint: str, buckets: int) -> None:
-    """Latest entry of each key, by ``log_id``, as a table with one row per key in ``buckets`` directories.
+def changelog_latest(
+    stream: DataFrame, keys: Sequence[str], log_id: str, path: str, checkpoint: str, buckets: int,
+    gone: Column | None = None, fold_after: int = 16,
+) -> None:
+    """Latest entry of each key, by ``log_id``, as a ``LatestTable``; entries that meet ``gone`` remove their key.
 
-    A batch is reduced to the last entry per key, a partial aggregation that a hot key does not slow
-    down, and meets what the table has of those keys; only their buckets are written again. An
-    entry that arrives after a later one, or a batch that is repeated, changes nothing.
+    The state store holds the newest entry of each key, and a batch brings its keys' up to date, with partial
+    aggregation for hot keys. So a batch costs what its keys cost: it reads no table and writes their
+    entries only. After every ``fold_after`` batches these are folded into the table's base, in the
+    buckets they touch. An entry that is not newer is late and changes nothing, also where its key was
+    removed: only a newer entry brings a key back. Entries without a number, and repeated batches, change nothing.
     """
-
-    def last(rows: DataFrame) -> DataFrame:
-        rest = [c for c in rows.columns if c not in keys]
-        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), log_id).alias("l")).select(*keys, "l.*")
-
-    def each(df: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
-        found = stored(last(df).select("*", bucket), "latest")
-        if table_exists(df.sparkSession, path):
-            touched = [r.bucket for r in found.select("bucket").distinct().collect()]  # at most ``buckets``
-            names = found.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
-            kept = df.sparkSession.read.schema(found.schema).parquet(path).filter(F.col("bucket").isin(touched))
-            known = kept.join(names, same, "left_semi")
-            found = last(found.unionByName(known))
-        replace_by_key(found, path, list(keys), "bucket")
-
-    _run(stream, checkpoint, each)
+    spark = stream.sparkSession
+    table = LatestTable(spark, path, keys, log_id, buckets)
+    removes = F.lit(False) if gone is None else F.coalesce(gone, F.lit(False))
+    rest = [c for c in stream.columns if c not in keys]
+    entry = F.struct(*rest, removes.alias(GONE))
+    newest = stream.groupBy(*keys).agg(F.max_by(entry, log_id).alias("l")).filter("l IS NOT NULL").select(*keys, "l.*")
+
+    def each(df: DataFrame, batch: int) -> None:
+        table.add(df, batch)
+        if (batch + 1) % fold_after == 0:
+            table.fold()
+
+    before = {c: spark.conf.get(c, None) for c in STATE}
+    for c, v in STATE.items():
+        spark.conf.set(c, v)
+    try:
+        _run(newest, checkpoint, each, mode="update")
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
 
 
 def batches(spark: SparkSession, checkpoint: str) -> int:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerspark.sources.latest import LatestTable
 from ledgerspark.streaming import jobs
 
 SCHEMA = "ts timestamp, kind string, id long, v long"
@@ -60,18 +61,59 @@ def test_rollup_over_batches_with_late_rows(spark, tmp_path, landing):
     ]
 
 
+def latest(spark, path, keys=("kind",), columns=("kind", "id", "v")):
+    return sorted(tuple(map(str, r)) for r in LatestTable(spark, path, keys, "id").read().select(*columns).collect())
+
+
 def test_latest_entry_by_key(spark, tmp_path, landing):
     land, stream = landing
     path, at = str(tmp_path / "latest"), str(tmp_path / "checkpoint")
 
     def run():
-        jobs.changelog_latest(stream(), ["kind"], "id", path, at, buckets=3)
+        jobs.changelog_latest(stream(), ["kind"], "id", path, at, buckets=3, fold_after=2)
 
     land(("01 10:00:00", "a", 1, 5), ("01 10:00:00", "a", 3, 6), ("01 10:00:00", "b", 2, 7))
     land(("02 10:00:00", "c", 4, 8), ("02 10:00:00", None, 5, 9))
     run()
-    # an older entry of a, a newer one of b, and a null key again
-    land(("03 10:00:00", "a", 2, 0), ("03 10:00:00", "b", 9, 1), ("03 10:00:00", None, 6, 2))
+    # an older entry of a, a newer one of b, a null key again, an entry without a number, and a repeated one
+    land(("03 10:00:00", "a", 2, 0), ("03 10:00:00", "b", 9, 1), ("03 10:00:00", None, 6, 2), ("03 10:00:00", "d", None, 2), ("03 10:00:00", "c", 4, 8))
     run()
     assert jobs.batches(spark, at) == 3
-    assert rows_of(spark, path, "kind", "id", "v") == [("None", "6", "2"), ("a", "3", "6"), ("b", "9", "1"), ("c", "4", "8")]
+    assert latest(spark, path) == [("None", "6", "2"), ("a", "3", "6"), ("b", "9", "1"), ("c", "4", "8")]
+    changed = spark.read.parquet(f"{path}/changes").filter("batch = 2")
+    assert sorted((str(r.kind), r.id) for r in changed.collect()) == [("None", 6), ("a", 3), ("b", 9), ("c", 4)]
+
+
+def test_removed_keys_and_late_entries(spark, tmp_path, landing):
+    land, stream = landing
+    path, at = str(tmp_path / "latest"), str(tmp_path / "checkpoint")
+
+    def run(*rows):
+        land(*[("01 10:00:00", *r) for r in rows])
+        jobs.changelog_latest(stream(), ["kind"], "id", path, at, buckets=3, gone=F.col("v") < 0, fold_after=2)
+        return latest(spark, path)
+
+    assert run(("a", 1, 5), ("b", 2, 5)) == [("a", "1", "5"), ("b", "2", "5")]
+    assert run(("a", 4, -1)) == [("b", "2", "5")]
+    assert run(("a", 3, 7)) == [("b", "2", "5")]  # older than the removal
+    assert run(("c", 6, -1), ("b", 5, 1)) == [("b", "5", "1")]
+    assert run(("a", 7, 9), ("c", 8, -1)) == [("a", "7", "9"), ("b", "5", "1")]
+
+
+def test_a_changed_key_rewrites_no_other_bucket(spark, tmp_path):
+    """One of 100,000 keys changes: the batch writes one row, the fold one of 64 buckets."""
+    landing, path, at = (str(tmp_path / n) for n in ("landing", "latest", "checkpoint"))
+    schema = spark.createDataFrame([], "id long, kind long, v long").schema
+
+    def run(rows):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+        jobs.changelog_latest(jobs.file_stream(spark, landing, schema, 1), ["kind"], "id", path, at, buckets=64, fold_after=1)
+        base = LatestTable(spark, path, ["kind"], "id").base
+        return {r.directory.split("/")[1]: r.directory for r in base._manifest(base.versions()[-1])}
+
+    first = run(spark.range(100000).selectExpr("id", "id AS kind", "1L AS v"))
+    then = run(spark.createDataFrame([(10**9, 777, 2)], schema))
+    assert len(first) == 64 and sum(first[b] != then[b] for b in first) == 1
+    assert spark.read.parquet(f"{path}/changes").filter("batch = 1").count() == 1
+    table = LatestTable(spark, path, ["kind"], "id").read()
+    assert table.count() == 100000 and [r.kind for r in table.filter("v = 2").collect()] == [777]
