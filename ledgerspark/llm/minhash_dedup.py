@@ -8,14 +8,15 @@ collisions counted over all coordinates, a few at a time, and is passed over onc
 MATCHES. What reaches MATCHES is confirmed on the whole sets of shingles.
 
 In each list the point that meets most others is compared with all of them first, so a large group of near
-copies costs about a comparison a copy. What this leaves in different components of a list is compared in
-blocks: by collisions first, which makes clusters, and within each cluster by the sets, which go to a
-block once and not with every pair. Blocks give back links that span what they found, never all pairs.
+copies costs about a comparison a copy. What this leaves in different components of a list is compared pair
+by pair where the list has FEW points, and in blocks where it has more: by collisions first, which makes
+clusters, and within each cluster by the sets, which go to a block once and not with every pair. Blocks
+give back links that span what they found, never all pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,13 +25,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.simhash_dedup import components, first_of_groups, folded_words
+from ledgerspark.llm.simhash_dedup import components, first_of_groups, folded_words, simhash
 from ledgerspark.session import stored
 
 #: Words per shingle, and the least similarity of linked texts in hundredths.
 SHINGLE, PERCENT = 4, 80
 #: MinHash coordinates, and the collisions that a candidate has: at a similarity of exactly 0.8 fewer come with probability 1 in a million.
 COORDINATES, MATCHES = 64, 35
+#: Points of a list whose pairs are rows.
+FEW = 16
 #: Shingles hashed at a time, which bounds the memory of a long text; points on each side of a block; coordinates counted before
 #: pairs are passed over; shingles of a block counted at a time.
 PART, BLOCK, STRIDE, STRIP = 1 << 13, 512, 16, 1 << 12
@@ -59,24 +62,25 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def described(docs: DataFrame, key: str, text: str, words: int = SHINGLE) -> DataFrame:
+def described(docs: DataFrame, key: str, text: str, words: int = SHINGLE, with_sim: bool = False) -> DataFrame:
     """key, digest (64-bit hash of the text), row (of key and text), fp (128-bit hash of the set of shingles, null for an
-    empty one), n (its size) and sig (MinHash values)."""
+    empty one), n (its size), sig (MinHash values) and, if asked for, sim (SimHash fingerprint, moved into the range of a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, n, sig = [], [], []
+            fp, n, sig, sim = [], [], [], []
             for t in batch.column(3):
                 hashes = shingle_hashes(t.as_py(), words)
+                sim.append(simhash(t.as_py(), words) - (1 << 63) if with_sim else None)
                 n.append(len(hashes))
                 fp.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
                 sig.append(signature(hashes) if len(hashes) else None)
-            made = [pa.array(fp, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], [key, "digest", "row", "fp", "n", "sig"])
+            made = [pa.array(fp, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.list_(pa.int32())), pa.array(sim, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], [key, "digest", "row", "fp", "n", "sig", "sim"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(key, F.xxhash64(text).alias("digest"), _row(key, text), F.col(text).alias("_text"))
-    return rows.mapInArrow(run, f"`{key}` {kind}, digest bigint, row bigint, fp binary, n bigint, sig array<int>")
+    return rows.mapInArrow(run, f"`{key}` {kind}, digest bigint, row bigint, fp binary, n bigint, sig array<int>, sim bigint")
 
 
 def _row(key: str, text: str) -> Column:
@@ -233,18 +237,30 @@ def _spanning(blocks: DataFrame, group: str, exact: bool) -> DataFrame:
     return blocks.groupBy(group, "kind", "i", "j").applyInPandas(run, "hi binary, lo binary").distinct()
 
 
-def links(points: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """``points`` (fp, row, n, sig) -> stars (hi, lo) of the components of alike sets."""
+def links(
+    points: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE,
+    proposed: DataFrame | None = None, block: int = BLOCK,
+) -> DataFrame:
+    """``points`` (fp, row, n, sig) -> stars (hi, lo) of the components of alike sets. Pairs ``proposed`` (a, b) by
+    other means are confirmed like the lists' own."""
     lists = stored(posting_lists(points), "lists")
-    members = stored(lists.select("fp").distinct().join(points, "fp"), "members")
+    wanted = lists.select("fp")
+    if proposed is not None:
+        wanted = wanted.unionAll(proposed.select("a")).unionAll(proposed.select("b"))
+    members = stored(wanted.distinct().join(points.select("fp", "row", "n", "sig"), "fp"), "members")
     sets = stored(_sets(docs, members.select("fp", "row"), key, text, words), "sets")
     fame = lists.groupBy("fp").agg(F.sum("met").alias("fame"))
     hubs = lists.join(fame, "fp").groupBy("token").agg(F.max(F.struct("fame", "fp")).alias("hub"))
-    first = lists.join(hubs, "token").filter("hub.fp <> fp").select(F.col("hub.fp").alias("a"), F.col("fp").alias("b")).distinct()
+    first = lists.join(hubs, "token").filter("hub.fp <> fp").select(F.col("hub.fp").alias("a"), F.col("fp").alias("b"))
+    first = (first if proposed is None else first.unionByName(proposed)).distinct()
     stars = components(_confirmed(stored(_agreeing(first, members), "pairs"), sets).distinct())
     root = stars.select(F.col("hi").alias("fp"), F.col("lo").alias("root"))
     rooted = stored(members.join(root, "fp", "left").select("fp", "n", "sig", F.coalesce("root", "fp").alias("root")), "rooted")
-    apart = stored(_blocks(lists.select("token", "fp").join(rooted.select("fp", "root"), "fp"), "token", block), "blocks")
+    rows = stored(lists.select("token", "met", "fp").join(rooted.select("fp", "root"), "fp"), "rows")
+    other = rows.select("token", F.col("fp").alias("b"), F.col("root").alias("_r"))
+    pairs = rows.filter(F.col("met") <= FEW).withColumnRenamed("fp", "a").join(other, "token").filter(F.col("root") < F.col("_r"))
+    stars = components(stars.unionByName(_confirmed(stored(_agreeing(pairs.select("a", "b").distinct(), members), "pairs"), sets)).distinct())
+    apart = stored(_blocks(rows.filter(F.col("met") > FEW).drop("met"), "token", block), "blocks")
     clusters = components(_spanning(apart.join(rooted, ["fp", "root"]), "token", False))
     head = clusters.select(F.col("hi").alias("fp"), F.col("lo").alias("head"))
     head = head.unionByName(head.select(F.col("head").alias("fp"), "head").distinct())
@@ -252,20 +268,24 @@ def links(points: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "
     return components(stars.unionByName(found).distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, propose: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """One row per row of ``docs``: key, digest (64-bit hash of the text), n_shingles, group (null for an empty set) and
     component_id, the smallest key among the documents reachable over links of a Jaccard similarity of 0.8 or more.
 
     The whole text counts. A text with fewer words than a shingle is one shingle. One without words, empty or
     null, is linked with nothing and is its own component. Null keys have a component but name none: one
     without any key has a null id. Repeated keys and rows stay; an empty table gives no rows. Only
-    ``key`` and ``text`` are read, so other columns may have any name.
+    ``key`` and ``text`` are read, so other columns may have any name. ``propose`` may name further pairs (a, b) of
+    points (fp, sim) to be confirmed.
     """
-    each = stored(described(docs, key, text, words), "shingles")
-    same = [F.any_value(c).alias(c) for c in ("n", "sig")]
+    each = stored(described(docs, key, text, words, propose is not None), "shingles")
+    same = [F.any_value(c).alias(c) for c in ("n", "sig", "sim")]
     points = each.filter("fp IS NOT NULL").groupBy("fp").agg(F.min(key).alias("_least"), F.min("row").alias("row"), *same)
     points = stored(points, "points")
-    stars = stored(links(points.drop("_least"), docs, key, text, words), "stars")
+    proposed = stored(propose(points.select("fp", "sim")), "proposed") if propose else None
+    stars = stored(links(points, docs, key, text, words, proposed), "stars")
     rooted = points.select("fp", "_least").join(stars, points["fp"] == stars["hi"], "left").select("fp", "_least", F.coalesce("lo", "fp").alias("group"))
     least = rooted.groupBy("group").agg(F.min("_least").alias("component_id"))
     named = rooted.join(least, "group").select(F.col("fp").alias("_fp"), "group", "component_id")
@@ -274,7 +294,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return met.select(key, "digest", F.col("n").alias("n_shingles"), "group", component)
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE, propose: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """``docs``, all columns, with one row of each group: the smallest key's, null keys last. Texts without words are one group."""
-    near = near_duplicates(docs, key, text, words)
+    near = near_duplicates(docs, key, text, words, propose)
     return first_of_groups(docs, near.withColumn("group", F.coalesce("group", F.lit(b""))), key, text)

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.sampling import least_hashed
@@ -28,7 +28,7 @@ SHINGLE, SEED, NEAR = 4, 42, 4
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Points aimed at per shard, most shards one tree makes, and points sampled for each of its leaves.
 SHARD, MOST_SHARDS, SAMPLE = 32768, 4096, 24
-#: A shard of more home points than this is compared in blocks of as many.
+#: A shard of more points than this is compared in blocks of as many home points and as many guests.
 SPLIT = 4 * SHARD
 #: Home points of a leaf within a shard's own tree; vantage points tried for a node, and points they
 #: are judged on; pairs compared at a time.
@@ -214,30 +214,47 @@ def _visits(points: DataFrame, nodes: list[tuple]) -> DataFrame:
     return points.select("fp").mapInArrow(run, "fp bigint, shard int, guest boolean")
 
 
-def links(points: DataFrame, shard_points: int = SHARD, split: int = SPLIT) -> DataFrame:
+def links(points: DataFrame, shard_points: int = SHARD, split: int = SPLIT, most_shards: int = MOST_SHARDS) -> DataFrame:
     """``points`` (fp, distinct) -> hi, lo: links that join all points within NEAR of each other, one for
-    each point and shard at most."""
+    each point and block at most.
+
+    The tree that goes to the tasks, and its sample, are bounded by ``most_shards``; with more points than
+    that many shards hold, shards grow and are compared in more blocks.
+    """
     n = points.count()
-    shards = max(1, min(MOST_SHARDS, -(-n // shard_points)))
-    # bounded by SAMPLE * MOST_SHARDS numbers, which make the tree on the driver
+    shards = max(1, min(most_shards, -(-n // shard_points)))
+    # bounded by SAMPLE * most_shards numbers, which make the tree on the driver
     hashed = points.select("fp", F.xxhash64("fp").alias("_order"))
     sampled = least_hashed(hashed, "_order", n, SAMPLE * shards, "fp").collect()
     nodes = plant(np.array([r.fp for r in sampled], np.int64).view(np.uint64), shards)
     visits = _visits(points, nodes)
-    large = visits.filter("NOT guest").groupBy("shard").count().filter(F.col("count") > split).collect()
-    salts = F.create_map(*[F.lit(x) for r in large for x in (r.shard, -(-r["count"] // split))]) if large else None
-    s = F.coalesce(F.try_element_at(salts, F.col("shard")), F.lit(1)) if large else F.lit(1)
-    own = F.pmod(F.xxhash64("fp"), F.col("_s")).cast("int")
-    each = visits.withColumn("_s", s).withColumn("_own", F.when(~F.col("guest"), own))
-    each = each.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
-    # block (i, j) of a split shard compares its parts i and j; guests visit the blocks (i, i)
-    blocks = each.select(
-        "fp",
-        "shard",
-        F.least("_own", "_t").alias("i"),
-        F.greatest("_own", "_t").alias("j"),
-        (F.col("guest") | (F.coalesce("_own", "_t") > F.col("_t"))).alias("guest"),
+    found = visits.groupBy("shard").agg(F.count_if(~F.col("guest")).alias("home"), F.count_if("guest").alias("visiting"))
+    large = found.filter(F.col("home") + F.col("visiting") > split).collect()  # one row per shard at most
+
+    def parts(column: str) -> Column:
+        if not large:
+            return F.lit(0)
+        sizes = F.create_map(*[F.lit(x) for r in large for x in (r.shard, -(-r[column] // split))])
+        return F.coalesce(F.try_element_at(sizes, F.col("shard")), F.lit(0))
+
+    # in a large shard, block (0, i, j) compares home parts i and j, and block (1, i, j) home part i with guest part j;
+    # another shard is one block
+    own = F.pmod(F.xxhash64("fp"), F.greatest(F.when(F.col("guest"), F.col("_g")).otherwise(F.col("_h")), F.lit(1))).cast("int")
+    each = visits.withColumns({"_h": parts("home"), "_g": parts("visiting")}).withColumn("_own", own)
+    upto = lambda column: F.when(F.col(column) > 0, F.sequence(F.lit(0), F.col(column) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def block(kind: int, i: Column, j: Column, guest: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"), guest.alias("guest"))
+
+    me = F.col("_own")
+    at_home = F.concat(
+        F.transform(upto("_h"), lambda t: block(0, F.least(me, t), F.greatest(me, t), me > t)),
+        F.transform(upto("_g"), lambda t: block(1, me, t, F.lit(False))),
     )
+    as_guest = F.transform(upto("_h"), lambda t: block(1, t, me, F.lit(True)))
+    whole = F.array(block(0, F.lit(0), F.lit(0), F.col("guest")))
+    places = F.when(F.col("_h") + F.col("_g") == 0, whole).when(F.col("guest"), as_guest).otherwise(at_home)
+    blocks = each.select("fp", "shard", F.explode(places).alias("_b")).select("fp", "shard", "_b.*")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         fps = rows["fp"].to_numpy()
@@ -246,7 +263,7 @@ def links(points: DataFrame, shard_points: int = SHARD, split: int = SPLIT) -> D
         moved = fps != least
         return pd.DataFrame({"hi": fps[moved], "lo": least[moved]})
 
-    return blocks.groupBy("shard", "i", "j").applyInPandas(run, "hi bigint, lo bigint").distinct()
+    return blocks.groupBy("shard", "kind", "i", "j").applyInPandas(run, "hi bigint, lo bigint").distinct()
 
 
 def components(edges: DataFrame, label: str = "links") -> DataFrame:
@@ -296,9 +313,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return each.join(named, F.col("fp") == F.col("_fp")).select(key, "digest", "fp", shown, "group", "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, with one row of each component: the smallest key's, null keys last."""
-    return first_of_groups(docs, near_duplicates(docs, key, text), key, text)
+def proposed_pairs(points: DataFrame) -> DataFrame:
+    """``points`` (fp, of any type; sim, a fingerprint) -> a, b: in each component of fingerprints the least point with
+    each of the others. For a rule that is stricter than NEAR bits these are pairs to be confirmed."""
+    stars = components(links(points.select(F.col("sim").alias("fp")).distinct()))
+    root = stars.select(F.col("hi").alias("sim"), F.col("lo").alias("root"))
+    grouped = points.join(root, "sim", "left").select("fp", F.coalesce("root", "sim").alias("root"))
+    hubs = grouped.groupBy("root").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return grouped.join(hubs, "root").filter("a <> fp").select("a", F.col("fp").alias("b"))
 
 
 def first_of_groups(docs: DataFrame, near: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -89,9 +89,9 @@ def planted(seed, chains):
     return sorted(points)
 
 
-@pytest.mark.parametrize("split", [10**6, 40])
-def test_links_over_shards_and_blocks(spark, monkeypatch, split):
-    """Many shards, guests, split shards and small leaves find the components of brute force."""
+@pytest.mark.parametrize("split", [10**6, 40, 9])
+def test_links_over_shards_and_blocks(spark, split):
+    """Many shards, guests, split shards, split guests and small leaves find the components of brute force."""
     fps = planted(4, 300)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
     points = spark.createDataFrame([(x,) for x in signed], "fp long")

@@ -4,19 +4,42 @@ from collections import Counter, defaultdict
 
 import duckdb
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerspark.llm import quality_cnn, simhash_dedup, source_mix
+from ledgerspark.llm import quality_cnn, source_mix
 from ledgerspark.session import table
-from tests.llm.test_groups import slow_components, slow_simhash, slow_targets
+from tests.llm.test_groups import slow_targets
+from tests.llm.test_minhash import slow_rows
 from tests.llm.test_rows import WORD, expected_tokens
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def slow_kept(rows):
+    """Keys of one row of each group of five-word shingles; texts without words are one group. Keys may repeat over groups."""
+    groups = {}
+    for (key, text), (_, n, _), g in zip(rows, slow_rows(rows, 5), slow_groups(rows)):
+        groups.setdefault(g if n else None, []).append((key is None, key, text or ""))
+    return [min(m, key=lambda x: (x[0], x[1] or 0))[1] for m in groups.values()]
+
+
+def slow_groups(rows):
+    """Number of the first row reachable: the smallest when the keys are the rows' numbers."""
+    return [c for *_, c in slow_rows([(i, t) for i, (_, t) in enumerate(rows)], 5)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_near_duplicates_equal_brute_force(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{path}/documents.parquet'").fetchall()
+    got = corpus_pipeline.near_duplicates(spark, table(spark, path, "documents"), path)
+    assert got.columns == COLUMNS and sorted(r.doc_id for r in got.collect()) == sorted(slow_kept(rows))
+
+
 def test_stages_one_by_one(spark):
     reference = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     docs = table(spark, SF, "documents")
@@ -34,8 +57,7 @@ def test_stages_one_by_one(spark):
     clean = [i for i, q in labels.items() if q == 1]
     assert len({r.doc_id for r in rows[1]} & set(clean)) > 0.97 * len(clean)
 
-    fps = [(r.doc_id, slow_simhash(r.text)) for r in rows[1]]
-    assert sorted(r.doc_id for r in rows[2]) == sorted(set(slow_components(fps)))
+    assert sorted(r.doc_id for r in rows[2]) == sorted(slow_kept([(r.doc_id, r.text) for r in rows[1]]))
 
     before = {r.doc_id: r for r in rows[2]}
     assert {r.doc_id for r in rows[3]} == set(before)
@@ -72,12 +94,8 @@ def test_stages_hostile(spark, hostile, nothing):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == none.columns == hostile.columns
         assert out.count() > 0 and none.count() == 0
-    kept = simhash_dedup.one_of_each(hostile).collect()
-    rows = hostile.collect()
-    fps = [simhash_dedup.simhash(r.text) for r in rows]
-    groups = set(slow_components(list(enumerate(fps))))
     # key 4 names two texts, each the representative of its own group
-    assert len(kept) == len(groups)
-    assert {r.doc_id for r in kept} == set(slow_components([(r.doc_id, fp) for r, fp in zip(rows, fps)]))
+    kept = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, hostile, SF).collect()]
+    assert Counter(kept) == Counter(slow_kept([(r.doc_id, r.text) for r in hostile.collect()]))
     mixed = source_mix.mixed_rows(hostile)
     assert mixed.columns == hostile.columns and mixed.filter("text IS NULL OR trim(text) = ''").count() == 0
