@@ -8,8 +8,9 @@ from ledgerspark.functions.scalars import lookup
 from ledgerspark.operators import changelog as cl
 from ledgerspark.operators.ordered import Previous, with_running
 from ledgerspark.plans.registry import query
+from ledgerspark.operators.replay import CheckedLog, ReplayedState
 from ledgerspark.plans.snapshots import NEW, OLD
-from ledgerspark.session import cents, table
+from ledgerspark.session import cents, new_path, stored, table
 
 
 def account_cells(spark, sf, start, end):
@@ -75,16 +76,31 @@ EVENT_LOG = """log AS (SELECT user_id, event_type AS field, event_id AS log_id,
     CASE WHEN value < 2 THEN 'remove' WHEN event_type = 'click' THEN 'add' ELSE 'replace' END AS op FROM events)"""
 
 
-@query(
-    "changelog_rebuild_state",
-    f"""WITH {EVENT_LOG}, r AS (SELECT *, min(CASE WHEN op <> 'add' THEN log_id END) OVER (PARTITION BY user_id, field ORDER BY log_id
-            ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS valid_to FROM log)
-        SELECT user_id, field, log_id AS valid_from, valid_to, 0 AS nth, v AS value FROM r WHERE op <> 'remove'""",
-)
+REBUILT = f"""WITH {EVENT_LOG}, r AS (SELECT *, min(CASE WHEN op <> 'add' THEN log_id END) OVER (PARTITION BY user_id, field ORDER BY log_id
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS valid_to FROM log)
+    SELECT user_id, field, log_id AS valid_from, valid_to, 0 AS nth, v AS value FROM r WHERE op <> 'remove'"""
+
+
+@query("changelog_rebuild_state", REBUILT)
 def changelog_rebuild_state(spark, sf):
     return cl.changelog_rebuild_state(event_log(spark, sf), ["user_id", "field"])
 
 
+def replayed_events(spark, sf):
+    """The event log, read up to the snapshot and then to its end: version 0 of the state, and version 1."""
+    log = ReplayedState(spark, new_path(spark, "replayed"), ["user_id", "field"], buckets=16)
+    seen = table(spark, sf, "events").filter(F.col("ts") < F.lit(SNAPSHOT_AT)).agg(F.max("event_id")).first()[0]
+    log.read(event_log(spark, sf).filter(F.col("log_id") <= seen))
+    log.read(event_log(spark, sf))
+    return log
+
+
+@query("changelog_rebuild_from_mark", REBUILT)
+def changelog_rebuild_from_mark(spark, sf):
+    """The same from a kept state: the second run reads the entries after the first one's last only."""
+    return replayed_events(spark, sf).rebuilt()
+
+
 def priority_log(spark, sf):
     """Orders as entries of a log per customer. Entries are numbered by order key while ``before``
     was recorded by order date, so many do not fit the entry before them."""
@@ -95,16 +111,29 @@ def priority_log(spark, sf):
     return recorded.select("o_custkey", F.col("o_orderkey").alias("log_id"), "before", "after")
 
 
-@query(
-    "changelog_check_before",
-    """WITH r AS (SELECT o_custkey, o_orderkey AS log_id, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS recorded,
+BEFORE = """WITH r AS (SELECT o_custkey, o_orderkey AS log_id, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS recorded,
           lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS state FROM orders)
-       SELECT o_custkey, log_id, coalesce(recorded, '') AS recorded, coalesce(state, '') AS state FROM r WHERE recorded IS DISTINCT FROM state""",
-)
+    SELECT o_custkey, log_id, coalesce(recorded, '') AS recorded, coalesce(state, '') AS state FROM r WHERE recorded IS DISTINCT FROM state"""
+
+
+def as_text(found):
+    return found.withColumns({c: F.coalesce(F.array_join(c, "|"), F.lit("")) for c in ("recorded", "state")})
+
+
+@query("changelog_check_before", BEFORE)
 def changelog_check_before(spark, sf):
-    found = cl.changelog_check_before(priority_log(spark, sf), ["o_custkey"])
-    text = {c: F.coalesce(F.array_join(c, "|"), F.lit("")) for c in ("recorded", "state")}
-    return found.withColumns(text)
+    return as_text(cl.changelog_check_before(priority_log(spark, sf), ["o_custkey"]))
+
+
+@query("changelog_check_before_from_mark", BEFORE)
+def changelog_check_before_from_mark(spark, sf):
+    """The same in three runs, each from the last entries that the one before it kept."""
+    log = stored(priority_log(spark, sf), "log")
+    checked = CheckedLog(spark, new_path(spark, "checked"), ["o_custkey"], buckets=16)
+    last = log.agg(F.max("log_id")).first()[0] or 0
+    for upto in (last // 2, last // 2 + last // 4, last):
+        checked.read(log.filter(F.col("log_id") <= upto))
+    return as_text(checked.results())
 
 
 SNAPSHOT_AT = "2024-01-25"
@@ -129,13 +158,11 @@ def final_sql(name: str, where: str) -> str:
         FROM l FULL JOIN r USING (user_id, field) WHERE l.v IS DISTINCT FROM r.v""",
 )
 def changelog_check_final(spark, sf):
-    log = event_log(spark, sf)
-    # the online state was taken some days before the end of the log
-    seen = table(spark, sf, "events").filter(F.col("ts") < F.lit(SNAPSHOT_AT)).select(F.col("event_id").alias("log_id"))
-    keys = ["user_id", "field"]
+    # the online state was taken some days before the end of the log: it is the state that the second run went on from
+    log, keys = replayed_events(spark, sf), ["user_id", "field"]
 
-    def state(entries):
-        values = cl.final_state(cl.changelog_rebuild_state(entries, keys), keys).withColumnRenamed("field", "title")
+    def state(version):
+        values = cl.final_state(log.values(version), keys).withColumnRenamed("field", "title")
         return values.withColumn("field", lookup(FIELD_CODES, F.col("title")))
 
-    return cl.changelog_check_final(state(log), state(log.join(seen, "log_id", "left_semi")), keys)
+    return cl.changelog_check_final(state(1), state(0), keys)
