@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ledgerspark.operators import sync
 from ledgerspark.plans.registry import query
 from ledgerspark.plans.snapshots import NEW, OLD, UNKNOWN, account_snapshot, with_compared
-from ledgerspark.session import table
+from ledgerspark.session import new_path, table
+from ledgerspark.sources.digests import Snapshot, compared
 
 
 def old_and_new(spark, sf):
@@ -25,6 +26,31 @@ def sync_by_key(spark, sf):
     return changes.select("account", "change", "source.orders", "source.total")
 
 
+@query(
+    "sync_by_digest",
+    with_compared("SELECT account, change, orders, total FROM both_sides WHERE change <> 'status'"),
+)
+def sync_by_digest(spark, sf):
+    """The changes of ``sync_by_key`` from stored copies of both sides, reading the buckets that differ only."""
+    old, new = old_and_new(spark, sf)
+    kept = [Snapshot(spark, new_path(spark, "copy"), "account", buckets=32).write(side.drop("status")) for side in (new, old)]
+    return compared(*kept, sync.sync_by_key).select("account", "change", "source.orders", "source.total")
+
+
+@query(
+    "snapshot_changes_by_digest",
+    with_compared(
+        """SELECT account, orders, total, status, CASE change WHEN 'status' THEN 'update' ELSE change END AS change_type
+           FROM both_sides WHERE change IS NOT NULL"""
+    ),
+)
+def snapshot_changes_by_digest(spark, sf):
+    """What changed between two stored snapshots: the rows that ``snapshot_diff`` gives flag 1."""
+    old, new = old_and_new(spark, sf)
+    kept = [Snapshot(spark, new_path(spark, "snapshot"), "account", buckets=32).write(side) for side in (new, old)]
+    return compared(*kept, lambda n, o, key: sync.snapshot_diff(o, n, key)).filter("flag = 1").drop("flag")
+
+
 @query(
     "snapshot_diff",
     with_compared(
