@@ -1,38 +1,113 @@
-"""Greedy choices per key, computed from counts of distinct values."""
+"""Greedy choices per key, computed from distinct values and running values over them."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.ordered import RunningSum, with_running
+from ledgerspark.operators.ordered import RunningMin, RunningSum, chunk_bounds, chunk_number, with_running
+from ledgerspark.session import stored
 
 
-def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def _position(df: DataFrame, column: str) -> Column:
+    """A date, time or whole number as a number."""
+    kind, c = df.schema[column].dataType.simpleString(), F.col(column)
+    if kind == "date":
+        return F.unix_date(c).cast("bigint")
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind == "timestamp_ntz":
+        # day and time of day, apart from any time zone
+        return F.unix_date(c.cast("date")).cast("bigint") * 86_400_000_000 + F.expr(
+            f"CAST(extract(HOUR FROM `{column}`) * 3600 + extract(MINUTE FROM `{column}`) * 60 AS bigint) * 1000000 + CAST(extract(SECOND FROM `{column}`) * 1000000 AS bigint)"
+        )
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("bigint")
+    raise TypeError(f"{column} must be a date, a time or a whole number")
+
+
+def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str, *, chunks: int | None = None) -> DataFrame:
     """Per key, the fewest intervals to remove so that the rest do not overlap; touching is fine.
 
-    Among intervals with one end only the latest start can matter, so a key's list shrinks to one
-    entry per distinct end before it is ordered. Ends must be dates, which bounds the list by the
-    calendar however many intervals a key has. Empty intervals (start = end) overlap nothing that
-    ends there and are counted.
+    Empty intervals (start = end) overlap nothing that starts or ends there and count. One that ends before it
+    starts, or lacks an end, cannot be kept and is removed.
+
+    After an interval that ends at L the next one kept is the first to end among those that start at L or
+    later, so every end has a successor, which one running minimum over falling starts finds for all ends. The
+    number kept is that of the steps from a key's first end on. Ranges of ends are followed to the first
+    end outside, each in one task; the ends where ranges are entered are then joined to where they lead, twice as
+    far in each round. No key is ever held in one place.
     """
-    if df.schema[end].dataType.simpleString() != "date":
-        raise TypeError(f"{end} must be a date")
-    s, e = F.col(start), F.col(end)
-    best = df.groupBy(*keys, end).agg(
-        F.max(F.when(s < e, s)).alias("_s"), F.count(F.when(s == e, 1)).alias("_empty"), F.count(F.lit(1)).alias("_n")
-    )
-    by_end = F.array_sort(F.collect_list(F.struct(e.alias("e"), F.col("_s").alias("s"), F.col("_empty").alias("empty"))))
+    spans = df.select(*keys, _position(df, start).alias("_s"), _position(df, end).alias("_e"))
+    latest = F.max(F.expr("IF(_s < _e, _s, NULL)")).alias("_s")
+    ends = spans.filter("_s <= _e").groupBy(*keys, "_e").agg(latest, F.count_if(F.col("_s") == F.col("_e")).alias("_z"))
+    ends = stored(ends, "ends")
+
+    def row(at: str, kind: int, own: str, reach: str | None) -> str:
+        found = f"named_struct('e', _e, 'w', -({reach}))" if reach else "CAST(NULL AS struct<e: bigint, w: bigint>)"
+        return f"named_struct('at', {at}, 'kind', {kind}, 'own', {own}, 'first', false, 'reach', {found})"
+
+    # at one place: what starts there, then the question of what follows its end, then what is empty there
+    rows = f"array({row('-_s', 0, '_e', '_z + 1')}, {row('-_e', 1, '_e', None)}, {row('-_e', 2, '_e', '_z')})"
+    asked = ends.select(*keys, "_s", "_z", F.explode(F.expr(rows)).alias("r"))
+    asked = asked.filter("(r.kind <> 0 OR _s IS NOT NULL) AND (r.kind <> 2 OR _z > 0)").select(*keys, "r.*")
+    begin = "named_struct('at', 9223372036854775807L, 'kind', 1, 'own', 0L, 'first', true, 'reach', CAST(NULL AS struct<e: bigint, w: bigint>))"
+    firsts = ends.select(*keys).distinct().select(*keys, F.expr(begin).alias("r")).select(*keys, "r.*")
+    led = with_running(asked.unionByName(firsts), keys, ["at", "kind", "own"], chunks=chunks, to=RunningMin("reach"))
+    steps = led.filter("kind = 1").select(
+        *keys, (~F.col("first")).alias("later"), "own", F.col("to").isNotNull().alias("more"),
+        F.coalesce("to.e", F.lit(0)).alias("next"), F.coalesce(-F.col("to.w"), F.lit(0)).alias("kept"),
+    )
+    place, steps = ["later", "own"], stored(steps, "steps")
+    bounds = chunk_bounds(steps, [*keys, *place], chunks)
+    ranged = steps.withColumn("_chunk", chunk_number(steps, [*keys, *place], bounds) if bounds else F.lit(0))
+
+    def follow(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(place, ignore_index=True)
+        at = {own: i for i, (later, own) in enumerate(zip(part["later"], part["own"])) if later}
+        more, to, kept = part["more"].tolist(), part["next"].tolist(), part["kept"].tolist()
+        for i in range(len(part) - 1, -1, -1):  # a step always leads to a later end
+            j = at.get(to[i]) if more[i] else None
+            if j is not None:
+                more[i], to[i], kept[i] = more[j], to[j], kept[i] + kept[j]
+        return part.assign(more=more, next=to, kept=kept).drop(columns="_chunk")
+
+    out = ranged.groupBy(*keys, "_chunk").applyInPandas(follow, steps.schema)
+    total = _followed(out, keys) if bounds else out.filter("NOT later")
+    counted = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).unionByName(total.select(*keys, (-F.col("kept")).alias("n")))
+    return counted.groupBy(*keys).agg(F.sum("n").alias("removed"))
+
+
+def _followed(steps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first steps of all keys, followed to the end: each round joins the ends that others lead to with theirs."""
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("own").alias("_own"), *[F.col(c).alias(f"_{c}") for c in ("more", "next", "kept")])
 
-    def step(acc: Column, x: Column) -> Column:
-        taken = F.when(x["s"] >= F.coalesce(acc["last"], x["s"]), 1).otherwise(0) + x["empty"]
-        return F.struct((acc["n"] + taken).alias("n"), F.when(taken > 0, x["e"]).otherwise(acc["last"]).alias("last"))
+    def meets(left: DataFrame, right: DataFrame) -> Column:
+        same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys], F.lit(True))
+        return same & left["more"] & (left["next"] == right["_own"])
 
-    nothing = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("date").alias("last"))
-    kept = F.aggregate(by_end, nothing, step, lambda acc: acc["n"])
-    return best.groupBy(*keys).agg((F.sum("_n") - kept).alias("removed"))
+    now = stored(steps, "followed")
+    led = now.filter("more").select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("next").alias("_next")).distinct()
+    entered = reduce(lambda a, b: a & b, [now[k].eqNullSafe(led[f"_{k}"]) for k in keys], now["own"] == led["_next"])
+    now = stored(now.filter("NOT later").unionByName(now.filter("later").join(led, entered, "left_semi")), "followed")
+    while not now.filter("NOT later AND more").isEmpty():
+        then = named(now.filter("later"))
+        joined = now.join(then, meets(now, then), "left")
+        hit = F.col("_own").isNotNull()
+        now = stored(
+            joined.select(
+                *keys, "later", "own", F.when(hit, F.col("_more")).otherwise(F.col("more")).alias("more"),
+                F.when(hit, F.col("_next")).otherwise(F.col("next")).alias("next"), (F.col("kept") + F.coalesce("_kept", F.lit(0))).alias("kept"),
+            ),
+            "followed",
+        )
+    return now.filter("NOT later")
 
 
 def greedy_assignment(

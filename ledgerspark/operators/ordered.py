@@ -85,6 +85,22 @@ class RunningMax:
         return merged
 
 
+@dataclass(frozen=True)
+class RunningMin(RunningMax):
+    def local(self, w: WindowSpec) -> Column:
+        return F.min(self.col).over(w.rowsBetween(Window.unboundedPreceding, 0))
+
+    def summary(self, order: Column) -> Column:
+        return F.min(self.col)
+
+    def carry(self, name: str, w: WindowSpec) -> Column:
+        return F.min(name).over(w)
+
+    def merge(self, local: Column, carry: Column) -> Column:
+        # of structs, which least() does not take
+        return F.array_min(F.filter(F.array(local, carry), lambda v: v.isNotNull()))
+
+
 @dataclass(frozen=True)
 class LastNonNull:
     col: str

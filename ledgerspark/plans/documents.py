@@ -308,18 +308,19 @@ def pager_parse(spark, sf):
 
 @query(
     "interval_schedule",
-    """WITH RECURSIVE i AS (SELECT l_suppkey, CAST(o_orderdate AS DATE) AS s, CAST(l_shipdate AS DATE) AS e
-             FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderdate < l_shipdate),
-         g AS (SELECT l_suppkey, DATE '0001-01-01' AS e, 0 AS n FROM (SELECT DISTINCT l_suppkey FROM i)
+    """WITH RECURSIVE i AS (SELECT l_suppkey, o_orderdate AS s, l_shipdate AS e FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+         b AS (SELECT l_suppkey, e, max(s) FILTER (s < e) AS s, count(*) FILTER (s = e) AS z FROM i WHERE s <= e GROUP BY 1, 2),
+         g AS (SELECT DISTINCT l_suppkey, TIMESTAMP '0001-01-01' AS e, 0::BIGINT AS n FROM i
                UNION ALL
-               SELECT g.l_suppkey, min(i.e), g.n + 1 FROM g JOIN i ON i.l_suppkey = g.l_suppkey AND i.s >= g.e GROUP BY g.l_suppkey, g.n)
+               SELECT g.l_suppkey, min(b.e), n + arg_min(CASE WHEN b.s >= g.e THEN 1 ELSE 0 END + b.z, b.e)
+               FROM g JOIN b ON b.l_suppkey = g.l_suppkey AND b.e > g.e AND (b.s >= g.e OR b.z > 0) GROUP BY g.l_suppkey, n)
        SELECT l_suppkey, count(*) - (SELECT max(n) FROM g WHERE g.l_suppkey = i.l_suppkey) AS removed FROM i GROUP BY l_suppkey""",
 )
 def interval_schedule(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", F.to_date("l_shipdate").alias("e"))
-    orders = table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("s"))
-    spans = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).filter("s < e")
-    return greedy.interval_schedule(spans, ["l_suppkey"], "s", "e")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    spans = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return greedy.interval_schedule(spans, ["l_suppkey"], "o_orderdate", "l_shipdate")
 
 
 @query(

@@ -217,24 +217,57 @@ def test_greedy(spark):
     assert {r.k: r.removed for r in greedy.interval_schedule(df, ["k"], "s", "e").collect()} == {"k": 1, "j": 2}
 
 
-def test_interval_schedule_equals_brute_force(spark):
+def most_kept(spans):
+    """Over all choices of spans that do not end before they start."""
     import itertools
+
+    def fits(chosen):
+        ordered = sorted(chosen, key=lambda x: (x[1], x[0]))
+        return all(b[0] >= a[1] for a, b in zip(ordered, ordered[1:]))
+
+    spans = [x for x in spans if None not in x and x[0] <= x[1]]
+    return max(len(c) for n in range(len(spans) + 1) for c in itertools.combinations(spans, n) if fits(c))
+
+
+@pytest.mark.parametrize("chunks", [None, 6])
+def test_interval_schedule_equals_brute_force(spark, chunks):
+    """Empty spans, spans that end before they start, missing ends, and keys with nothing to keep; over one range and several."""
     import random
 
     rng = random.Random(5)
-    rows, want = [], {}
-    for key in range(25):
-        spans = [tuple(sorted((rng.randint(1, 9), rng.randint(1, 9)))) for _ in range(rng.randint(1, 7))]
-        rows += [(key, dt.date(2020, 1, s), dt.date(2020, 1, e)) for s, e in spans]
-
-        def fits(chosen):
-            ordered = sorted(chosen, key=lambda x: (x[1], x[0]))
-            return all(b[0] >= a[1] for a, b in zip(ordered, ordered[1:]))
-
-        most = max(len(c) for n in range(len(spans) + 1) for c in itertools.combinations(spans, n) if fits(c))
-        want[key] = len(spans) - most
-    df = spark.createDataFrame(rows, "k int, s date, e date")
-    assert {r.k: r.removed for r in greedy.interval_schedule(df, ["k"], "s", "e").collect()} == want
+    rows = []
+    for key in [*range(24), None]:
+        for _ in range(rng.randint(1, 7)):
+            s, e = rng.randint(1, 9), rng.randint(1, 9)
+            rows.append((key, *((s, e) if rng.random() < 0.2 else sorted((s, e)))))
+    rows += [(50, 5, 2), (51, None, 3), (51, 3, None), (52, 4, 4), (52, 4, 4)]
+    want = {k: len(v) - most_kept(v) for k in {r[0] for r in rows} for v in [[r[1:] for r in rows if r[0] == k]]}
+    df = spark.createDataFrame(rows, "k int, s int, e int")
+    at = lambda c: F.timestamp_seconds(F.lit(1_700_000_000) + F.col(c) * 3600 * 7)
+    forms = {
+        "number": df,
+        "date": df.select("k", F.date_add(F.lit("2020-02-25").cast("date"), F.col("s")).alias("s"), F.date_add(F.lit("2020-02-25").cast("date"), F.col("e")).alias("e")),
+        "time": df.select("k", at("s").alias("s"), at("e").alias("e")),
+        "local time": df.select("k", at("s").cast("timestamp_ntz").alias("s"), at("e").cast("timestamp_ntz").alias("e")),
+    }
+    for form in forms.values():
+        assert {r.k: r.removed for r in greedy.interval_schedule(form, ["k"], "s", "e", chunks=chunks).collect()} == want
+    with pytest.raises(TypeError):
+        greedy.interval_schedule(df.withColumn("s", F.lit("x")), ["k"], "s", "e")
+
+
+def test_one_hot_key_over_many_ranges(spark):
+    import random
+
+    rng = random.Random(6)
+    spans = [(s, s + rng.choice((0, 1, 3, 50))) for s in (rng.randrange(20000) for _ in range(6000))]
+    kept, last = 0, -1
+    for s, e in sorted(spans, key=lambda x: (x[1], x[0])):
+        if s >= last:
+            kept, last = kept + 1, e
+    df = spark.createDataFrame(spans, "s int, e int")
+    for chunks in (1, 13):
+        assert greedy.interval_schedule(df, [], "s", "e", chunks=chunks).first().removed == len(spans) - kept
 
 
 def test_greedy_assignment_equals_matching(spark):
