@@ -100,35 +100,6 @@ def _tables(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["heads", "rows"])
 
 
-def _count(text: Column, part: str) -> Column:
-    return (F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
-
-
-def _plain_table(html: Column) -> Column:
-    """Whether patterns see a page's table as its structure is: one table, all its tags closed, no comment."""
-    closed = [_count(html, f"<{t}") == _count(html, f"</{t}") for t in ("tr", "td", "th")]
-    return (_count(F.lower(html), "<table") == 1) & ~html.contains("<!--") & closed[0] & closed[1] & closed[2]
-
-
-def _table_by_patterns(html: Column) -> Column:
-    """Heads and rows of a plain table, cut once and without Python."""
-
-    def cells(row: Column, tag: str) -> Column:
-        return F.regexp_extract_all(row, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?+>(.*?)</t[dh]\s*>"), F.lit(1))
-
-    head_row = F.regexp_extract(html, r"(?is)<thead[^>]*+>\s*<tr[^>]*+>(.*?)</tr", 1)
-    shown = F.regexp_extract_all(head_row, F.lit(r"""(?is)<t[dh](?![^>]*display:\s*none)[^>]*+>(.*?)</t[dh]\s*>"""), F.lit(1))
-    body = F.regexp_extract(html, r"(?is)<tbody[^>]*+>(.*?)</tbody", 1)
-    rows = F.transform(
-        F.regexp_extract_all(body, F.lit(r"(?is)(<tr(?:\s[^>]*)?+>.*?)</tr"), F.lit(1)),
-        lambda r: F.struct(
-            F.nullif(F.regexp_extract(r, r"""(?is)^<tr[^>]*?\sdata-key\s*=\s*["']([^"']*)["']""", 1), F.lit("")).alias("row_key"),
-            cells(r, "td").alias("cells"),
-        ),
-    )
-    return F.struct(F.transform(shown, inner_text).alias("heads"), rows.alias("rows"))
-
-
 def html_table_rows(pages: DataFrame, html: str, *keep: str) -> DataFrame:
     """One row per body row of a page's first table with a head: its ``data-key`` and a map from head to
     cell HTML.
@@ -136,12 +107,9 @@ def html_table_rows(pages: DataFrame, html: str, *keep: str) -> DataFrame:
     Hidden head cells are no columns, and the unit suffix of a head is dropped. A row whose cell
     count is not that of the head is an error. Tables within cells are part of the cell.
 
-    Pages whose one table is closed throughout are read by patterns in the JVM; the parser sees the others.
+    All pages are read by structure, in one way: names in any case, quoted attributes, comments and missing end tags.
     """
-    page = F.col(html)
-    plain = F.coalesce(_plain_table(page), F.lit(False))
-    parsed = F.pandas_udf(_tables, TABLE)(F.when(~plain, page))
-    read = pages.select(*keep, F.when(plain, _table_by_patterns(page).cast(TABLE)).otherwise(parsed).alias("_t"))
+    read = pages.select(*keep, F.pandas_udf(_tables, TABLE)(F.col(html)).alias("_t"))
     names = F.transform("_t.heads", lambda t: F.regexp_replace(t, UNIT_SUFFIX, ""))
     rows = read.select(*keep, names.alias("_names"), F.explode("_t.rows").alias("_row"))
     checked = F.when(F.size("_row.cells") == F.size("_names"), F.map_from_arrays("_names", "_row.cells")).otherwise(

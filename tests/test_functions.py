@@ -197,6 +197,22 @@ def test_html_by_structure(spark):
         h.select(F.col("html"), x="a ~ b")
 
 
+def test_html_table_shapes(spark):
+    """Quoted angle brackets, names in capitals, missing end tags, comments, and tables before the one with a head."""
+    rows = "<TABLE><THEAD><TR><TD>A<TD>B</TR></THEAD><TBODY><TR data-key=k><TD>x<TD>y</TR></TBODY></TABLE>"
+    pages = {
+        '<table><thead><tr><td>A</td><td>B</td></tr></thead><tbody><tr><td title="a>b">x</td><td>y</td></tr></tbody></table>': (None, "x", "y"),
+        rows: ("k", "x", "y"),
+        f"<!-- <table><thead><tr><td>no</td></tr></thead></table> --><table><tr><td>z</td></tr></table>{rows}": ("k", "x", "y"),
+        rows.replace("<TD>B", "<TD style='display: NONE'>H<TD>B").lower(): ("k", "x", "y"),
+    }
+    df = spark.createDataFrame(list(enumerate(pages)) + [(9, None), (10, ""), (11, "<table><tr><td>no head")], "id int, html string")
+    got = {r.id: (r.row_key, r.cells["A"], r.cells["B"]) for r in h.html_table_rows(df.filter("id <> 3"), "html", "id").collect()}
+    assert got == {i: w for i, w in enumerate(pages.values()) if i != 3}
+    lower = h.html_table_rows(df.filter("id = 3"), "html", "id").first()
+    assert (lower.row_key, lower.cells) == ("k", {"a": "x", "b": "y"})
+
+
 def test_html_table_with_a_table_in_a_cell(spark):
     inner = "<table><thead><tr><td>q</td></tr></thead><tbody><tr><td>1</td></tr></tbody></table>"
     page = spark.createDataFrame([(1, TABLE.replace("<i>-</i>", inner))], "id int, html string")
