@@ -196,7 +196,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_source_mix")
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "slot")
 
 
 @query(

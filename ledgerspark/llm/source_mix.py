@@ -1,15 +1,16 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-Slots of equal words are dealt to the sources by the golden-ratio sequence, mapped through the
-sources' cumulative shares, so any stretch of the schedule is close to the target mix. The slots
-of a source are ranked, and a slot's rank names the block of the source's shuffled documents that
-it takes; a source that is owed more words than it has starts again from its first block.
+Slots of equal words are dealt to the sources by a low-discrepancy sequence, mapped through the
+sources' cumulative targets, so any stretch of the schedule is close to the target mix. The slots
+of a source are ranked, and the slot of rank r takes the r-th block of equal words of the source's shuffled
+documents; a source with more slots than blocks starts again from its first document. How many words a source
+gives, and where in the mix a document stands, therefore follow from the points that it got.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from ledgerspark.operators.ordered import RowNumber, RunningSum, with_running
 from ledgerspark.session import stored
 
 WEIGHTS = (5, 2, 1)
-#: Words per block and slot; a source is repeated at most so often.
-BLOCK_WORDS, MOST = 64, 3
+#: Most words per block and slot, and slots that a smaller corpus is cut into; a source is repeated at most so often.
+BLOCK_WORDS, FINE, MOST = 64, 1 << 16, 3
 #: Cells of the unit interval in which points meet the sources that reach into them.
 CELLS = 4096
 SEED = 10
@@ -60,124 +61,105 @@ def golden_points(slot: Column) -> Column:
     return x - F.floor(x)
 
 
-def schedule(shares: DataFrame) -> DataFrame:
-    """``shares`` (source_no, slots) -> slot, source_no, rank: every source gets exactly its slots.
+def van_der_corput(slot: Column) -> Column:
+    """The slot's 48 binary digits in reverse, as a fraction."""
+    return F.conv(F.reverse(F.lpad(F.bin(slot), 48, "0")), 2, 10).cast("double") / F.lit(2.0**48)
 
-    Point i of the sequence takes slot i. Where the sequence gave a source more than its slots the
-    last ones fall out, and what it still owes a source at its end (a few slots) is appended.
-    """
+
+def schedule(shares: DataFrame, slots: int, sequence: Callable[[Column], Column] = golden_points) -> DataFrame:
+    """``shares`` (source_no, words) -> slot (from 1), source_no and rank of the slot within its source: slot i goes to
+    the source whose part of the words, one after the other, holds point i of the sequence."""
     spark = shares.sparkSession
-    laid = stored(with_running(shares.filter("slots > 0"), [], ["source_no"], _hi=RunningSum("slots")), "shares")
-    total = laid.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    laid = stored(with_running(shares.filter("words > 0"), [], ["source_no"], _hi=RunningSum("words")), "shares")
+    total = laid.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     width = max(1, -(-total // CELLS))
-    spans = laid.withColumn("_lo", F.col("_hi") - F.col("slots")).select(
+    spans = laid.withColumn("_lo", F.col("_hi") - F.col("words")).select(
         "source_no", "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))).alias("_cell")
     )
-    points = spark.range(total).select(
-        F.col("id").alias("slot"), F.least(F.floor(golden_points(F.col("id") + 1) * total), F.lit(total - 1)).alias("_at")
-    )
-    dealt = (
-        points.withColumn("_cell", F.floor(F.col("_at") / width))
-        .join(spans, "_cell")
-        .filter("_at >= _lo AND _at < _hi")
-        .select("slot", "source_no")
-    )
-    ranked = stored(with_running(dealt, ["source_no"], ["slot"], rank=RowNumber()), "schedule")
-    got = ranked.groupBy("source_no").agg(F.count(F.lit(1)).alias("_got"))
-    owed = laid.join(got, "source_no", "left").withColumn("_got", F.coalesce("_got", F.lit(0)))
-    late = owed.filter("_got < slots").select("source_no", F.explode(F.sequence(F.col("_got") + 1, F.col("slots"))).alias("rank"))
-    kept = ranked.join(laid.select("source_no", "slots"), "source_no").filter("rank <= slots")
-    return kept.select("slot", "source_no", "rank").unionByName(
-        late.select((F.col("rank") + total).alias("slot"), "source_no", "rank")
-    )
-
+    at = F.least(F.floor(sequence(F.col("slot")) * total), F.lit(total - 1))
+    points = spark.range(1, (slots if total else 0) + 1).select(F.col("id").alias("slot")).withColumn("_at", at)
+    met = points.withColumn("_cell", F.floor(F.col("_at") / width)).join(spans, "_cell").filter("_at >= _lo AND _at < _hi")
+    return with_running(stored(met.select("slot", "source_no"), "slots"), ["source_no"], ["slot"], rank=RowNumber())
 
-def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **kw) -> DataFrame:
-    """``docs``, all columns, each row as often as the mix takes it: its taken words over its size, rounded.
 
-    Rows without words are in no mix. Of each source at most the one document that the quota ends in
-    is rounded. Rows equal in key, source and text take what they get together in equal parts.
-    """
-    shares = mix(docs, key, text, source, **kw).filter("size > 0").groupBy(key, "source", "digest")
-    copies = F.round(F.sum("taken") / F.sum("size")).cast("int")
-    times = shares.agg(copies.alias("times")).filter("times > 0").select(F.struct("*").alias("_t"))
-    t = times["_t"]
-    same = docs[key].eqNullSafe(t[key]) & docs[source].eqNullSafe(t["source"]) & (F.xxhash64(docs[text]) == t["digest"])
-    each = docs.join(times, same).select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.explode(F.sequence(F.lit(1), t["times"])))
-    return each.select("_row.*")
+def _placed(
+    docs: DataFrame, key: str, text: str, source: str, weights: Sequence[int], block: int | None, seed: int, sequence: Callable[[Column], Column]
+) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their place _start in the source's shuffled words, source_no, target and the words the mix takes of the
+    source; the schedule; and the words of a block."""
+    order = ["_shuffle", "_key", "digest"]
+    rows = docs.select(
+        F.col(key).alias("_key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
+        F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_shuffle"), F.xxhash64(F.col(text)).alias("digest"),
+    )
+    rows = stored(rows, "sizes")
+    placed = with_running(rows, ["source"], order, _end=RunningSum("size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
+    quota = stored(source_targets(sizes, weights), "quota")
+    total = quota.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
+    block = block or max(1, min(BLOCK_WORDS, total[0] // FINE))
+    words = F.floor(F.col("target") + 0.5).alias("words")
+    dealt = stored(schedule(quota.select("source_no", words), -(-round(total[1]) // block), sequence), "schedule")
+    got = dealt.groupBy("source_no").agg(F.count(F.lit(1)).alias("_slots"))
+    # a source that has given all it may gives no more
+    taken = F.least(F.coalesce("_slots", F.lit(0)) * block, F.col("size") * MOST).alias("_taken")
+    known = quota.join(got, "source_no", "left").select(F.col("source").alias("_source"), "source_no", F.col("size").alias("source_size"), "target", taken)
+    met = placed.join(known, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_start", F.col("_end") - F.col("size"))
+    return met.drop("_source"), dealt, block
+
+
+def _slot_of(passes: int | Column, block: int) -> Column:
+    """Rank of the slot that takes the first word of a row in a pass over its source, counted from 0."""
+    return (F.floor((passes * F.col("source_size") + F.col("_start")) / block) + 1).cast("bigint")
 
 
 def mix(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: Sequence[int] = WEIGHTS,
-    block: int = BLOCK_WORDS,
-    seed: int = SEED,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS,
+    block: int | None = None, seed: int = SEED, sequence: Callable[[Column], Column] = golden_points,
 ) -> DataFrame:
-    """One row per row of ``docs``: key, source, digest (of the text, as a row's tie-break), size (words),
-    source_size, target (of the source) and taken (words the mix takes of this row, repeats counted).
-
-    A source's taken words are its target, rounded; no document exceeds three times its size. Within
-    a source the documents are ordered by a seeded hash of key and text, so reruns agree. A null
-    text has size 0 and takes part in nothing; a null source is a source of its own; a null key
-    is a key; repeated rows are separate rows; an empty table gives no rows. Only the three named
-    columns are read.
+    """One row per row of ``docs``: key, source, digest (of the text, as a row's tie-break), size (words), source_size,
+    target (of the source), taken (words the mix takes of this row, repeats counted) and slot, where the
+    mix first takes of it (null: nowhere).
+
+    A source's taken words are the words of the slots it got, so they are its target but for the few slots that
+    the sequence is off; no document exceeds three times its size. A block has BLOCK_WORDS words, or fewer in a
+    corpus of less than FINE such blocks. Within a source the documents are ordered by a seeded hash of key and
+    text, so reruns agree. A null text has size 0 and takes part in nothing; a null source is a source of
+    its own; a null key is a key; repeated rows are separate rows; an empty table gives no rows. Only the three
+    named columns are read.
+
+    No source is ever in one task: places and ranks are running values over ranges, and rows meet slots by
+    (source, rank).
+    """
+    placed, dealt, block = _placed(docs, key, text, source, weights, block, seed, sequence)
+    whole = F.expr("IF(source_size > 0, _taken DIV source_size, 0L)")
+    rest = F.col("_taken") - whole * F.col("source_size")
+    part = F.greatest(F.least(F.col("_end"), rest) - F.col("_start"), F.lit(0))
+    rows = placed.withColumns({"taken": (whole * F.col("size") + part).cast("bigint"), "rank": F.when(F.col("size") > 0, _slot_of(0, block))})
+    slots = dealt.select("source_no", "rank", "slot")
+    met = rows.join(slots, ["source_no", "rank"], "left")
+    shown = F.when(F.col("taken") > 0, F.col("slot")).alias("slot")
+    return met.select(F.col("_key").alias(key), "source", "digest", "size", "source_size", "target", "taken", shown)
+
+
+def mixed_rows(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS,
+    block: int | None = None, seed: int = SEED, sequence: Callable[[Column], Column] = golden_points, slot: str | None = None,
+) -> DataFrame:
+    """``docs``, all columns, in the order of the schedule, each row as often as the mix takes it: its taken words over its
+    size, rounded. Column ``slot``, if named, says which slot takes the row.
 
-    No source is ever in one task: shuffled positions and ranks are running values over ranges, and
-    words meet draws per (source, block).
+    Rows without words are in no mix. Of each source at most the one document that its words end in is rounded.
+    Rows equal in key, source and text have the same slots, those of the first of them.
     """
-    order = ["_shuffle", "_key", "digest"]
-    rows = docs.select(
-        F.col(key).alias("_key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_shuffle"), F.xxhash64(F.col(text)).alias("digest"),
-    )
-    placed = stored(with_running(rows, ["source"], order, _end=RunningSum("size")), "placed")
-    sizes = placed.groupBy("source").agg(F.sum("size").alias("size"))
-    want = F.floor(F.col("target") + 0.5)
-    quota = source_targets(sizes, weights).select(
-        F.col("source").alias("_source"), "source_no", F.col("size").alias("source_size"), "target", want.alias("_want")
-    )
-    blocks = F.ceil(F.col("source_size") / block)
-    rest = F.col("_want") - F.col("_passes") * F.col("source_size")
-    quota = stored(
-        quota.withColumn("_passes", F.expr("IF(source_size > 0, _want DIV source_size, 0L)"))
-        .withColumn("_rest", rest)
-        .withColumn("_blocks", blocks)
-        .withColumn("slots", F.col("_passes") * F.col("_blocks") + F.ceil(F.col("_rest") / block)),
-        "quota",
-    )
-    # a slot takes a whole block, or in the last pass what is left of the quota there
-    number = (F.col("rank") - 1) % F.col("_blocks")
-    limit = F.when(F.col("rank") > F.col("_passes") * F.col("_blocks"), F.least(F.lit(block).cast("bigint"), F.col("_rest") - F.col("_block") * block))
-    draws = (
-        schedule(quota.select("source_no", "slots"))
-        .join(quota.select("source_no", "_passes", "_blocks", "_rest"), "source_no")
-        .withColumn("_block", number)
-        .withColumn("_limit", limit)
-        .groupBy("source_no", "_block")
-        .agg(F.count_if(F.col("_limit").isNull()).alias("_whole"), F.max("_limit").alias("_part"))
-    )
-    known = placed.join(quota.select("_source", "source_no", "source_size", "target"), F.col("source").eqNullSafe(F.col("_source")))
-    start = F.col("_end") - F.col("size")
-    pieces = known.select(
-        "*",
-        F.when(
-            F.col("size") > 0, F.sequence(F.floor(start / block), F.floor((F.col("_end") - 1) / block))
-        ).alias("_blocks"),
-    ).select("*", F.explode_outer("_blocks").alias("_block"))
-    base = F.col("_block") * block
-    low, high = F.greatest(start, base) - base, F.least(F.col("_end"), base + block) - base
-    words = F.coalesce("_whole", F.lit(0)) * (high - low) + F.greatest(F.least(high, F.coalesce("_part", F.lit(0))) - low, F.lit(0))
-    taken = pieces.join(draws, ["source_no", "_block"], "left").withColumn("_taken", F.coalesce(words, F.lit(0)))
-    # (source_no, _end, size) is one document's place, but for equal rows without words
-    return (
-        taken.groupBy("_key", "source", "digest", "size", "source_size", "target", "_end")
-        .agg(F.sum("_taken").cast("bigint").alias("taken"), F.count_if(F.col("size") == 0).alias("_empty"))
-        .select(
-            F.col("_key").alias(key), "source", "digest", "size", "source_size", "target", "taken",
-            F.explode(F.sequence(F.lit(1).cast("bigint"), F.greatest("_empty", F.lit(1).cast("bigint")))).alias("_n"),
-        )
-        .drop("_n")
-    )
+    placed, dealt, block = _placed(docs, key, text, source, weights, block, seed, sequence)
+    half = F.floor((F.col("_taken") - F.col("_start") - (F.col("size") + 1) / 2) / F.col("source_size")) + 1
+    times = placed.filter("size > 0").withColumn("_times", F.greatest(half, F.lit(0)).cast("int")).filter("_times > 0")
+    copies = times.select("*", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("_copy"))
+    copies = copies.withColumn("rank", _slot_of(F.col("_copy"), block)).join(dealt, ["source_no", "rank"])
+    first = copies.groupBy("_key", "source", "digest", "_copy").agg(F.min("slot").alias("slot")).select(F.struct("*").alias("_t"))
+    t = first["_t"]
+    same = docs[key].eqNullSafe(t["_key"]) & docs[source].eqNullSafe(t["source"]) & (F.xxhash64(docs[text]) == t["digest"])
+    each = docs.join(first, same).select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), t["slot"].alias("_slot"))
+    ordered = each.repartitionByRange("_slot").sortWithinPartitions("_slot")
+    return ordered.select("_row.*", *([F.col("_slot").alias(slot)] if slot else []))
