@@ -8,6 +8,7 @@ from ledgerspark.functions import documents as doc
 from ledgerspark.functions import html as h
 from ledgerspark.operators import forms, greedy
 from ledgerspark.operators.links import link_frontier
+from ledgerspark.operators.patches import filter_patches
 from ledgerspark.plans.registry import query
 from ledgerspark.session import cents, table
 from ledgerspark.sources.files import local_rows_to_table
@@ -51,8 +52,9 @@ def json_set_field(spark, sf):
     """SELECT event_id, '[{"op":"replace","path":"/who","value":{"id":' || user_id || ',"rate":2.0}}]' AS kept FROM events""",
 )
 def patch_filter(spark, sf):
-    patch = doc.json_to_patch(event_document())
-    return table(spark, sf, "events").select("event_id", doc.patch_filter(patch, "/who/rate", "/who/id").alias("kept"))
+    retained = spark.createDataFrame([("/who/rate",), ("/who/id",)], "path string")
+    patches = table(spark, sf, "events").select("event_id", doc.json_to_patch(event_document()).alias("patch"))
+    return filter_patches(patches, ["event_id"], "patch", retained)
 
 
 @query(
