@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.sources.partitions import partition_file_stats, replace_where
+from ledgerspark.sources.partitions import partition_file_stats
 from ledgerspark.sources.state import read_last_run, write_last_run
+from ledgerspark.sources.versions import VersionedTable
 
 BUCKET_MS = 1_000_000_000
 
@@ -40,9 +41,9 @@ def daily_payments(ledger: DataFrame, since: Column | None = None) -> DataFrame:
 
 
 def roll_up_since(ledger: DataFrame, path: str, since: str) -> None:
-    """Bring the stored roll-up up to date: days from ``since`` on are computed and replaced."""
+    """Bring the roll-up, a ``VersionedTable`` by date, up to date: days from ``since`` on are computed, and replaced all at once."""
     first = F.lit(since).cast("date")
-    replace_where(daily_payments(ledger, first), path, ["date"], F.col("date") >= first)
+    VersionedTable(ledger.sparkSession, path, "date").replace_where(daily_payments(ledger, first), F.col("date") >= first)
 
 
 def roll_up_changed(spark: SparkSession, ledger: str, schema: str, path: str, state: str, job: str = "roll-up") -> str | None:
@@ -63,9 +64,17 @@ def roll_up_changed(spark: SparkSession, ledger: str, schema: str, path: str, st
     return since
 
 
+def day_table(spark: SparkSession, path: str) -> VersionedTable:
+    """Rows by ``slot``, a day and a merchant."""
+    return VersionedTable(spark, path, "slot")
+
+
+def with_slot(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("slot", F.concat_ws("|", F.col("date").cast("string"), "merchant"))
+
+
 def load_days(rows: DataFrame, path: str, merchant: str, first: str) -> None:
-    """Replace a merchant's (date, merchant) partitions from ``first`` on, all days in one job."""
+    """Replace a merchant's days from ``first`` on in the ``day_table``, all of them at once and in one job."""
     mine = rows.filter((F.col("merchant") == merchant) & (F.col("date") >= F.lit(first).cast("date")))
-    replace_where(
-        mine, path, ["date", "merchant"], (F.col("date") >= F.lit(first).cast("date")) & (F.col("merchant") == merchant)
-    )
+    his = (F.substring_index("slot", "|", 1) >= F.lit(first)) & (F.expr("substr(slot, 12)") == F.lit(merchant))
+    day_table(rows.sparkSession, path).replace_where(with_slot(mine), his)

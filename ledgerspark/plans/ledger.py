@@ -11,6 +11,7 @@ from ledgerspark.plans.registry import query
 from ledgerspark.session import cents, new_path, stored, table
 from ledgerspark.sources import partitions as pt
 from ledgerspark.sources.files import write_csv, write_partitioned
+from ledgerspark.sources.versions import VersionedTable
 
 START, END = "1996-01-01", "1999-01-01"
 EARLIER = ("1995-06-01", "1996-02-01")
@@ -218,7 +219,7 @@ def daily_rollup_incremental(spark, sf):
     for part in (events.filter(early), events.filter(~early)):
         write_partitioned(part, ledger, "hash", mode="append")
         rollup.roll_up_changed(spark, ledger, events.schema, path, state)
-    out = spark.read.parquet(path)
+    out = VersionedTable(spark, path, "date").read()
     return out.select(
         F.col("date").cast("string").alias("date"), "subject", "payee", "account", F.col("biz.no").alias("biz"),
         F.col("store.no").alias("store"), "amount", "payments",
@@ -242,9 +243,10 @@ def daily_merchants(spark, sf):
 def incremental_day_loop(spark, sf):
     path = new_path(spark, "days")
     rows = daily_merchants(spark, sf)
-    write_partitioned(rows.filter("date < date '2024-01-20'"), path, "date", "merchant")
+    days = rollup.day_table(spark, path)
+    days.write(rollup.with_slot(rows.filter("date < date '2024-01-20'")))
     rollup.load_days(rows, path, "purchase", "2024-01-20")
-    return spark.read.parquet(path).select(F.col("date").cast("string").alias("date"), "merchant", "user_id", "amount")
+    return days.read().select(F.col("date").cast("string").alias("date"), "merchant", "user_id", "amount")
 
 
 def ledger_files(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerspark.plans.registry import query
 from ledgerspark.session import cents, new_path, table
 from ledgerspark.sources.latest import LatestTable
+from ledgerspark.sources.versions import VersionedTable
 from ledgerspark.streaming import jobs
 
 
@@ -35,8 +36,8 @@ def stream_append_to_table(spark, sf):
 )
 def stream_daily_rollup(spark, sf):
     path, keys = new_path(spark, "windows"), ["event_type"]
-    in_batches(spark, sf, lambda stream, at: jobs.daily_rollup(stream, "ts", keys, cents(F.col("value")), path, at, "40 days"))
-    return spark.read.parquet(path).select(F.col("date").cast("string").alias("date"), *keys, "amount", "payments")
+    in_batches(spark, sf, lambda stream, at: jobs.daily_rollup(stream, "ts", keys, cents(F.col("value")), path, at))
+    return VersionedTable(spark, path, "date").read().select(F.col("date").cast("string").alias("date"), *keys, "amount", "payments")
 
 
 @query("stream_audit_on_insert", "SELECT event_id AS emp_no, event_type AS name FROM events")

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerspark.session import stored
 from ledgerspark.sources.files import audit_rows
 from ledgerspark.sources.latest import GONE, LatestTable
-from ledgerspark.sources.partitions import replace_by_key
+from ledgerspark.sources.versions import VersionedTable
 
 #: State that need not fit in memory and of which a batch saves only its changes.
 STATE = {
@@ -56,21 +57,34 @@ def audit_on_insert(stream: DataFrame, path: str, audit_path: str, checkpoint: s
     _run(stream, checkpoint, each)
 
 
-def daily_rollup(stream: DataFrame, ts: str, keys: Sequence[str], amount: Column, path: str, checkpoint: str, late: str) -> None:
-    """Sums per day and key in tumbling one-day windows; rows later than ``late`` are not counted.
+def daily_rollup(stream: DataFrame, ts: str, keys: Sequence[str], amount: Column, path: str, checkpoint: str) -> None:
+    """Sums per day and key, as a ``VersionedTable`` by date with one row per day and key.
 
-    The table holds one row per day and key, in a directory per day. A batch brings the totals it
-    changed, which replace those in their days; a batch that is repeated changes nothing. Salting is
-    not needed, since Spark sums within a task before it shuffles.
+    A batch is summed first, within its tasks before anything is shuffled. Its days, and those only, are read,
+    added to and replaced all at once. A row counts on its day however late it comes, so there is no
+    watermark behind which rows are lost, and no state beside the table. Rows carry the number of the
+    batch that wrote them, so one that is repeated finds its own number and adds nothing. Rows without a time
+    belong to no day.
     """
-    windowed = (
-        stream.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, late)
-        .groupBy(F.window(ts, "1 day").alias("w"), *keys)
-        .agg(F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("payments"))
-        .select(F.to_date("w.start").alias("date"), *keys, "amount", "payments")
-    )
-    _run(windowed, checkpoint, lambda df, n: replace_by_key(df, path, list(keys), "date"), mode="update")
+    spark = stream.sparkSession
+    totals, key = VersionedTable(spark, path, "date"), ["date", *keys]
+
+    def each(df: DataFrame, batch: int) -> None:
+        dated = df.select(F.to_date(F.col(ts).cast("timestamp")).alias("date"), *keys, amount.alias("amount")).filter("date IS NOT NULL")
+        fresh = stored(dated.groupBy(*key).agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("payments")), "batch")
+        days = [r.date for r in fresh.select("date").distinct().collect()]  # the batch's days
+        if not days:
+            return
+        if totals.exists():
+            known = totals.read().filter(F.col("date").isin(days))
+            last = known.agg(F.max("batch")).first()[0]
+            if last is not None and last >= batch:
+                return
+            fresh = fresh.unionByName(known.drop("batch"))
+        sums = [F.sum(c).cast(fresh.schema[c].dataType).alias(c) for c in ("amount", "payments")]
+        totals.replace_partitions(fresh.groupBy(*key).agg(*sums).withColumn("batch", F.lit(batch).cast("bigint")), days)
+
+    _run(stream, checkpoint, each)
 
 
 def changelog_latest(

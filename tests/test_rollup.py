@@ -1,14 +1,12 @@
 """Incremental jobs read and rewrite only what changed."""
 
-import os
-import time
-
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import reconcile as rc
 from ledgerspark.operators import rollup
 from ledgerspark.sources import state
 from ledgerspark.sources.files import write_partitioned
+from ledgerspark.sources.versions import VersionedTable
 
 LEDGER = """ts timestamp, payment array<struct<time: timestamp, subject: string, payee: string, account: string, amount: bigint>>,
     biz struct<no: string>, store struct<no: string>, hash int"""
@@ -31,15 +29,29 @@ def test_only_changed_buckets_are_rolled_up_again(spark, tmp_path):
     write_partitioned(entries(spark, ("2024-01-02 10:00:00", 1), ("2024-01-20 10:00:00", 2), ("2024-02-20 10:00:00", 4)), ledger, "hash")
     assert rollup.roll_up_changed(spark, ledger, LEDGER, path, runs) is not None
     assert rollup.roll_up_changed(spark, ledger, LEDGER, path, runs) is None
-    first = {d: os.stat(f"{path}/{d}").st_mtime_ns for d in os.listdir(path) if d.startswith("date=")}
-    time.sleep(0.05)
+    days = VersionedTable(spark, path, "date")
+    first = {r.directory.split("/")[1]: r.directory for r in days._manifest(days.versions()[-1])}
+    reader = days.read()  # as of now, whatever is replaced later
     # two more payments on a day that has one, before and after the start of its bucket
     write_partitioned(entries(spark, ("2024-02-20 11:00:00", 8)), ledger, "hash", mode="append")
     since = rollup.roll_up_changed(spark, ledger, LEDGER, path, runs)
     assert "2024-01-20" < since <= "2024-02-20"
-    assert {str(r.date): r.amount for r in spark.read.parquet(path).collect()} == {"2024-01-02": 1, "2024-01-20": 2, "2024-02-20": 12}
-    again = {d: os.stat(f"{path}/{d}").st_mtime_ns for d in first}
+    assert {str(r.date): r.amount for r in days.read().collect()} == {"2024-01-02": 1, "2024-01-20": 2, "2024-02-20": 12}
+    again = {r.directory.split("/")[1]: r.directory for r in days._manifest(days.versions()[-1])}
     assert {d for d in first if first[d] != again[d]} <= {"date=2024-02-20"}
+    assert {str(r.date): r.amount for r in reader.collect()} == {"2024-01-02": 1, "2024-01-20": 2, "2024-02-20": 4}
+
+
+def test_a_merchants_days_are_replaced_at_once(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = lambda *r: spark.createDataFrame(r, "d string, merchant string, amount int").select(F.to_date("d").alias("date"), "merchant", "amount")
+    days = rollup.day_table(spark, path)
+    days.write(rollup.with_slot(rows(("2024-01-01", "a", 1), ("2024-01-02", "a", 2), ("2024-01-03", "a", 3), ("2024-01-02", "b", 4), ("2024-01-03", "a|b", 5))))
+    before = days.read()
+    rollup.load_days(rows(("2024-01-01", "a", 10), ("2024-01-02", "a", 20), ("2024-01-04", "a", 40), ("2024-01-02", "b", 9)), path, "a", "2024-01-02")
+    seen = lambda df: sorted((str(r.date), r.merchant, r.amount) for r in df.collect())
+    assert seen(days.read()) == [("2024-01-01", "a", 1), ("2024-01-02", "a", 20), ("2024-01-02", "b", 4), ("2024-01-03", "a|b", 5), ("2024-01-04", "a", 40)]
+    assert len(seen(before)) == 5 and ("2024-01-03", "a", 3) in seen(before)
 
 
 def test_a_day_that_begins_in_the_bucket_before_is_whole(spark, tmp_path):

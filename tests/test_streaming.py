@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.sources.latest import LatestTable
+from ledgerspark.sources.versions import VersionedTable
 from ledgerspark.streaming import jobs
 
 SCHEMA = "ts timestamp, kind string, id long, v long"
@@ -40,25 +41,51 @@ def test_append_over_restarts(spark, tmp_path, landing):
     assert rows_of(spark, audit, "emp_no", "name") == [("1", "a"), ("2", "b"), ("3", "c")]
 
 
-def test_rollup_over_batches_with_late_rows(spark, tmp_path, landing):
+def test_rollup_counts_late_rows_once(spark, tmp_path, landing):
+    """Rows that are days, or months, behind are in their days after the run; other days are not written again."""
     land, stream = landing
     path, at = str(tmp_path / "totals"), str(tmp_path / "checkpoint")
+    totals = VersionedTable(spark, path, "date")
 
     def run():
-        jobs.daily_rollup(stream(), "ts", ["kind"], F.col("v"), path, at, "1 day")
+        jobs.daily_rollup(stream(), "ts", ["kind"], F.col("v"), path, at)
+        return sorted(((str(r.date)[5:], r.kind, r.amount, r.payments) for r in totals.read().collect()), key=str)
 
-    land(("01 10:00:00", "a", 1, 5), ("01 11:00:00", "b", 2, 7))
+    def directories():
+        return {r.directory.split("/")[1]: r.directory for r in totals._manifest(totals.versions()[-1])}
+
+    land(("01 10:00:00", "a", 1, 5), ("01 11:00:00", "b", 2, 7), ("05 11:00:00", None, 2, 3))
     land(("01 12:00:00", "a", 3, 10))
+    assert run() == [("01-01", "a", 15, 2), ("01-01", "b", 7, 1), ("01-05", None, 3, 1)]
+    land(("30 10:00:00", "a", 4, 1))
     run()
-    assert rows_of(spark, path, "date", "kind", "amount", "payments") == [("2024-01-01", "a", "15", "2"), ("2024-01-01", "b", "7", "1")]
-    land(("09 10:00:00", "a", 4, 1))
-    run()  # the watermark is now on the 8th
-    land(("02 10:00:00", "a", 5, 100), ("08 23:00:00", "a", 6, 2), ("01 13:00:00", "a", 7, 100))
+    before = directories()
+    land(("02 10:00:00", "a", 5, 100), ("01 13:00:00", "a", 7, 100))
+    assert run() == [("01-01", "a", 115, 3), ("01-01", "b", 7, 1), ("01-02", "a", 100, 1), ("01-05", None, 3, 1), ("01-30", "a", 1, 1)]
+    after = directories()
+    assert [d for d in before if before[d] != after[d]] == ["date=2024-01-01"]
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path, landing, monkeypatch):
+    """A run fails after its batch is in the table and before the batch is committed; the next run repeats the batch."""
+    land, stream = landing
+    path, at = str(tmp_path / "totals"), str(tmp_path / "checkpoint")
+    run = lambda: jobs.daily_rollup(stream(), "ts", ["kind"], F.col("v"), path, at)
+    land(("01 10:00:00", "a", 1, 5))
+    run()
+    land(("01 11:00:00", "a", 2, 7))
+    replace = VersionedTable.replace_partitions
+
+    def fail_after(*args):
+        replace(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "replace_partitions", fail_after)
+        with pytest.raises(Exception, match="lost"):
+            run()
     run()
-    assert jobs.batches(spark, at) >= 4
-    assert rows_of(spark, path, "date", "kind", "amount") == [
-        ("2024-01-01", "a", "15"), ("2024-01-01", "b", "7"), ("2024-01-08", "a", "2"), ("2024-01-09", "a", "1"),
-    ]
+    assert [(r.amount, r.payments) for r in VersionedTable(spark, path, "date").read().collect()] == [(12, 2)]
 
 
 def latest(spark, path, keys=("kind",), columns=("kind", "id", "v")):
