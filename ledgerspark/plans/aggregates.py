@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import aggregates as agg
+from ledgerspark.operators.bitmaps import DistinctByDay
 from ledgerspark.plans.registry import query
-from ledgerspark.session import cents, table
+from ledgerspark.session import cents, new_path, table
 
 PRICE = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 
@@ -46,6 +50,25 @@ def agg_count_distinct(spark, sf):
     )
 
 
+DAY_RANGES = (("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-15", "2024-01-31"))
+
+
+@query(
+    "count_distinct_by_days",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS first, '{b}' AS last, event_type, count(DISTINCT user_id) AS users FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{a}' AND DATE '{b}' GROUP BY event_type"
+        for a, b in DAY_RANGES
+    ),
+)
+def count_distinct_by_days(spark, sf):
+    """Users per type over several ranges of days, all from bitmaps that were made once for each day."""
+    events = table(spark, sf, "events").select(F.to_date("ts").alias("date"), "event_type", "user_id")
+    kept = DistinctByDay(spark, new_path(spark, "bitmaps"), ["event_type"], "user_id")
+    kept.load(events)
+    ranges = [kept.counts(a, b, "users").select(F.lit(a).alias("first"), F.lit(b).alias("last"), "event_type", "users") for a, b in DAY_RANGES]
+    return reduce(DataFrame.unionByName, ranges)
+
+
 @query("having_duplicates", "SELECT text, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1")
 def having_duplicates(spark, sf):
     return table(spark, sf, "documents").groupBy("text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

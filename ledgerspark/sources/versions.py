@@ -128,12 +128,21 @@ class VersionedTable:
             return self.write(merge_upsert(now, source, keys, update))
         if self.part in update:
             raise ValueError(f"{self.part} names the partition and cannot be updated")
-        source = stored(source, "merge")
-        matched = now.join(source.select(*keys), list(keys), "left_semi")
-        new = source.join(now.select(*keys), list(keys), "left_anti")
-        touched = sorted({*self._touched(matched), *self._touched(new)}, key=str)
+        # each source row with the partitions that hold its key: tells matches from new rows, and what is touched
+        columns = [c for c in source.columns if c not in keys]
+        held = now.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(self.part).alias("_part"), F.lit(True).alias("_held")).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(f"source_{k}") == F.col(f"_{k}") for k in keys])
+        tagged = one_per_key(source, keys, columns, "source").join(held, same, "left")
+        tagged = stored(tagged.select(*[f"source_{k}" for k in keys], "source", "_part", "_held"), "merge")
+        place = F.when(F.col("_held"), F.col("_part")).otherwise(F.col(self.part if self.part in keys else f"source.{self.part}"))
+        touched = [r[0] for r in tagged.withColumnsRenamed({f"source_{k}": k for k in keys}).select(place).distinct().collect()]
         # a matched row lies in a touched partition, so the others need not be read again
-        return self._commit(merge_upsert(now.filter(self._inside(touched)), source, keys, update), touched)
+        here = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"source_{k}") for k in keys], F.col(self.part).eqNullSafe(F.col("_part")))
+        merged = now.filter(self._inside(touched)).join(tagged.filter("_held"), here, "left").select(
+            *[F.when(F.col("_held"), F.col(f"source.{c}")).otherwise(F.col(c)).alias(c) if c in update else c for c in now.columns]
+        )
+        new = tagged.filter("_held IS NULL").select(*[F.col(f"source_{k}").alias(k) for k in keys], *[F.col(f"source.{c}").alias(c) for c in columns])
+        return self._commit(merged.unionByName(new, allowMissingColumns=True), touched)
 
     def replace_where(self, new: DataFrame, predicate: Column) -> int:
         """``new`` in place of the rows that meet ``predicate``, a condition on the partition column, at

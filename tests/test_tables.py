@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ledgerspark.sources import files as fl
 from ledgerspark.sources import partitions as pt
-from ledgerspark.sources.jdbc import scan_jdbc, write_jdbc
+from ledgerspark.sources.jdbc import even_predicates, scan_jdbc, scan_jdbc_evenly, write_jdbc
+from ledgerspark.operators.bitmaps import DistinctByDay
 from ledgerspark.sources.versions import VersionedTable, merge_upsert
 
 
@@ -138,6 +139,67 @@ def test_jdbc_round_trip(spark):
     assert back.count() == 100 and back.rdd.getNumPartitions() == 4
 
 
+def test_even_splits_of_a_skewed_column(spark):
+    """Nearly all values in a small part of the range, nulls, dates and times; every row meets one condition."""
+    skewed = F.when(F.col("id") % 50 > 0, F.pow(F.lit(1.004), F.col("id") % 4000).cast("long")).when(F.col("id") % 100 > 0, F.lit(10**12))
+    df = spark.range(8000).select(skewed.alias("v"), F.col("id"))
+    parts = [df.filter(p).count() for p in even_predicates(df, "v", 8)]
+    assert len(parts) == 8 and sum(parts) == 8000 and max(parts) <= 2 * sorted(parts)[4]
+    uniform = [df.filter(f"v >= {i} * 125000000000 AND v < ({i} + 1) * 125000000000").count() for i in range(8)]
+    assert max(uniform) > 7000  # what equal ranges would give
+    times = spark.range(900).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.sqrt("id") * 3).cast("int")).alias("d"), F.timestamp_seconds(F.col("id") * 997).cast("timestamp_ntz").alias("t"))
+    for column in ("d", "t"):
+        parts = [times.filter(p).count() for p in even_predicates(times, column, 4)]
+        assert sum(parts) == 900 and max(parts) < 300
+    one = spark.createDataFrame([(5,)] * 9 + [(None,)], "v int")
+    assert [one.filter(p).count() for p in even_predicates(one, "v", 4)] == [1, 9]
+    assert even_predicates(one.limit(0), "v", 4) == even_predicates(one, "v", 1) == ["1 = 1"]
+
+
+def test_jdbc_in_even_parts(spark):
+    url = "jdbc:derby:memory:ledgereven;create=true"
+    write_jdbc(spark.range(300).select("id", (F.col("id") * F.col("id") * F.col("id")).alias("v")), url, "cubes")
+    back = scan_jdbc_evenly(spark, url, "cubes", '"v"', splits=5, sampled='MOD("id", 3) = 0')
+    sizes = [r.n for r in back.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 300 and len(sizes) == 5 and max(sizes) < 70
+
+
+def test_distinct_counts_from_bitmaps_of_days(spark, tmp_path):
+    """Any range of days, values below zero and far apart, nulls, repeated rows, and a day that is loaded again."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(f"2024-01-{rng.randrange(1, 10):02}", rng.choice(["a", "b", None]), rng.choice([None, -5, 0, 1, 32768, 32769, 10**12, rng.randrange(200)])) for _ in range(800)]
+    frame = lambda r: spark.createDataFrame(r, "d string, k string, v long").select(F.to_date("d").alias("date"), "k", "v")
+    kept = DistinctByDay(spark, str(tmp_path / "b"), ["k"], "v")
+    kept.load(frame(rows))
+    again = [("2024-01-03", "a", 77), ("2024-01-03", "a", 77), ("2024-01-03", "c", None)]
+    kept.load(frame(again))
+    rows = [r for r in rows if r[0] != "2024-01-03"] + again
+    for first, last in (("2024-01-01", "2024-01-09"), ("2024-01-03", "2024-01-03"), ("2024-01-02", "2024-01-05"), ("2025-01-01", "2025-01-02")):
+        want = {}
+        for d, k, v in rows:
+            if first <= d <= last and v is not None:
+                want.setdefault(k, set()).add(v)
+        assert {r.k: r.n for r in kept.counts(first, last).collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_merge_by_partition_in_one_join(spark, tmp_path):
+    """Repeated target keys over several partitions, null keys on both sides, keys of several columns, new columns, and repeated source keys."""
+    schema = "a int, b int, v string, p string"
+    t = VersionedTable(spark, str(tmp_path / "v"), part="p")
+    t.write(spark.createDataFrame([(1, 1, "x", "m"), (1, 1, "y", "n"), (1, 1, "z", "n"), (2, None, "q", "m"), (3, 3, "r", "o")], schema))
+    source = spark.createDataFrame([(1, 1, "new", "k"), (2, None, "null", "m"), (4, 4, "four", None)], schema)
+    t.merge(source, ["a", "b"], ["v"])
+    assert rows_of(t.read()) == sorted(
+        [(1, 1, "new", "m"), (1, 1, "new", "n"), (1, 1, "new", "n"), (2, None, "q", "m"), (2, None, "null", "m"), (3, 3, "r", "o"), (4, 4, "four", None)], key=str
+    )
+    untouched = {r.directory for r in t._manifest(1) if r.directory.endswith("p=o")}
+    assert untouched == {"table_version=0/p=o"}
+    with pytest.raises(Exception, match="not unique"):
+        t.merge(source.union(source), ["a", "b"], ["v"])
+
+
 def test_file_listings(spark, tmp_path):
     path = str(tmp_path / "t")
     fl.write_partitioned(spark.createDataFrame([(1, 9), (2, 10), (3, None)], "id int, hash int"), path, "hash")
