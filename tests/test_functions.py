@@ -226,6 +226,33 @@ def test_link_frontier(spark):
     assert sorted((r.node, r["round"]) for r in out.collect()) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
 
 
+def test_link_rounds_read_the_buckets_they_touch(spark, monkeypatch):
+    """A short chain in a large graph: links of buckets that no round is in cannot be read."""
+    import glob
+
+    from ledgerspark.operators import links as ln
+
+    chain = [(i, i + 1) for i in range(6)] + [(6, None), (None, 3)]
+    others = spark.range(10**6, 10**6 + 20000).selectExpr("id AS src", "id + 1 AS dst")
+    graph = spark.createDataFrame(chain, "src long, dst long").unionAll(others)
+    near = {r.b for r in spark.range(7).select(F.pmod(F.xxhash64("id"), F.lit(64)).cast("int").alias("b")).collect()}
+    write = ln.write_links
+
+    def spoiled(*args):
+        edges = write(*args)
+        files = [f for f in glob.glob(f"{args[1]}/bucket=*/*.parquet") if int(f.split("bucket=")[1].split("/")[0]) not in near]
+        for f in files:
+            open(f, "wb").write(b"no parquet file")
+        assert len(files) > 40
+        return edges
+
+    monkeypatch.setattr(ln, "write_links", spoiled)
+    seeds = spark.createDataFrame([(0,), (0,), (None,)], "node long")
+    out = ln.link_frontier(graph, seeds, buckets=64)
+    assert sorted((r.node, r["round"]) for r in out.collect()) == [(i, i) for i in range(7)]
+    assert ln.link_frontier(graph, seeds.filter("node > 5"), buckets=64).count() == 0
+
+
 def test_greedy(spark):
     day = lambda n: dt.date(2020, 1, n)
     rows = [("k", day(s), day(e)) for s, e in ((1, 2), (2, 4), (1, 3))] + [("j", day(1), day(2))] * 3
