@@ -42,7 +42,7 @@ def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str,
     end outside, each in one task; the ends where ranges are entered are then joined to where they lead, twice as
     far in each round. No key is ever held in one place.
     """
-    spans = df.select(*keys, _position(df, start).alias("_s"), _position(df, end).alias("_e"))
+    spans = stored(df.select(*keys, _position(df, start).alias("_s"), _position(df, end).alias("_e")), "spans")
     latest = F.max(F.expr("IF(_s < _e, _s, NULL)")).alias("_s")
     ends = spans.filter("_s <= _e").groupBy(*keys, "_e").agg(latest, F.count_if(F.col("_s") == F.col("_e")).alias("_z"))
     ends = stored(ends, "ends")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Rows of a chunk, and sampled positions for each chunk.
-CHUNK_ROWS, SAMPLES = 1 << 16, 32
+CHUNK_ROWS, SAMPLES = 1 << 20, 32
 
 
 @dataclass(frozen=True)
@@ -143,16 +143,16 @@ class Previous:
         return merged["v"]
 
 
-def chunk_bounds(df: DataFrame, columns: Sequence[str], chunks: int | None = None) -> list[tuple]:
+def chunk_bounds(df: DataFrame, columns: Sequence[str], chunks: int | None = None, chunk_rows: int = CHUNK_ROWS) -> list[tuple]:
     """Upper bounds of all chunks but the last, ascending: SAMPLES positions a chunk are sampled and sorted.
 
-    By default CHUNK_ROWS rows make a chunk, and there are no more chunks than shuffle partitions.
+    By default ``chunk_rows`` rows make a chunk, and there are no more chunks than shuffle partitions.
     """
     if chunks == 1:
         return []
     n = df.count()
     if chunks is None:
-        chunks = min(-(-n // CHUNK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        chunks = min(-(-n // chunk_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if chunks < 2 or not n:
         return []
     share = min(1.0, SAMPLES * chunks / n)
@@ -178,9 +178,11 @@ def chunk_number(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple])
     return search(0, len(bounds))
 
 
-def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None, **ops) -> DataFrame:
-    """``df`` plus one column per running value in ``ops``, all in one pass; ``chunks`` as in ``chunk_bounds``."""
-    bounds = chunk_bounds(df, [*keys, *order], chunks)
+def with_running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, chunks: int | None = None, chunk_rows: int = CHUNK_ROWS, **ops
+) -> DataFrame:
+    """``df`` plus one column per running value in ``ops``, all in one pass; ``chunks`` and ``chunk_rows`` as in ``chunk_bounds``."""
+    bounds = chunk_bounds(df, [*keys, *order], chunks, chunk_rows)
     if not bounds:
         w = Window.partitionBy(*keys).orderBy(*order)
         local = df.withColumns({f"_local_{n}": op.local(w) for n, op in ops.items()})
