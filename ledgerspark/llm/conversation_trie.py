@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import SPLIT_ROWS
 from ledgerspark.operators.ordered import RowNumber, with_running
 from ledgerspark.session import stored
 
@@ -162,7 +163,7 @@ def turn_rows(convs: DataFrame, conv: str, turn: str, role: str, text: str) -> D
         _short(F.concat(F.length(r).cast("string"), F.lit(":"), r, t)).alias("id"),
         F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint").alias("words"),
     )
-    return with_running(rows, ["c"], ["turn", "id"], nth=RowNumber())
+    return with_running(rows, ["c"], ["turn", "id"], chunk_rows=SPLIT_ROWS, nth=RowNumber())
 
 
 def rebuilt(turns: DataFrame, block: int = 20, kinds: int = 4) -> tuple[DataFrame, DataFrame]:

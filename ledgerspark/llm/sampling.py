@@ -1,10 +1,13 @@
-"""Bounded samples that do not depend on partitions."""
+"""Bounded samples that do not depend on partitions, and the size of ranges."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a range whose running values are one task's.
+SPLIT_ROWS = 1 << 16
+
 
 def least_hashed(df: DataFrame, order: str, rows: int, n: int, *ties: str) -> DataFrame:
     """The ``n`` of ``rows`` rows with the least 64-bit hash in column ``order``.

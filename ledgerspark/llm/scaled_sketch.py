@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import SPLIT_ROWS
 from ledgerspark.operators.ordered import Previous, with_running
 from ledgerspark.session import stored
 
@@ -111,7 +112,7 @@ def next_texts(rows: DataFrame, text: str) -> DataFrame:
     Neighbours are found over ids and lengths only; of the texts, the quarters travel.
     """
     names = stored(rows.select(*_NAME, F.length(text).alias("_n")).distinct().withColumn("_me", F.struct(*_NAME, "_n")), "names")
-    linked = with_running(names, [], _NAME, _before=Previous("_me"))
+    linked = with_running(names, [], _NAME, chunk_rows=SPLIT_ROWS, _before=Previous("_me"))
     last = linked.agg(F.max("_me").alias("m")).select("m.*").first()
     wrap = F.struct(*[F.lit(v).cast(linked.schema["_me"].dataType[n].dataType).alias(n) for n, v in last.asDict().items()])
     linked = linked.select(*_NAME, F.coalesce("_before", wrap).alias("_before"))

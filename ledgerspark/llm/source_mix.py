@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.llm.sampling import SPLIT_ROWS
 from ledgerspark.operators.ordered import RowNumber, RunningSum, with_running
 from ledgerspark.session import stored
 
@@ -40,10 +41,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
     ascending order of size per weight the sources that stop come first, so one running sum finds them.
     """
     n = len(weights)
-    ranked = with_running(sizes.withColumn("_null", F.col("source").isNull()), [], ["_null", "source"], source_no=RowNumber())
+    ranked = with_running(sizes.withColumn("_null", F.col("source").isNull()), [], ["_null", "source"], chunk_rows=SPLIT_ROWS, source_no=RowNumber())
     weighed = ranked.withColumn("weight", F.get(F.lit(list(weights)), ((F.col("source_no") - 1) % n).cast("int")).cast("bigint"))
     weighed = weighed.withColumn("_ratio", F.col("size") / F.col("weight"))
-    run = with_running(weighed, [], ["_ratio", "source_no"], _s=RunningSum("size"), _w=RunningSum("weight"))
+    run = with_running(weighed, [], ["_ratio", "source_no"], chunk_rows=SPLIT_ROWS, _s=RunningSum("size"), _w=RunningSum("weight"))
     total, weight = run.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
     left = F.lit(total) - most * (F.col("_s") - F.col("size"))  # before this source takes its part
     stops = most * F.col("_ratio") * (F.lit(weight) - F.col("_w") + F.col("weight")) < left
@@ -70,7 +71,7 @@ def schedule(shares: DataFrame, slots: int, sequence: Callable[[Column], Column]
     """``shares`` (source_no, words) -> slot (from 1), source_no and rank of the slot within its source: slot i goes to
     the source whose part of the words, one after the other, holds point i of the sequence."""
     spark = shares.sparkSession
-    laid = stored(with_running(shares.filter("words > 0"), [], ["source_no"], _hi=RunningSum("words")), "shares")
+    laid = stored(with_running(shares.filter("words > 0"), [], ["source_no"], chunk_rows=SPLIT_ROWS, _hi=RunningSum("words")), "shares")
     total = laid.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     width = max(1, -(-total // CELLS))
     spans = laid.withColumn("_lo", F.col("_hi") - F.col("words")).select(
@@ -79,7 +80,7 @@ def schedule(shares: DataFrame, slots: int, sequence: Callable[[Column], Column]
     at = F.least(F.floor(sequence(F.col("slot")) * total), F.lit(total - 1))
     points = spark.range(1, (slots if total else 0) + 1).select(F.col("id").alias("slot")).withColumn("_at", at)
     met = points.withColumn("_cell", F.floor(F.col("_at") / width)).join(spans, "_cell").filter("_at >= _lo AND _at < _hi")
-    return with_running(stored(met.select("slot", "source_no"), "slots"), ["source_no"], ["slot"], rank=RowNumber())
+    return with_running(stored(met.select("slot", "source_no"), "slots"), ["source_no"], ["slot"], chunk_rows=SPLIT_ROWS, rank=RowNumber())
 
 
 def _placed(
@@ -93,7 +94,7 @@ def _placed(
         F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_shuffle"), F.xxhash64(F.col(text)).alias("digest"),
     )
     rows = stored(rows, "sizes")
-    placed = with_running(rows, ["source"], order, _end=RunningSum("size"))
+    placed = with_running(rows, ["source"], order, chunk_rows=SPLIT_ROWS, _end=RunningSum("size"))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
     quota = stored(source_targets(sizes, weights), "quota")
     total = quota.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()

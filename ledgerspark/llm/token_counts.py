@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import bpe
+from ledgerspark.llm.sampling import SPLIT_ROWS
 from ledgerspark.operators.ordered import RunningMax, RunningSum, with_running
 from ledgerspark.session import new_path, stored
 
@@ -131,7 +132,7 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, dtype: str = DTY
         "file", "offset", "size", F.transform("at", lambda x: x + F.col("offset")).alias("at")
     ).withColumns({"_n": F.size("at").cast("bigint"), "_last": F.try_element_at("at", F.lit(-1))})
     searched = stored(searched, "searched")  # one pass over the tokens, whatever is then asked of the separators
-    scanned = with_running(searched, ["file"], ["offset"], chunks=chunks, _ended=RunningSum("_n"), _before=EarlierMax("_last"))
+    scanned = with_running(searched, ["file"], ["offset"], chunks=chunks, chunk_rows=SPLIT_ROWS, _ended=RunningSum("_n"), _before=EarlierMax("_last"))
     first = F.coalesce("_before", F.lit(-1).cast("bigint")) + 1
     starts = F.transform("at", lambda x, i: F.when(i == 0, first).otherwise(F.get("at", i - 1) + 1))
     closed = scanned.select("file", "offset", "_ended", "_n", F.posexplode(F.arrays_zip("at", starts.alias("start"))).alias("nth", "_d"))
