@@ -242,7 +242,7 @@ def links(
     proposed: DataFrame | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """``points`` (fp, row, n, sig) -> stars (hi, lo) of the components of alike sets. Pairs ``proposed`` (a, b) by
-    other means are confirmed like the lists' own."""
+    other means are confirmed on the sets, whatever their collisions."""
     lists = stored(posting_lists(points), "lists")
     wanted = lists.select("fp")
     if proposed is not None:
@@ -252,8 +252,9 @@ def links(
     fame = lists.groupBy("fp").agg(F.sum("met").alias("fame"))
     hubs = lists.join(fame, "fp").groupBy("token").agg(F.max(F.struct("fame", "fp")).alias("hub"))
     first = lists.join(hubs, "token").filter("hub.fp <> fp").select(F.col("hub.fp").alias("a"), F.col("fp").alias("b"))
-    first = (first if proposed is None else first.unionByName(proposed)).distinct()
-    stars = components(_confirmed(stored(_agreeing(first, members), "pairs"), sets).distinct())
+    first = _agreeing(first.distinct(), members)
+    first = first if proposed is None else first.unionByName(proposed).distinct()
+    stars = components(_confirmed(stored(first, "pairs"), sets).distinct())
     root = stars.select(F.col("hi").alias("fp"), F.col("lo").alias("root"))
     rooted = stored(members.join(root, "fp", "left").select("fp", "n", "sig", F.coalesce("root", "fp").alias("root")), "rooted")
     rows = stored(lists.select("token", "met", "fp").join(rooted.select("fp", "root"), "fp"), "rows")

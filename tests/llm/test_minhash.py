@@ -129,3 +129,17 @@ def test_components_of_binary_names(spark):
     edges = [(bytes([i + 1]), bytes([i])) for i in range(20)]
     stars = components(spark.createDataFrame(edges, "hi binary, lo binary")).collect()
     assert sorted((bytes(r.hi), bytes(r.lo)) for r in stars) == [(bytes([i]), b"\0") for i in range(1, 21)]
+
+
+def test_proposed_pairs_are_confirmed_whatever_their_collisions(spark, monkeypatch):
+    monkeypatch.setattr(md, "MATCHES", md.COORDINATES + 1)  # the lists propose nothing
+    words = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:-1] + ["x"])), (2, " ".join(words[:20]))]
+
+    def every(points):
+        a, b = points.select(md.F.col("fp").alias("a")), points.select(md.F.col("fp").alias("b"))
+        return a.join(b, md.F.col("a") < md.F.col("b"))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(md.near_duplicates(docs, propose=every)) == Counter(slow_rows(rows))
+    assert {r.component_id for r in md.near_duplicates(docs).collect()} == {0, 1, 2}
