@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.sampling import least_hashed
+from ledgerspark.session import stored
 
 _RUN = "A-Za-z0-9+/_-"
 #: A private key block; a run of 16 or more key characters with a digit; or 8 or more characters after = or :.
@@ -142,7 +143,8 @@ def labelled_findings(spark: SparkSession, prose: list[str], rows: int = 4800, s
         return F.sha2(F.concat(F.lit(f"{seed}-{salt}-"), i.cast("string")), 256)
 
     def pick(options: list[str], salt: str) -> Column:
-        return F.get(F.lit(options), F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(len(options))).cast("int"))
+        # one literal, as thousands of them are what the driver's memory goes to
+        return F.get(F.split(F.lit("\n".join(options)), "\n"), F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(len(options))).cast("int"))
 
     def base64(n: int, salt: str = "b") -> Column:
         return F.substring(F.base64(F.unhex(F.concat(digest(salt), digest(salt + "2")))), 1, n)
@@ -211,7 +213,8 @@ def train(findings: DataFrame, trees: int = 40, depth: int = 9, seed: int = 11)
         labelCol="label", featuresCol="_features", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_class",
         numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt",
     )
-    rows = with_features(findings.select("candidate", "before", "after", "label"))
+    # written once: the forest reads them again and again, and each time the driver would plan all features
+    rows = stored(with_features(findings.select("candidate", "before", "after", "label")), "findings")
     return Steps(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="_features"), forest]).fit(rows)
 
 

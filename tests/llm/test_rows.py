@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from ledgerspark.llm import bpe, license_scan, quality_cnn, quality_rules, queries, token_counts, url_filter
+from ledgerspark.llm import bpe, license_scan, quality_cnn, quality_rules, queries, secret_scan, token_counts, url_filter
 from tests.llm.conftest import LONG, TEXTS
 from tests.oracle import compare, connect
 
@@ -309,3 +309,9 @@ def test_urls(spark, nothing):
     assert got == {"http://q.com/abc": "block", "http://q.com/a": "allow", "http://x.org": "block"}
     assert url_filter.judge_urls(pages, rules.limit(0)).filter("rule IS NOT NULL").count() == 0
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
+
+
+def test_findings_are_planned_without_a_literal_for_each_word(spark):
+    prose = [f"word{i}" for i in range(400)]
+    plan = secret_scan.labelled_findings(spark, prose)._jdf.queryExecution().logical().toJSON()
+    assert plan.count("expressions.Literal") < 4 * len(prose)
