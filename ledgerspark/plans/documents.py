@@ -10,7 +10,7 @@ from ledgerspark.operators import forms, greedy
 from ledgerspark.operators.links import link_frontier
 from ledgerspark.operators.patches import filter_patches
 from ledgerspark.plans.registry import query
-from ledgerspark.session import cents, table
+from ledgerspark.session import cents, spread, table
 from ledgerspark.sources.files import local_rows_to_table
 
 
@@ -198,13 +198,18 @@ def order_page():
     )
 
 
+def order_pages(spark, sf):
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return spread(rows).select("o_orderkey", order_page().alias("html"))
+
+
 @query(
     "html_table_rows",
     """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS row_key, CAST(o_orderkey AS VARCHAR) AS no,
          CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS amount, 'A&' || o_orderpriority AS status FROM orders""",
 )
 def html_table_rows(spark, sf):
-    pages = table(spark, sf, "orders").select("o_orderkey", order_page().alias("html"))
+    pages = order_pages(spark, sf)
     rows = h.html_table_rows(pages, "html", "o_orderkey")
     cell = {"no": "订单号", "amount": "金额", "status": "状态"}
     return rows.select("o_orderkey", "row_key", *[h.inner_text(F.col("cells")[c]).alias(n) for n, c in cell.items()])
@@ -215,7 +220,7 @@ def html_table_rows(spark, sf):
     "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS flag FROM orders",
 )
 def html_switch_flags(spark, sf):
-    pages = table(spark, sf, "orders").select("o_orderkey", order_page().alias("html"))
+    pages = order_pages(spark, sf)
     return h.html_table_rows(pages, "html", "o_orderkey").select("o_orderkey", h.switch_flag(F.col("cells")["开关"]).alias("flag"))
 
 

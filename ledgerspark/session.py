@@ -78,6 +78,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly, for costly work on rows that a file holds in a few large row groups."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def cents(amount: Column) -> Column:
     """Double money amount to whole cents."""
     return F.round(amount * 100).cast("bigint")
