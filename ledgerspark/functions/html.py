@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,12 @@ HOST = r"^((?:https?://)?[^/\s]*)"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 ELEMENT = "struct<html: string, text: string, attributes: map<string,string>>"
+#: Pages whose elements are Python objects at a time, which bounds the memory of a batch.
+PART = 128
+
+_STRING = pa.string()
+_ELEMENT = pa.struct({"html": _STRING, "text": _STRING, "attributes": pa.map_(_STRING, _STRING)})
+_TABLE = pa.struct({"heads": pa.list_(_STRING), "rows": pa.list_(pa.struct({"row_key": _STRING, "cells": pa.list_(_STRING)}))})
 TABLE = "struct<heads: array<string>, rows: array<struct<row_key: string, cells: array<string>>>>"
 
 
@@ -54,19 +62,41 @@ def select(html: Column, **selectors: str) -> Column:
     """
     steps = {name: compiled(s) for name, s in selectors.items()}
 
-    @F.pandas_udf(", ".join(f"{name} array<{ELEMENT}>" for name in selectors))
-    def run(pages: pd.Series) -> pd.DataFrame:
-        rows = []
-        for page in pages:
-            tree = Tree(page) if page is not None else None
-            rows.append([[_shown(page, e) for e in find(tree, s)] if tree else None for s in steps.values()])
-        return pd.DataFrame(rows, columns=list(selectors))
+    kind = pa.struct({name: pa.list_(_ELEMENT) for name in selectors})
+
+    def read(page: str | None) -> dict:
+        tree = Tree(page) if page is not None else None
+        return {name: [_shown(page, e) for e in find(tree, s)] if tree else None for name, s in steps.items()}
+
+    @F.arrow_udf(", ".join(f"{name} array<{ELEMENT}>" for name in selectors))
+    def run(pages: pa.Array) -> pa.Array:
+        return _in_parts(pages, read, kind)
+
+    return run(html)
+
+
+def attribute_values(html: Column, selector: str, name: str) -> Column:
+    """The attribute ``name`` of each element that a selector finds, in page order; nothing else of a page is kept."""
+    steps = compiled(selector)
+
+    def read(page: str | None) -> list | None:
+        return [e.attributes.get(name) for e in find(Tree(page), steps)] if page is not None else None
+
+    @F.arrow_udf("array<string>")
+    def run(pages: pa.Array) -> pa.Array:
+        return _in_parts(pages, read, pa.list_(_STRING))
 
     return run(html)
 
 
+def _in_parts(pages: pa.Array, read: Callable[[str | None], object], kind: pa.DataType) -> pa.Array:
+    """``read`` of every page, turned into Arrow a few pages at a time."""
+    parts = [pages.slice(at, PART) for at in range(0, len(pages), PART)] or [pages]
+    return pa.concat_arrays([pa.array([read(p.as_py()) for p in part], kind) for part in parts])
+
+
 def _shown(page: str, e: Element) -> dict:
-    return {"html": page[e.start : e.stop], "text": e.text(), "attributes": e.attributes}
+    return {"html": page[e.start : e.stop], "text": e.text(), "attributes": list(e.attributes.items())}
 
 
 def texts(elements: Column) -> Column:
@@ -84,20 +114,20 @@ def _hidden(e: Element) -> bool:
     return "display:none" in e.attributes.get("style", "").replace(" ", "").lower()
 
 
-def _tables(pages: pd.Series) -> pd.DataFrame:
-    rows = []
-    for page in pages:
-        tree = Tree(page) if page is not None else None
-        table = next((e for e in tree.elements if e.tag == "table" and e.children("thead")), None) if tree else None
-        if table is None:
-            rows.append((None, None))
-            continue
-        first = next(iter(table.children("thead")[0].children("tr")), None)
-        heads = [e.text() for e in first.children("td", "th") if not _hidden(e)] if first else []
-        found = [r for body in table.children("tbody")[:1] for r in body.children("tr")]
-        cells = [{"row_key": r.attributes.get("data-key"), "cells": [page[c.start : c.stop] for c in r.children("td")]} for r in found]
-        rows.append((heads, cells))
-    return pd.DataFrame(rows, columns=["heads", "rows"])
+def _table(page: str | None) -> dict:
+    tree = Tree(page) if page is not None else None
+    table = next((e for e in tree.elements if e.tag == "table" and e.children("thead")), None) if tree else None
+    if table is None:
+        return {"heads": None, "rows": None}
+    first = next(iter(table.children("thead")[0].children("tr")), None)
+    heads = [e.text() for e in first.children("td", "th") if not _hidden(e)] if first else []
+    found = [r for body in table.children("tbody")[:1] for r in body.children("tr")]
+    rows = [{"row_key": r.attributes.get("data-key"), "cells": [page[c.start : c.stop] for c in r.children("td")]} for r in found]
+    return {"heads": heads, "rows": rows}
+
+
+def _tables(pages: pa.Array) -> pa.Array:
+    return _in_parts(pages, _table, _TABLE)
 
 
 def html_table_rows(pages: DataFrame, html: str, *keep: str) -> DataFrame:
@@ -109,7 +139,7 @@ def html_table_rows(pages: DataFrame, html: str, *keep: str) -> DataFrame:
 
     All pages are read by structure, in one way: names in any case, quoted attributes, comments and missing end tags.
     """
-    read = pages.select(*keep, F.pandas_udf(_tables, TABLE)(F.col(html)).alias("_t"))
+    read = pages.select(*keep, F.arrow_udf(_tables, TABLE)(F.col(html)).alias("_t"))
     names = F.transform("_t.heads", lambda t: F.regexp_replace(t, UNIT_SUFFIX, ""))
     rows = read.select(*keep, names.alias("_names"), F.explode("_t.rows").alias("_row"))
     checked = F.when(F.size("_row.cells") == F.size("_names"), F.map_from_arrays("_names", "_row.cells")).otherwise(
@@ -132,9 +162,9 @@ def host(url: Column) -> Column:
 def html_links(pages: DataFrame, url: str, html: str) -> DataFrame:
     """Distinct links (src, dst) of pages to their own host; relative ones are made absolute and a
     trailing slash is dropped. Links within comments do not count."""
-    anchors = F.explode(select(F.col(html), a="a[href]")["a"])
-    found = pages.select(F.col(url).alias("src"), host(F.col(url)).alias("_host"), anchors.alias("_a"))
-    to = F.trim(F.col("_a.attributes")["href"])
+    hrefs = F.explode(attribute_values(F.col(html), "a[href]", "href"))
+    found = pages.select(F.col(url).alias("src"), host(F.col(url)).alias("_host"), hrefs.alias("_href"))
+    to = F.trim("_href")
     absolute = (
         F.when(to.startswith("http"), to)
         .when(to.startswith("/"), F.concat("_host", to))

@@ -2,10 +2,13 @@
 
 import datetime as dt
 import json
+import weakref
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from ledgerspark.functions import documents as doc
 from ledgerspark.functions import html as h
 from ledgerspark.functions import scalars as sc
@@ -425,3 +428,28 @@ def test_lists_only_from_small_domains(spark):
     assert agg.groups_without(df, "k", F.lit(False), "v", most=50).count() == 3
     with pytest.raises(Exception, match="more than 49 values"):
         agg.groups_without(df, "k", F.lit(False), "v", most=49).collect()
+
+
+def test_pages_of_one_row_group_are_parsed_in_several_tasks(spark):
+    for name in ("html_switch_flags", "html_table_rows"):
+        rows = entry.queries()[name](spark, "/root/testdata/sf0.001")
+        assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_pages_become_arrow_a_few_at_a_time():
+    class Row(dict):
+        __hash__ = object.__hash__
+
+    alive, most = weakref.WeakSet(), 0
+
+    def read(page):
+        nonlocal most
+        row = Row(a=page)
+        alive.add(row)
+        most = max(most, len(alive))
+        return row
+
+    pages = pa.array([None, *map(str, range(5 * h.PART))])
+    assert h._in_parts(pages, read, pa.struct({"a": pa.string()})).field("a").to_pylist() == pages.to_pylist()
+    assert most <= 2 * h.PART
+    assert len(h._in_parts(pages[:0], read, pa.struct({"a": pa.string()}))) == 0
