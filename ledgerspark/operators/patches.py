@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.documents import bound, json_fields, json_object
+from ledgerspark.session import stored
 
 
 def _beginnings(path: Column) -> Column:
@@ -68,7 +69,8 @@ def filter_patches(docs: DataFrame, keys: Sequence[str], patch: str, retained: D
     known, is_object = F.col("_open").isNotNull(), _is_object(F.col("_value"))
     refused = F.raise_error(F.concat(F.lit("patch operation is not supported: "), "_op")).cast("boolean")
     pruned = F.when(F.col("_op") == "remove", F.lit(False)).when(~F.col("_op").isin("add", "replace"), refused).otherwise(known & is_object)
-    judged = judged.withColumn("_pruned", pruned)
+    # read twice below, and the JSON of an entry is read for it
+    judged = stored(judged.withColumn("_pruned", pruned), "judged")
 
     none = F.array().cast("array<string>")
     opened = judged.filter("_pruned").select(

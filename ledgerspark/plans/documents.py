@@ -53,7 +53,8 @@ def json_set_field(spark, sf):
 )
 def patch_filter(spark, sf):
     retained = spark.createDataFrame([("/who/rate",), ("/who/id",)], "path string")
-    patches = table(spark, sf, "events").select("event_id", doc.json_to_patch(event_document()).alias("patch"))
+    events = spread(table(spark, sf, "events").select("event_id", "event_type", "user_id"))
+    patches = events.select("event_id", doc.json_to_patch(event_document()).alias("patch"))
     return filter_patches(patches, ["event_id"], "patch", retained)
 
 

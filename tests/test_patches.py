@@ -104,3 +104,12 @@ def test_the_plan_does_not_grow_with_the_paths(spark, tmp_path):
         sizes.append(len(out._jdf.queryExecution().optimizedPlan().treeString().splitlines()))
         assert json.loads(out.first().kept) == [{"op": "add", "path": "", "value": {"k7": {"x1": 1}}}]
     assert sizes[0] == sizes[1]
+
+
+def test_patches_of_one_row_group_are_read_in_several_tasks(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from ledgerspark.plans import documents
+
+    monkeypatch.setattr(documents, "filter_patches", lambda patches, *rest: patches)
+    read = entry.queries()["patch_filter"](spark, "/root/testdata/sf0.001")
+    assert read.groupBy(F.spark_partition_id()).count().count() > 1
