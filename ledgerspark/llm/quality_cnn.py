@@ -25,6 +25,8 @@ WIDTH, FILTERS, BLOCK = 4, 8, 256
 SLAB, STEP = 1 << 22, 1 << 15
 #: Bound of the training sample: labelled documents of each class.
 TRAIN_PER_CLASS = 1000
+#: Rows that are kept or dropped at a time.
+PART = 256
 THRESHOLD = 0.3
 
 
@@ -237,16 +239,18 @@ def kept(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
     Rows are judged where they are, without a shuffle. Nulls and a missing network count as in ``score``.
     """
     packed, at = net.pack() if net else None, docs.columns.index(text)
+    return docs.mapInArrow(lambda batches: _kept(batches, Network.unpack(packed) if packed else None, at), docs.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network.unpack(packed) if packed else None
-        tables = _tables(net.taps) if net else None
-        for batch in batches:
-            if net:
-                batch = batch.filter(pa.array(score_texts(net, [_bytes(t.as_py()) for t in batch.column(at)], tables) >= THRESHOLD))
-            yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+def _kept(batches: Iterator[pa.RecordBatch], net: Network | None, at: int) -> Iterator[pa.RecordBatch]:
+    """What ``net`` keeps, judged and given back PART rows at a time, which bounds what whole texts take besides their batch."""
+    tables = _tables(net.taps) if net else None
+    for batch in batches:
+        for start in range(0, batch.num_rows, PART):
+            part = batch.slice(start, PART)
+            if net:
+                part = part.filter(pa.array(score_texts(net, [_bytes(t.as_py()) for t in part.column(at)], tables) >= THRESHOLD))
+            yield part
 
 
 def score(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -327,17 +327,27 @@ def first_of_groups(docs: DataFrame, near: DataFrame, key: str = "doc_id", text:
     """``docs``, all columns, with one row of each group of ``near`` (key, digest, group): the smallest key's, null keys last.
 
     A representative is named by key and text hash, so rows that share a key but not the text are
-    told apart; of rows that share both, the first by a hash of the other columns stays.
+    told apart; of rows that share both, the first by a hash of the other columns stays. Only those are sorted: the
+    other rows are looked up in the names, as rows hold whole texts.
     """
-    first = near.groupBy("group").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "digest")).alias("r"))
+    named = near.select("group", F.col(key).isNull().alias("none"), F.col(key).alias("id"), "digest")
+    counted = named.groupBy("group", "none", "id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("group").agg(F.min(F.struct("none", "id", "digest", "n")).alias("r"))
     kind = docs.schema[key].dataType
-    chosen = first.select(
-        F.col("r.none").alias("_c0"), F.coalesce("r.id", F.lit(0).cast(kind)).alias("_c1"), F.col("r.digest").alias("_c2")
-    )
+    chosen = stored(
+        first.select(
+            F.col("r.none").alias("_c0"), F.coalesce("r.id", F.lit(0).cast(kind)).alias("_c1"), F.col("r.digest").alias("_c2"), F.col("r.n").alias("_n")
+        ),
+        "chosen",
+    )
     row = docs.select(
         F.col(key).isNull().alias("_n0"), F.coalesce(F.col(key), F.lit(0).cast(kind)).alias("_n1"), F.xxhash64(text).alias("_n2"),
         F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
     )
-    met = row.join(chosen, [F.col(f"_n{i}") == F.col(f"_c{i}") for i in range(3)], "left_semi")
+
+    def met(names: DataFrame) -> DataFrame:
+        return row.join(names.hint("shuffle_hash"), [F.col(f"_n{i}") == F.col(f"_c{i}") for i in range(3)], "left_semi")
+
     copies = Window.partitionBy("_n0", "_n1", "_n2").orderBy(F.xxhash64("_row"))
-    return met.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").select("_row.*")
+    one = met(chosen.filter("_n > 1")).withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    return met(chosen.filter("_n = 1")).select("_row.*").unionAll(one.select("_row.*"))

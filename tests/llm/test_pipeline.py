@@ -4,12 +4,13 @@ from collections import Counter, defaultdict
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerspark.llm import quality_cnn, source_mix
+from ledgerspark.llm import quality_cnn, simhash_dedup, source_mix
 from ledgerspark.session import table
 from tests.llm.test_groups import slow_targets
 from tests.llm.test_minhash import slow_rows
@@ -99,3 +100,23 @@ def test_stages_hostile(spark, hostile, nothing):
     assert Counter(kept) == Counter(slow_kept([(r.doc_id, r.text) for r in hostile.collect()]))
     mixed = source_mix.mixed_rows(hostile)
     assert mixed.columns == hostile.columns and mixed.filter("text IS NULL OR trim(text) = ''").count() == 0
+
+
+def test_representatives_are_looked_up_unsorted(spark):
+    """Rows hold whole texts: only those with a copy of key and text are sorted, for their first."""
+    rows = [(1, "a", 5), (1, "a", 3), (1, "b", 1), (2, "a", 2), (3, "c", 1), (None, "d", 1), (None, "d", 1)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, n int")
+    near = docs.selectExpr("doc_id", "xxhash64(text) AS digest", "text AS `group`")
+    out = simhash_dedup.first_of_groups(docs, near)
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == 4 and Counter(t for _, t, _ in got) == Counter("abcd") and not set(got) - set(rows)
+    assert (1, "a", 5) in got or (1, "a", 3) in got
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_classifier_takes_a_few_rows_at_a_time():
+    batch = pa.record_batch({"doc_id": list(range(1000)), "text": ["some text"] * 1000})
+    for net in (None, quality_cnn.Network.start(1)):
+        parts = list(quality_cnn._kept(iter([batch]), net, 1))
+        assert max(p.num_rows for p in parts) <= quality_cnn.PART and sum(p.num_rows for p in parts) in (0, 1000)
