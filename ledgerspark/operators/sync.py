@@ -83,9 +83,11 @@ def missing_keys(current: DataFrame, models: DataFrame, key: str) -> DataFrame:
     return current.select(key).distinct().join(models.select(key), key, "left_anti")
 
 
-def enrich(current: DataFrame, models: DataFrame, filled: DataFrame, key: str) -> DataFrame:
-    """``current`` with the model of each key: the known ones and those filled in for missing keys."""
-    return current.join(models.unionByName(filled), key, "left")
+def enrich(current: DataFrame, models: DataFrame, filled: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """``current`` with the model of each key: the known ones and those filled in for missing keys. With ``parts``, that many
+    tasks join them, whatever a shuffle has."""
+    known = models.unionByName(filled)
+    return current.join(known.repartition(parts, key) if parts else known, key, "left")
 
 
 def count_guard(local: DataFrame, online: DataFrame, app: str, entity: str) -> DataFrame:

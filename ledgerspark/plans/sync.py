@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerspark.operators import sync
 from ledgerspark.plans.registry import query
 from ledgerspark.plans.snapshots import NEW, OLD, UNKNOWN, account_snapshot, with_compared
-from ledgerspark.session import new_path, table
+from ledgerspark.session import new_path, parts_of, stored, table
 from ledgerspark.sources.digests import Snapshot, compared
 
 
@@ -77,12 +77,17 @@ def snapshot_enrich_missing(spark, sf):
     pages = [orders.filter(F.col("status") == s) for s in ("O", "P", "F")]
     current = pages[0].unionAll(pages[1]).unionAll(pages[2])
     current = current.withColumn("status", F.when(F.col("status") == "P", "O").otherwise(F.col("status")))
-    known = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("device")).agg(F.max("l_returnflag").alias("model"))
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("device"), F.col("l_returnflag").alias("model"))
+    # sorts of a task hold its part, so parts follow the rows; known models are sorted once, and read from there
+    parts = parts_of(lines)
+    # written once, else the search for missing models is made on each page; known models are as many, so no join sends them out whole
+    current = stored(current, "current").repartition(parts, "device")
+    known = stored(lines.repartition(parts, "device").groupBy("device").agg(F.max("model").alias("model")), "known").repartition(parts, "device")
     # devices without a known model are looked up one by one elsewhere; here by their customer
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("model"))
-    missing = sync.missing_keys(current, known, "device")
+    missing = sync.missing_keys(current, known.hint("merge"), "device")
     filled = missing.join(current, "device").join(customer, "o_custkey").select("device", "model")
-    return sync.enrich(current.drop("o_custkey"), known, filled, "device")
+    return sync.enrich(current.drop("o_custkey"), known, filled, "device", parts)
 
 
 def kept_and_online(spark, sf):

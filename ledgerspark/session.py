@@ -84,6 +84,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
+def parts_of(df: DataFrame, rows: int = 1 << 20) -> int:
+    """As many partitions as give each about ``rows`` of ``df``, and no fewer than a shuffle has."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
+
+
 def cents(amount: Column) -> Column:
     """Double money amount to whole cents."""
     return F.round(amount * 100).cast("bigint")

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import reconcile as rc
 from ledgerspark.operators import sync
+from ledgerspark.plans import catalog
+from ledgerspark.session import parts_of
+from tests.oracle import compare, connect
 
 WIDE = "field string, no string, name string, number long"
 THREE = [(f"f{i}", f"n{i}", f"name{i}", i) for i in (1, 2, 3)]
@@ -108,3 +111,15 @@ def test_bill_files(spark, tmp_path):
 def test_money_text_is_rounded_once(spark):
     df = spark.createDataFrame([("1.004999",), ("1.005",), ("-1.005",), ("12",), ("x",), (None,)], "t string")
     assert [r.c for r in df.select(rc.text_cents(F.col("t")).alias("c")).collect()] == [100, 101, -101, 1200, None, None]
+
+
+def test_enrich_missing_takes_as_many_parts_as_its_rows_need(spark, monkeypatch):
+    """A task sorts its part, so parts follow the rows, whatever number a shuffle has."""
+    from ledgerspark.plans import sync as plans
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(plans, "parts_of", lambda df: parts_of(df, 200))
+    few = spark.read.parquet(f"{sf}/lineitem.parquet").count() // 200
+    out = plans.snapshot_enrich_missing(spark, sf)
+    assert out.rdd.getNumPartitions() >= few > 8
+    assert compare(out, connect(sf), dict(catalog.ORACLE)["snapshot_enrich_missing"]) is None
