@@ -30,22 +30,56 @@ def _position(df: DataFrame, column: str) -> Column:
     raise TypeError(f"{column} must be a date, a time or a whole number")
 
 
-def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str, *, chunks: int | None = None) -> DataFrame:
+#: Ends of a key that are gone through in one list.
+FEW = 1 << 16
+
+
+def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str, *, chunks: int | None = None, few: int = FEW) -> DataFrame:
     """Per key, the fewest intervals to remove so that the rest do not overlap; touching is fine.
 
     Empty intervals (start = end) overlap nothing that starts or ends there and count. One that ends before it
     starts, or lacks an end, cannot be kept and is removed.
 
     After an interval that ends at L the next one kept is the first to end among those that start at L or
-    later, so every end has a successor, which one running minimum over falling starts finds for all ends. The
-    number kept is that of the steps from a key's first end on. Ranges of ends are followed to the first
-    end outside, each in one task; the ends where ranges are entered are then joined to where they lead, twice as
-    far in each round. No key is ever held in one place.
+    later. Keys of up to ``few`` ends have them gone through in order, as one sorted list. Keys with more, or all with ``chunks``,
+    are never held in one place, see ``_by_steps``.
     """
-    spans = stored(df.select(*keys, _position(df, start).alias("_s"), _position(df, end).alias("_e")), "spans")
+    spans = df.select(*keys, _position(df, start).alias("_s"), _position(df, end).alias("_e"))
     latest = F.max(F.expr("IF(_s < _e, _s, NULL)")).alias("_s")
-    ends = spans.filter("_s <= _e").groupBy(*keys, "_e").agg(latest, F.count_if(F.col("_s") == F.col("_e")).alias("_z"))
-    ends = stored(ends, "ends")
+    empty = F.count_if(F.col("_s") == F.col("_e")).alias("_z")
+    # of an end: the latest start, how many are empty, and how many there are; no start and none empty where nothing can be kept
+    ends = stored(spans.groupBy(*keys, "_e").agg(latest, empty, F.count(F.lit(1)).alias("_n")), "ends")
+    if chunks is not None:
+        return _by_steps(ends, keys, chunks)
+    many = ends.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > few)
+    if many.isEmpty():
+        return _in_order(ends, keys)
+    many = many.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [ends[k].eqNullSafe(many[f"_{k}"]) for k in keys], F.lit(True))
+    rest = _by_steps(stored(ends.join(many, same, "left_semi"), "ends"), keys, None)
+    return _in_order(ends.join(many, same, "left_anti"), keys).unionByName(rest) if keys else rest
+
+
+def _in_order(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``removed`` of keys with few ends: the last end kept and how many are kept, carried over each key's sorted ends."""
+    useful = F.when(F.col("_s").isNotNull() | (F.col("_z") > 0), F.struct("_e", "_s", "_z"))
+    listed = ends.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sort_array(F.collect_list(useful)).alias("_ends"))
+
+    def step(done: Column, x: Column) -> Column:
+        own = F.coalesce((x["_s"] >= done["at"]).cast("bigint"), F.lit(0).cast("bigint")) + x["_z"]
+        return F.struct(F.when(own > 0, x["_e"]).otherwise(done["at"]).alias("at"), (done["kept"] + own).alias("kept"))
+
+    begin = F.struct(F.lit(-(2**63)).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("kept"))
+    return listed.select(*keys, (F.col("_n") - F.aggregate("_ends", begin, step, lambda done: done["kept"])).alias("removed"))
+
+
+def _by_steps(counted: DataFrame, keys: Sequence[str], chunks: int | None) -> DataFrame:
+    """``removed`` of keys with any number of ends. Every end has a successor, which one running minimum over falling
+    starts finds for all ends. The number kept is that of the steps from a key's first end on. Ranges of ends are
+    followed to the first end outside, each in one task; the ends where ranges are entered are then joined to where they
+    lead, twice as far in each round. No key is ever held in one place.
+    """
+    ends = counted.filter("_s IS NOT NULL OR _z > 0").drop("_n")
 
     def row(at: str, kind: int, own: str, reach: str | None) -> str:
         found = f"named_struct('e', _e, 'w', -({reach}))" if reach else "CAST(NULL AS struct<e: bigint, w: bigint>)"
@@ -78,8 +112,8 @@ def interval_schedule(df: DataFrame, keys: Sequence[str], start: str, end: str,
 
     out = ranged.groupBy(*keys, "_chunk").applyInPandas(follow, steps.schema)
     total = _followed(out, keys) if bounds else out.filter("NOT later")
-    counted = spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).unionByName(total.select(*keys, (-F.col("kept")).alias("n")))
-    return counted.groupBy(*keys).agg(F.sum("n").alias("removed"))
+    both = counted.groupBy(*keys).agg(F.sum("_n").alias("n")).unionByName(total.select(*keys, (-F.col("kept")).alias("n")))
+    return both.groupBy(*keys).agg(F.sum("n").alias("removed"))
 
 
 def _followed(steps: DataFrame, keys: Sequence[str]) -> DataFrame:

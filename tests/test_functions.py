@@ -316,6 +316,26 @@ def test_one_hot_key_over_many_ranges(spark):
         assert greedy.interval_schedule(df, [], "s", "e", chunks=chunks).first().removed == len(spans) - kept
 
 
+def test_keys_with_few_ends_are_gone_through_in_order(spark, monkeypatch):
+    """Running values and steps take the keys with many ends only; both ways give the same."""
+    import random
+
+    rng = random.Random(8)
+    rows = [(k, s, s + rng.randint(-1, 6)) for k in (None, 1, 2, 3) for s in (rng.randrange(60) for _ in range(80 if k in (None, 2) else 9))]
+    rows += [(4, 5, 2), (4, None, 3), (4, 3, None)]
+    df = spark.createDataFrame(rows, "k int, s int, e int")
+    taken, running = [], greedy.with_running
+
+    def seen(df, *args, **kw):
+        taken.append({r.k for r in df.select("k").distinct().collect()})
+        return running(df, *args, **kw)
+
+    monkeypatch.setattr(greedy, "with_running", seen)
+    out = {few: {r.k: r.removed for r in greedy.interval_schedule(df, ["k"], "s", "e", few=few).collect()} for few in (20, 1000, 0)}
+    assert taken == [{None, 2}, {None, 1, 2, 3}]
+    assert out[20] == out[1000] == out[0] and out[0][4] == 3
+
+
 def test_greedy_assignment_equals_matching(spark):
     import random
 
