@@ -263,6 +263,8 @@ def links(
     stars = components(stars.unionByName(_confirmed(stored(_agreeing(pairs.select("a", "b").distinct(), members), "pairs"), sets)).distinct())
     apart = stored(_blocks(rows.filter(F.col("met") > FEW).drop("met"), "token", block), "blocks")
     clusters = components(_spanning(apart.join(rooted, ["fp", "root"]), "token", False))
+    if clusters.isEmpty():
+        return stars
     head = clusters.select(F.col("hi").alias("fp"), F.col("lo").alias("head"))
     head = head.unionByName(head.select(F.col("head").alias("fp"), "head").distinct())
     found = _spanning(_blocks(head.join(rooted, "fp").join(sets, "fp"), "head", block), "head", True)
@@ -286,7 +288,7 @@ def near_duplicates(
     points = each.filter("fp IS NOT NULL").groupBy("fp").agg(F.min(key).alias("_least"), F.min("row").alias("row"), *same)
     points = stored(points, "points")
     proposed = stored(propose(points.select("fp", "sim")), "proposed") if propose else None
-    stars = stored(links(points, docs, key, text, words, proposed), "stars")
+    stars = links(points, docs, key, text, words, proposed)
     rooted = points.select("fp", "_least").join(stars, points["fp"] == stars["hi"], "left").select("fp", "_least", F.coalesce("lo", "fp").alias("group"))
     least = rooted.groupBy("group").agg(F.min("_least").alias("component_id"))
     named = rooted.join(least, "group").select(F.col("fp").alias("_fp"), "group", "component_id")

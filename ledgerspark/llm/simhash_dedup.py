@@ -266,25 +266,30 @@ def links(points: DataFrame, shard_points: int = SHARD, split: int = SPLIT, most
     return blocks.groupBy("shard", "kind", "i", "j").applyInPandas(run, "hi bigint, lo bigint").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (hi > lo) is either hi in one edge only, or lo in its edges."""
+    nodes = edges.select(F.col("hi").alias("x"), F.lit(1).alias("end")).unionAll(edges.select("lo", F.lit(0)))
+    # as lo a node has an end of 0, which is its least
+    found = nodes.groupBy("x").agg(F.sum("end").alias("ends"), F.min("end").alias("least"))
+    return not found.agg(F.count_if(F.col("ends") > F.col("least"))).first()[0]
+
+
 def components(edges: DataFrame, label: str = "links") -> DataFrame:
     """``edges`` (hi > lo) -> the same components as stars: every node but the least as hi, with that one as lo.
 
     Large-star and small-star rounds, each written to the shared folder; a hub's neighbours are
-    aggregated and joined, never collected. The rounds end when the edges no longer change.
+    aggregated and joined, never collected. The rounds end when the edges are stars, so edges that are stars take none.
     """
     now = stored(edges, label)
-    state = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if seen == state or not seen[0]:
-            return now
-        state = seen
-        both = now.select(F.col("hi").alias("x"), F.col("lo").alias("y")).unionAll(now.select("lo", "hi"))
-        least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"))
-        large = both.filter("y > x").join(least, "x").select(F.col("y").alias("hi"), F.col("m").alias("lo")).distinct()
+    while not _are_stars(now):
+        # a node's neighbours above it move to the least of itself and its neighbours, which is among its own los
+        least = now.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
+        large = now.join(least, "lo", "left").select("hi", F.coalesce("m", "lo").alias("lo")).distinct()
+        # then a node and its neighbours below it move to the least of those
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        rest = large.join(lowest, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        now = stored(rest.unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct(), label)
+        moved = F.explode(F.array(F.col("hi"), F.col("lo"))).alias("hi")
+        now = stored(large.join(lowest, "hi").select(moved, F.col("m").alias("lo")).filter("hi <> lo").distinct(), label)
+    return now
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,7 +321,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def proposed_pairs(points: DataFrame) -> DataFrame:
     """``points`` (fp, of any type; sim, a fingerprint) -> a, b: in each component of fingerprints the least point with
     each of the others. For a rule that is stricter than NEAR bits these are pairs to be confirmed."""
-    stars = components(links(points.select(F.col("sim").alias("fp")).distinct()))
+    stars = components(links(stored(points.select(F.col("sim").alias("fp")).distinct(), "points")))
     root = stars.select(F.col("hi").alias("sim"), F.col("lo").alias("root"))
     grouped = points.join(root, "sim", "left").select("fp", F.coalesce("root", "sim").alias("root"))
     hubs = grouped.groupBy("root").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")

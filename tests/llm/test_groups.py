@@ -119,6 +119,23 @@ def test_components_of_long_paths(spark):
     assert sorted((r.hi, r.lo) for r in stars) == [(i, 0) for i in range(1, 61)] + [(150, 100), (170, 100), (200, 100)]
 
 
+@pytest.mark.parametrize(
+    "edges, rounds",
+    [([], 0), ([(5, 1), (4, 1), (3, 2)], 0), ([(5, 1), (5, 1)], 1), ([(5, 4), (5, 1)], 1), ([(5, 4), (4, 1)], 1), ([(9, 1), (9, 2), (8, 2), (8, 3)], 2)],
+)
+def test_components_write_one_table_a_round_and_stars_take_none(spark, monkeypatch, edges, rounds):
+    """A round is jobs, threads and broadcasts on the driver, however few edges there are."""
+    written = []
+    monkeypatch.setattr(simhash_dedup, "stored", lambda df, label, f=simhash_dedup.stored: written.append(label) or f(df, label))
+    stars = simhash_dedup.components(spark.createDataFrame(edges, "hi long, lo long")).collect()
+    nodes = {x: x for e in edges for x in e}
+    for _ in nodes:
+        for hi, lo in edges:
+            nodes[hi] = nodes[lo] = min(nodes[hi], nodes[lo])
+    assert sorted((r.hi, r.lo) for r in stars) == sorted((x, to) for x, to in nodes.items() if x != to)
+    assert len(written) <= 1 + rounds
+
+
 # --- scaled sketches
 
 
