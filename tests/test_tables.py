@@ -1,5 +1,7 @@
 """Tables that are replaced in parts, versions, buckets, JDBC and file listings."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from ledgerspark.sources import files as fl
 from ledgerspark.sources import partitions as pt
 from ledgerspark.sources.jdbc import even_predicates, scan_jdbc, scan_jdbc_evenly, write_jdbc
 from ledgerspark.operators.bitmaps import DistinctByDay
+from ledgerspark.plans.files import jdbc_url, scan_jdbc_query
 from ledgerspark.sources.versions import VersionedTable, merge_upsert
 
 
@@ -139,6 +142,27 @@ def test_jdbc_round_trip(spark):
     assert back.count() == 100 and back.rdd.getNumPartitions() == 4
 
 
+def test_jdbc_needs_a_named_database_on_executors():
+    """Executors do not see the database of the driver's process; those of ``local-cluster`` are processes too."""
+    session = lambda **conf: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.split(".")[-1], d)))
+    for master in ("local-cluster[3,4,10240]", "spark://a:1", "yarn"):
+        with pytest.raises(RuntimeError, match="spark.ledgerspark.jdbc.url"):
+            jdbc_url(session(master=master))
+        assert jdbc_url(session(master=master, url="jdbc:x")) == "jdbc:x"
+    for master in ("local", "local[8]", "local[*]", "local[2,3]"):
+        assert jdbc_url(session(master=master)).startswith("jdbc:derby:memory:")
+
+
+def test_jdbc_query_without_keys(spark, tmp_path):
+    """No rows, null keys only, some null keys, keys below zero: every row comes back."""
+    rows = [(None, "a", 1.25), (None, "b", None), (-7, "c", -3.5), (-900, None, 0.0), (4, "e", 2.0)]
+    for label, kept in (("none", []), ("nulls", rows[:2]), ("below", rows[2:4]), ("all", rows)):
+        spark.createDataFrame(kept, "c_custkey long, c_name string, c_acctbal double").write.parquet(str(tmp_path / label / "customer.parquet"))
+        back = scan_jdbc_query(spark, str(tmp_path / label))
+        want = [(k, n, None if b is None else round(b * 100)) for k, n, b in kept]
+        assert rows_of(back) == sorted(want, key=str), label
+
+
 def test_even_splits_of_a_skewed_column(spark):
     """Nearly all values in a small part of the range, nulls, dates and times; every row meets one condition."""
     skewed = F.when(F.col("id") % 50 > 0, F.pow(F.lit(1.004), F.col("id") % 4000).cast("long")).when(F.col("id") % 100 > 0, F.lit(10**12))
