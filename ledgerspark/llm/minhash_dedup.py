@@ -234,7 +234,9 @@ def _spanning(blocks: DataFrame, group: str, exact: bool) -> DataFrame:
                     lo.append(min(fp[x], fp[y]))
         return pd.DataFrame({"hi": pd.Series(hi, dtype=object), "lo": pd.Series(lo, dtype=object)})
 
-    return blocks.groupBy(group, "kind", "i", "j").applyInPandas(run, "hi binary, lo binary").distinct()
+    # rows that were joined by the group alone would stay in one task with all its blocks, so blocks are dealt out first
+    block = [group, "kind", "i", "j"]
+    return blocks.repartition(*block).groupBy(*block).applyInPandas(run, "hi binary, lo binary").distinct()
 
 
 def links(
@@ -267,7 +269,8 @@ def links(
         return stars
     head = clusters.select(F.col("hi").alias("fp"), F.col("lo").alias("head"))
     head = head.unionByName(head.select(F.col("head").alias("fp"), "head").distinct())
-    found = _spanning(_blocks(head.join(rooted, "fp").join(sets, "fp"), "head", block), "head", True)
+    apart = _blocks(head.join(rooted.select("fp", "root"), "fp"), "head", block)
+    found = _spanning(apart.join(rooted, ["fp", "root"]).join(sets, "fp"), "head", True)
     return components(stars.unionByName(found).distinct())
 
 

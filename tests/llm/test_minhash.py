@@ -143,3 +143,18 @@ def test_proposed_pairs_are_confirmed_whatever_their_collisions(spark, monkeypat
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(md.near_duplicates(docs, propose=every)) == Counter(slow_rows(rows))
     assert {r.component_id for r in md.near_duplicates(docs).collect()} == {0, 1, 2}
+
+
+def test_blocks_of_one_group_are_dealt_out(spark):
+    """The rows of a group meet in a join, which leaves them in one task: their blocks are tasks' work one by one."""
+    rows = [(b"h", bytes([i]), bytes([i]), 10, [i // 2] * md.COORDINATES) for i in range(20)]
+    members = spark.createDataFrame(rows, "head binary, fp binary, root binary, n long, sig array<int>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = md._spanning(md._blocks(members, "head", 4), "head", False)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert {(bytes(r.hi), bytes(r.lo)) for r in found.collect()} == {(bytes([i + 1]), bytes([i])) for i in range(0, 20, 2)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = re.search(r"hashpartitioning\((.*?)\)", plan[plan.index("FlatMapGroupsInPandas") :]).group(1)
+    assert re.findall(r"(\w+)#", dealt) == ["head", "kind", "i", "j"]
